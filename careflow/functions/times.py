@@ -14,8 +14,13 @@ DATE_FORMAT = "yyyy-MM-dd"
 
 
 def event_time(text: Column) -> Column:
-    """Timestamp from the first 19 characters; NULL where they are not a time."""
-    return F.try_to_timestamp(F.substring(text, 1, 19), F.lit(SECOND_FORMAT))
+    """Timestamp from the first 19 characters, ``yyyy-MM-dd HH:mm:ss``; NULL where they are not a time.
+
+    The cast reads this form several times faster than a parser that is given the format.
+    """
+    head = F.substring(text, 1, 19)
+    shaped = (F.length(head) == 19) & (F.substring(head, 11, 1) == " ")
+    return F.when(shaped, head.try_cast("timestamp"))
 
 
 def midnight(date: Column) -> Column:
