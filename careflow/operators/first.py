@@ -19,18 +19,18 @@ def first_row(
     """One row per key: in a batch the first by ``order`` and then by all columns, in a stream the first
     to arrive.
 
-    The batch form keeps at most one row per key and task before the shuffle (Spark pushes the limit of
-    one below the exchange), so a hot key sends a row per task and not its whole group. The stream form
-    keeps every key it saw; ``within_watermark`` forgets keys that the watermark has passed, for logs
-    where a key does not come back.
+    The batch form is a minimum over whole rows. Each task keeps one row per key before the shuffle, so a
+    hot key sends a row per task and not its whole group. The stream form keeps every key it saw;
+    ``within_watermark`` forgets keys that the watermark has passed, for logs where a key does not come
+    back.
     """
     if df.isStreaming:
         if within_watermark:
             return df.dropDuplicatesWithinWatermark(list(keys))
         return df.dropDuplicates(list(keys))
-    order = [*order, *(name for name in df.columns if name not in (*order, *keys))]
-    ranked = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+    rest = [*order, *(name for name in df.columns if name not in (*order, *keys))]
+    firsts = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
+    return firsts.select(*keys, "_first.*").select(*df.columns)
 
 
 def first_flag(

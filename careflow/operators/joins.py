@@ -63,12 +63,14 @@ def interval_join(
     before: dt.timedelta = PAY_AFTER,
     after: dt.timedelta = PAY_BEFORE,
     out_of_order: dt.timedelta = OUT_OF_ORDER,
+    salts: int = 1,
 ) -> DataFrame:
     """Inner join on a key where ``left_time`` lies in ``[right_time - before, right_time + after]``.
 
     Time is cut into slices as long as the whole interval. The right row goes to the one or two slices its
     interval touches and the left row to its own, so that key and slice together are an equality. Without
-    it, a key with many rows on both sides would meet itself over all of history in one task.
+    it, a key with many rows on both sides would meet itself over all of history in one task. ``salts``
+    spreads the left rows of one key and slice further, as in :func:`ttl_join`.
     """
     if left.isStreaming:
         left = left.withWatermark(left_time, delay_text(out_of_order))
@@ -87,7 +89,13 @@ def interval_join(
         & (F.col("_left_slice") == F.col("_right_slice"))
         & _within(left_time, right_time, before, after)
     )
-    return left.join(right, condition, "inner").drop("_left_slice", "_right_slice")
+    if salts > 1:
+        left = left.withColumn("_left_salt", spread(left, salts))
+        right = right.withColumn("_right_salt", each_salt(salts))
+        condition = condition & (F.col("_left_salt") == F.col("_right_salt"))
+    return left.join(right, condition, "inner").drop(
+        "_left_slice", "_right_slice", "_left_salt", "_right_salt"
+    )
 
 
 def _within(left_time: str, right_time: str, before: dt.timedelta, after: dt.timedelta) -> Column:

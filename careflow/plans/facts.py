@@ -137,7 +137,10 @@ def prescription(ods: DataFrame, ttl: dt.timedelta = JOIN_TTL, salts: int = 1) -
 
 
 def prescription_paid(
-    ods: DataFrame, before: dt.timedelta = PAY_AFTER, after: dt.timedelta = PAY_BEFORE
+    ods: DataFrame,
+    before: dt.timedelta = PAY_AFTER,
+    after: dt.timedelta = PAY_BEFORE,
+    salts: int = 1,
 ) -> DataFrame:
     """One row per detail and payment of its prescription, where the detail was written no more than
     ``before`` ahead of the payment and no more than ``after`` behind it."""
@@ -160,6 +163,7 @@ def prescription_paid(
         "_pay_time",
         before=before,
         after=after,
+        salts=salts,
     )
     return joined.select("id", "prescription_pay_suc_time", *_PRESCRIPTION_COLUMNS)
 

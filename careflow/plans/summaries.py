@@ -54,32 +54,58 @@ class Windowing:
     forget_keys: bool = False
 
 
-def _trade_summary(amount: str, measure: str, once_per: str | None = None) -> Callable:
+_GROUP = ("hospital_id", "patient_gender_code", "age_group")
+
+
+@dataclass(frozen=True)
+class TradeSummary:
     """Sum of ``amount`` and row count per hospital, gender and age band; one row per ``once_per``."""
 
-    def build(fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
-        rows = fact.withWatermark("event_time", how.delay) if fact.isStreaming else fact
-        if once_per:
-            used = ["event_time", "id", once_per, "doctor_id", "patient_id", amount]
-            rows = first_row(rows.select(*used), [once_per], ["event_time", "id"], how.forget_keys)
-        rows = rows.select("event_time", "doctor_id", "patient_id", amount)
-        grouped = tumbling(
-            enrich(rows, dims, how),
-            [
-                F.sum(amount).alias(f"{measure}_amount"),
-                F.count(F.lit(1)).alias(f"{measure}_count"),
-            ],
-            keys=["hospital_id", "patient_gender_code", "age_group"],
-            size=how.size,
-            delay=how.delay,
-            start=how.start,
-        )
-        named = with_hospital_name(with_bounds(grouped), dims, how)
-        return lookup(
-            named, dims.dictionary, "patient_gender_code", {"value": "patient_gender"}
+    amount: str
+    measure: str
+    once_per: str | None = None
+
+    def build(self, fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+        counted = enrich(self._rows(fact, how), dims, how)
+        measures = [F.sum(self.amount), F.count(F.lit(1))]
+        return self._named(self._windows(counted, measures, _GROUP, how), dims, how)
+
+    def by_ids(self, fact: DataFrame, how: Windowing) -> DataFrame:
+        """The same per doctor and patient, which needs no dimension."""
+        measures = [F.sum(self.amount), F.count(F.lit(1))]
+        return self._windows(self._rows(fact, how), measures, ("doctor_id", "patient_id"), how)
+
+    def from_ids(self, windows: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+        """The summary from :meth:`by_ids`. All rows of a window have to be there, which holds for the
+        rows that a stream gives out together."""
+        amount, count = self._measure_names()
+        grouped = (
+            enrich(windows, dims, how)
+            .groupBy("window", *_GROUP)
+            .agg(F.sum(amount).alias(amount), F.sum(count).alias(count))
         )
+        return self._named(grouped, dims, how)
 
-    return build
+    def _rows(self, fact: DataFrame, how: Windowing) -> DataFrame:
+        rows = fact.withWatermark("event_time", how.delay) if fact.isStreaming else fact
+        used = ["event_time", "doctor_id", "patient_id", self.amount]
+        if self.once_per:
+            rows = rows.select("id", self.once_per, *used)
+            rows = first_row(rows, [self.once_per], ["event_time", "id"], how.forget_keys)
+        return rows.select(*used)
+
+    def _windows(
+        self, rows: DataFrame, measures: Sequence[Column], keys: Sequence[str], how: Windowing
+    ) -> DataFrame:
+        named = [column.alias(name) for column, name in zip(measures, self._measure_names())]
+        return tumbling(rows, named, keys, size=how.size, delay=how.delay, start=how.start)
+
+    def _named(self, grouped: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+        rows = with_hospital_name(with_bounds(grouped), dims)
+        return lookup(rows, dims.dictionary, "patient_gender_code", {"value": "patient_gender"})
+
+    def _measure_names(self) -> tuple[str, str]:
+        return f"{self.measure}_amount", f"{self.measure}_count"
 
 
 def _count_summary(measure: str) -> Callable:
@@ -134,7 +160,7 @@ def _review_summary(fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFr
         delay=how.delay,
         start=how.start,
     )
-    return with_hospital_name(with_bounds(grouped), dims, how)
+    return with_hospital_name(with_bounds(grouped), dims)
 
 
 def enrich(rows: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
@@ -157,7 +183,7 @@ def with_age_group(
     return patients.withColumn("age_group", age_group(age_years(F.col("birthday"), as_of), strict))
 
 
-def with_hospital_name(rows: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+def with_hospital_name(rows: DataFrame, dims: Dimensions) -> DataFrame:
     return lookup(rows, dims.hospital, "hospital_id", {"name": "hospital_name"})
 
 
@@ -168,6 +194,7 @@ class Summary:
     build: Callable
     columns: Sequence[str]
     input_types: dict[str, T.DataType]
+    trade: TradeSummary | None = None
 
     def input_schema(self, names: Sequence[str]) -> T.StructType:
         return T.StructType(
@@ -176,38 +203,41 @@ class Summary:
 
 
 _BOUNDS = ("stt", "edt", "cur_date")
-_GROUP = ("hospital_id", "hospital_name", "patient_gender_code", "patient_gender", "age_group")
+
+
+def _trade(fact: str, table: str, trade: TradeSummary, types: dict[str, T.DataType]) -> Summary:
+    group = ("hospital_id", "hospital_name", "patient_gender_code", "patient_gender", "age_group")
+    columns = (*_BOUNDS, *group, f"{trade.measure}_amount", f"{trade.measure}_count")
+    return Summary(fact, table, trade.build, columns, types, trade)
+
+
 _FEE = {"consultation_fee": MONEY}
 _TOTAL = {"total_amount": MONEY, "count": T.IntegerType()}
 
 # The table each summary is kept in, and its columns.
 SUMMARIES = {
-    "consultation": Summary(
+    "consultation": _trade(
         "consultation",
         "dws_trade_hosp_pat_gen_a_g_consul_win",
-        _trade_summary("consultation_fee", "consultation"),
-        (*_BOUNDS, *_GROUP, "consultation_amount", "consultation_count"),
+        TradeSummary("consultation_fee", "consultation"),
         _FEE,
     ),
-    "consultation_paid": Summary(
+    "consultation_paid": _trade(
         "consultation_paid",
         "dws_trade_hosp_pat_gen_a_g_consul_pay_suc_win",
-        _trade_summary("consultation_fee", "consultation_pay_suc"),
-        (*_BOUNDS, *_GROUP, "consultation_pay_suc_amount", "consultation_pay_suc_count"),
+        TradeSummary("consultation_fee", "consultation_pay_suc"),
         _FEE,
     ),
-    "prescription": Summary(
+    "prescription": _trade(
         "prescription",
         "dws_trade_hosp_pat_gen_a_g_pres_win",
-        _trade_summary("total_amount", "prescription", once_per="prescription_id"),
-        (*_BOUNDS, *_GROUP, "prescription_amount", "prescription_count"),
+        TradeSummary("total_amount", "prescription", once_per="prescription_id"),
         _TOTAL,
     ),
-    "prescription_paid": Summary(
+    "prescription_paid": _trade(
         "prescription_paid",
         "dws_trade_hosp_pat_gen_a_g_pres_pay_suc_win",
-        _trade_summary("total_amount", "prescription_pay_suc", once_per="prescription_id"),
-        (*_BOUNDS, *_GROUP, "prescription_pay_suc_amount", "prescription_pay_suc_count"),
+        TradeSummary("total_amount", "prescription_pay_suc", once_per="prescription_id"),
         _TOTAL,
     ),
     "user_register": Summary(
@@ -253,5 +283,10 @@ def build_summary(
 ) -> DataFrame:
     """The summary ``name`` of a fact as text, with its published columns in order."""
     summary = SUMMARIES[name]
-    rows = typed(fact, summary.input_schema(fact.columns), FACTS[summary.fact].time)
-    return summary.build(rows, dims, how).select(*summary.columns)
+    return summary.build(summary_input(name, fact), dims, how).select(*summary.columns)
+
+
+def summary_input(name: str, fact: DataFrame) -> DataFrame:
+    """A fact as text with the types that the summary ``name`` works on."""
+    summary = SUMMARIES[name]
+    return typed(fact, summary.input_schema(fact.columns), FACTS[summary.fact].time)

@@ -8,8 +8,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careflow.operators.sizes import at_most
 from careflow.operators.upsert import apply_changes
 
+# Up to this many row keys are broadcast to read only their rows.
+MAX_KEYS = 200_000
+
 _CHANGES = "batch_id long, sink_table string, row_key string, type string, data map<string,string>, seq long"
 _EVENTS = "sink_table string, event string, upto long, path string, config_seq long"
 
@@ -61,10 +65,20 @@ class DimensionStore:
         if not drops.isEmpty():
             self._record(drops)
 
-    def read(self, table: str, columns: Sequence[str], key: str = "id") -> DataFrame:
-        """The rows of a dimension: its row key as ``key``, and ``columns``."""
+    def read(
+        self,
+        table: str,
+        columns: Sequence[str],
+        key: str = "id",
+        only: DataFrame | None = None,
+    ) -> DataFrame:
+        """The rows of a dimension: its row key as ``key``, and ``columns``.
+
+        ``only`` is a DataFrame with one column of row keys. If counting shows that they are few, other
+        rows are dropped while reading, before anything is shuffled; otherwise it has no effect.
+        """
         others = [name for name in columns if name != key]
-        return self._fold(table, others).select(F.col("_row_key").alias(key), *others)
+        return self._fold(table, others, only=only).select(F.col("_row_key").alias(key), *others)
 
     def snapshot(self, table: str, columns: Sequence[str], upto: int, key: str = "id") -> None:
         """Writes the table as it is after batch ``upto``, so that reads start from there."""
@@ -75,7 +89,13 @@ class DimensionStore:
             self.spark.createDataFrame([(table, "snapshot", upto, path, None)], _EVENTS)
         )
 
-    def _fold(self, table: str, columns: Sequence[str], upto: int | None = None) -> DataFrame:
+    def _fold(
+        self,
+        table: str,
+        columns: Sequence[str],
+        upto: int | None = None,
+        only: DataFrame | None = None,
+    ) -> DataFrame:
         current, floor = self._start(table, upto)
         changes = self._changes().where(
             (F.col("sink_table") == table) & (F.col("batch_id") > floor)
@@ -90,6 +110,12 @@ class DimensionStore:
         )
         if current is not None:
             current = current.select("_row_key", "_seq", *columns)
+        if only is not None:
+            wanted = only.select(F.col(only.columns[0]).alias("_row_key")).distinct()
+            if at_most(wanted, MAX_KEYS):
+                flat = flat.join(F.broadcast(wanted), "_row_key", "left_semi")
+                if current is not None:
+                    current = current.join(F.broadcast(wanted), "_row_key", "left_semi")
         return apply_changes(flat, columns, current, keys=["_row_key"], seq="_seq", kind="_kind")
 
     def _start(self, table: str, upto: int | None) -> tuple[DataFrame | None, int]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +46,36 @@ def write_summary(
     format: str = "parquet",
     trigger: dict | None = None,
     batch_id: int = 0,
+    files: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    **options: str,
 ) -> StreamingQuery | None:
     """Appends the rows of a summary to a table, one folder per micro-batch.
 
     A micro-batch that runs again after a failure overwrites its own folder, so its rows are kept once.
+    With ``format="jdbc"`` the rows are appended to the table named ``path`` instead, at least once.
+
+    A micro-batch writes a file per shuffle partition, or ``files`` of them. ``finish`` is applied to each
+    micro-batch before it is written; it may read the rows more than once.
     """
 
     def save(rows: DataFrame, batch: int) -> None:
-        rows.write.format(format).mode("overwrite").save(f"{path}/batch_id={batch}")
+        if finish is None:
+            put(rows, batch)
+            return
+        rows.persist()
+        try:
+            put(finish(rows), batch)
+        finally:
+            rows.unpersist()
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows = rows.repartition(files) if files else rows
+        writer = rows.write.format(format).options(**options)
+        if format == "jdbc":
+            writer.option("dbtable", path).mode("append").save()
+        else:
+            writer.mode("overwrite").save(f"{path}/batch_id={batch}")
 
     if not df.isStreaming:
         save(df, batch_id)

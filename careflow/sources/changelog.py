@@ -77,14 +77,19 @@ def land_ods(
     """Keeps the decoded log as parquet, one folder per source table and change kind.
 
     A fact job that reads the landed log lists and scans only the folders of its own table and kind, so
-    eight jobs do not parse the whole log eight times.
+    eight jobs do not parse the whole log eight times. Records that could not be read land in the folders
+    without a table: a filter on parsed fields would parse every record once more.
+
+    A batch is rebalanced first. Adaptive execution then cuts it into files of the advisory size, also
+    where most of the log is one table; without that, each task would leave a file in every folder.
     """
-    readable = ods.where(F.col("table").isNotNull() & F.col("type").isNotNull())
     if not ods.isStreaming:
-        readable.write.mode("append").partitionBy("table", "type").parquet(path)
+        if ods.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            ods = ods.hint("rebalance", "table", "type")
+        ods.write.mode("append").partitionBy("table", "type").parquet(path)
         return None
     return (
-        readable.writeStream.format("parquet")
+        ods.writeStream.format("parquet")
         .partitionBy("table", "type")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

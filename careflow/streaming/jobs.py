@@ -15,7 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from careflow.operators.routing import latest_routes, route, table_lifecycle
 from careflow.plans.facts import FACTS, build_fact
-from careflow.plans.summaries import SUMMARIES, Dimensions, Windowing, build_summary
+from careflow.plans.summaries import (
+    SUMMARIES,
+    Dimensions,
+    Windowing,
+    build_summary,
+    summary_input,
+)
 from careflow.schemas import texts
 from careflow.sinks.dimensions import DimensionStore
 from careflow.sinks.tables import ONCE, write_summary, write_topic
@@ -61,20 +67,43 @@ def fact_job(name: str, ods: DataFrame, options: dict | None = None, **sink) ->
 def summary_job(
     name: str,
     topic: DataFrame,
-    dims: Dimensions | None,
+    dims: Dimensions | Callable[[DataFrame], Dimensions] | None,
     path: str,
     how: Windowing = Windowing(),
     **sink,
 ) -> StreamingQuery | None:
     """Builds a summary from the records of its fact's topic and appends it under ``path``.
 
-    A stream keeps the dimensions as they were when it started. Start it again (it goes on from its
-    checkpoint) for newer ones.
+    Given as tables, the dimensions stay as they were when a stream started; start it again (it goes on
+    from its checkpoint) for newer ones. The trade summaries also take a function, which is called with
+    the rows of each micro-batch that gives out windows: the stream then sums by doctor and patient, and
+    hospitals, age bands and names are those of the moment the window closes.
     """
-    return write_summary(
-        build_summary(name, read_fact(name, topic), dims, how),
-        f"{path}/{SUMMARIES[name].table}",
-        **sink,
+    summary, fact = SUMMARIES[name], read_fact(name, topic)
+    table = f"{path}/{summary.table}"
+    if not callable(dims):
+        return write_summary(build_summary(name, fact, dims, how), table, **sink)
+    if summary.trade is None:
+        raise ValueError(f"{name} needs its dimensions as tables")
+
+    def finish(windows: DataFrame) -> DataFrame:
+        return summary.trade.from_ids(windows, dims(windows), how).select(*summary.columns)
+
+    by_ids = summary.trade.by_ids(summary_input(name, fact), how)
+    return write_summary(by_ids, table, finish=finish, **sink)
+
+
+def store_dimensions(store: DimensionStore, windows: DataFrame | None = None) -> Dimensions:
+    """The dimensions in a store; with the ``windows`` of a trade summary, of their doctors and patients."""
+
+    def ids(name: str) -> DataFrame | None:
+        return None if windows is None else windows.select(name)
+
+    return Dimensions(
+        doctor=store.read("dim_doctor", ["hospital_id"], only=ids("doctor_id")),
+        patient=store.read("dim_patient", ["gender", "birthday"], only=ids("patient_id")),
+        hospital=store.read("dim_hospital", ["name"]),
+        dictionary=store.read("dim_dict", ["value"]),
     )
 
 

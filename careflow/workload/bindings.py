@@ -6,21 +6,31 @@ an envelope built here is taken apart again by the optimizer.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from careflow.plans.facts import PAYLOAD_KEYS
 from careflow.plans.summaries import Dimensions
 from careflow.schemas import PAID, REVIEWED
 
 AS_OF = "2024-02-01"
+OLD_KEYS = ("status",)
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+# Reading a schema from file footers is a job of its own; one per table is enough.
+_schemas: dict[str, T.StructType] = {}
 
 
 def as_text(expression: str) -> str:
@@ -256,16 +266,16 @@ DIMENSION_ROW = (
 def _rows(
     source: DataFrame, name: str, kind: str, data: dict[str, str], old: dict[str, str] | None = None
 ) -> DataFrame:
-    """An envelope in the form of ``decode_envelope(keys=PAYLOAD_KEYS)``."""
+    """An envelope in the form of ``decode_envelope(keys=PAYLOAD_KEYS)``, with the one old field used."""
     return source.selectExpr(
         "'clinic' AS database",
         f"'{name}' AS table",
         f"'{kind}' AS type",
         f"{_payload(data)} AS data",
-        f"{_payload(old or {})} AS old",
+        f"{_payload(old or {}, OLD_KEYS)} AS old",
     )
 
 
-def _payload(fields: dict[str, str]) -> str:
-    entries = (f"'{key}', {fields.get(key, 'CAST(NULL AS STRING)')}" for key in PAYLOAD_KEYS)
+def _payload(fields: dict[str, str], keys: Sequence[str] = PAYLOAD_KEYS) -> str:
+    entries = (f"'{key}', {fields.get(key, 'CAST(NULL AS STRING)')}" for key in keys)
     return f"named_struct({', '.join(entries)})"

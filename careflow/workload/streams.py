@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careflow.session import working_folder
+from careflow.workload.bindings import table
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table as a stream of its files. The pattern matches one file as well as a folder."""
-    path = f"{folder}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet*")
 
 
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:

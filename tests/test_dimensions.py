@@ -215,6 +215,20 @@ def test_store_reads_what_was_put(spark, routes, folder):
     assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+L? > 1", plan)
 
 
+def test_store_reads_only_some_keys(spark, routes, folder, monkeypatch):
+    store = DimensionStore(spark, folder)
+    log = changes(spark, *(("patient", "insert", {"id": str(n), "name": f"n{n}"}, None) for n in range(9)))
+    store.append(route(log, routes), 0)
+    store.snapshot("dim_patient", ["id", "name"], upto=0)
+    store.append(route(log.where("seq < 4").withColumn("seq", F.col("seq") + 50), routes), 1)
+    keys = spark.createDataFrame([("2",), ("7",), ("2",), (None,)], "patient string")
+    some = store.read("dim_patient", ["id", "name"], only=keys)
+    assert rows(some) == [("2", "n2"), ("7", "n7")]
+    assert "LeftSemi" in plan_of(some).split("Exchange hashpartitioning")[1]
+    monkeypatch.setattr("careflow.sinks.dimensions.MAX_KEYS", 1)
+    assert store.read("dim_patient", ["id", "name"], only=keys).count() == 9
+
+
 def test_snapshot_of_an_older_batch(spark, routes, folder):
     store = DimensionStore(spark, folder)
     for batch, name in enumerate("abc"):

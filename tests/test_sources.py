@@ -91,7 +91,9 @@ def test_landing_as_a_stream(spark, folder):
     ).write.text(f"{folder}/in")
     ods = read_ods(spark, streaming=True, format="text", path=f"{folder}/in")
     land_ods(ods, f"{folder}/ods", f"{folder}/ckpt").awaitTermination()
-    assert read_landed(spark, f"{folder}/ods").count() == 1
+    landed = read_landed(spark, f"{folder}/ods")
+    assert landed.where("table = 'consultation'").count() == 1
+    assert rejected(landed).count() == 1
     assert read_landed(spark, f"{folder}/ods", streaming=True).isStreaming
 
 

@@ -111,6 +111,39 @@ def test_stream_equals_batch(spark, small, log, folder, name):
     assert got.count() > 0
 
 
+@pytest.mark.parametrize("name", ["consultation", "prescription"])
+def test_dimensions_read_when_windows_close(spark, small, log, folder, name):
+    fact = build_fact(name, decode_envelope(read_log(spark, log, False), PAYLOAD_KEYS))
+    fact_job(name, decode_envelope(read_log(spark, log, False), PAYLOAD_KEYS), format="text", path=f"{folder}/topic")
+    dims = dimensions(spark, small)
+    seen = []
+
+    def read_dims(windows):
+        seen.append(windows.select("patient_id").distinct().count())
+        return dims
+
+    summary_job(
+        name,
+        read_log(spark, f"{folder}/topic", True, by_file=False),
+        read_dims,
+        f"{folder}/out",
+        HOW,
+        checkpoint=f"{folder}/summary",
+        files=1,
+    ).awaitTermination()
+    last = fact.select(F.max(event_time(F.col(FACTS[name].time))).alias("last")).first()["last"]
+    expected = build_summary(name, fact, dims, HOW).where(
+        F.col("edt").cast("timestamp") <= F.lit(last) - F.expr("INTERVAL 5 SECONDS")
+    )
+    assert rows(read_summary(spark, f"{folder}/out/{SUMMARIES[name].table}")) == rows(expected)
+    assert max(seen) > 0
+
+
+def test_only_trade_summaries_read_dimensions_late(spark, folder):
+    with pytest.raises(ValueError):
+        summary_job("review", spark.createDataFrame([], "value string"), lambda rows: None, folder)
+
+
 def clock(spark, *seconds):
     base = F.lit("2024-01-01 00:00:00").cast("timestamp")
     return spark.createDataFrame([(float(s), f"k{int(s)}") for s in seconds], "s double, k string").select(
