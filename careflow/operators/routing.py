@@ -12,12 +12,24 @@ from careflow.schemas import CONTROL_TYPES, ROUTE_COLUMNS
 MAX_BROADCAST_ROUTES = 20_000
 
 
-def latest_routes(config: DataFrame, seq: str = "seq") -> DataFrame:
+def latest_routes(
+    config: DataFrame, seq: str = "seq", preloaded: DataFrame | None = None
+) -> DataFrame:
     """The routing table after all changes: one row per ``source_table``.
 
-    A delete removes the route of its ``before`` image. An update that renames the source table removes
+    ``preloaded`` is the routing table as read before (:func:`careflow.sources.read_routes`); every change
+    in ``config`` overrules it. A delete removes the route of its ``before`` image. An update that renames the source table removes
     the old route too.
     """
+    config = config.select(F.col(seq).alias("_seq"), "op", "before", "after")
+    if preloaded is not None:
+        known = preloaded.select(
+            F.lit(None).cast(config.schema["_seq"].dataType).alias("_seq"),
+            F.lit("r").alias("op"),
+            F.lit(None).cast(config.schema["before"].dataType).alias("before"),
+            F.struct(*ROUTE_COLUMNS).alias("after"),
+        )
+        config = known.unionByName(config)
     before, after = F.col("before.source_table"), F.col("after.source_table")
     gone = (F.col("op") == "d") | ((F.col("op") == "u") & ~before.eqNullSafe(after))
     removal = F.struct(before.alias("source_table"), F.lit(0).alias("live"), _route_of("before"))
@@ -27,7 +39,7 @@ def latest_routes(config: DataFrame, seq: str = "seq") -> DataFrame:
         lambda step: step["source_table"].isNotNull(),
     )
     last = (
-        config.select(F.col(seq).alias("_seq"), F.explode(steps).alias("step"))
+        config.select("_seq", F.explode(steps).alias("step"))
         .groupBy("step.source_table")
         .agg(F.max(F.struct("_seq", "step.live", "step.route")).alias("last"))
     )

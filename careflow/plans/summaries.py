@@ -41,6 +41,8 @@ class Windowing:
 
     ``as_of`` is the day ages are taken at (today by default), ``strict_ages`` as in
     :func:`careflow.functions.age_group`. ``salts`` spreads hot doctors and patients in streams.
+    ``ids_first`` sums a batch by doctor and patient before looking anything up: worth its shuffle where
+    the dimensions are too large to broadcast and the same pairs come back within a window.
     ``forget_keys`` bounds the state of first-row tests by the watermark, for streams whose keys do not
     come back.
     """
@@ -51,6 +53,7 @@ class Windowing:
     as_of: dt.date | str | None = None
     strict_ages: bool = True
     salts: int = 1
+    ids_first: bool = False
     forget_keys: bool = False
 
 
@@ -66,6 +69,8 @@ class TradeSummary:
     once_per: str | None = None
 
     def build(self, fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+        if how.ids_first and not fact.isStreaming:
+            return self.from_ids(self.by_ids(fact, how), dims, how)
         counted = enrich(self._rows(fact, how), dims, how)
         measures = [F.sum(self.amount), F.count(F.lit(1))]
         return self._named(self._windows(counted, measures, _GROUP, how), dims, how)
@@ -82,7 +87,10 @@ class TradeSummary:
         grouped = (
             enrich(windows, dims, how)
             .groupBy("window", *_GROUP)
-            .agg(F.sum(amount).alias(amount), F.sum(count).alias(count))
+            .agg(
+                F.sum(amount).cast(windows.schema[amount].dataType).alias(amount),
+                F.sum(count).alias(count),
+            )
         )
         return self._named(grouped, dims, how)
 

@@ -92,6 +92,20 @@ def test_latest_routes(spark):
     assert rows(got) == [("a", "dim_a", "id"), ("d", "dim_c", "id,name"), ("e", "dim_e", "id,x")]
 
 
+def test_preloaded_routes_give_way_to_changes(spark):
+    preloaded = spark.createDataFrame(
+        [tuple(image(name, f"dim_{name}").values()) for name in "abcd"], ROUTE
+    )
+    log = config(
+        spark,
+        ("d", image("a", "dim_a"), None),
+        ("u", image("b", "dim_b"), image("b", "dim_b", "id")),
+        ("u", image("c", "dim_c"), image("e", "dim_c")),
+    )
+    got = latest_routes(log, preloaded=preloaded).select("source_table", "sink_columns")
+    assert rows(got) == [("b", "id"), ("d", "id,name"), ("e", "id,name")]
+
+
 def test_table_lifecycle(spark):
     log = config(
         spark,

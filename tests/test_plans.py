@@ -225,3 +225,5 @@ def test_hot_doctor_and_patient(spark, dims):
     assert sum(row[-1] for row in plain) == 3000
     spread = Windowing(as_of="2024-02-01", salts=8)
     assert rows(build_summary("consultation", fact, dims, spread)) == plain
+    early = Windowing(as_of="2024-02-01", ids_first=True)
+    assert rows(build_summary("consultation", fact, dims, early)) == plain
