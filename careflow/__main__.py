@@ -16,6 +16,10 @@ from careflow.sources import decode_config, decode_envelope, land_ods, read_land
 from careflow.streaming import dimension_job, fact_job, store_dimensions, summary_job
 
 
+# Summaries that remember every prescription, or every user of a hospital.
+KEEPS_KEYS = ("prescription", "prescription_paid", "review")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="careflow", description="Healthcare change-log warehouse")
     top.add_argument("--master", help="Spark master; spark-submit sets its own")
@@ -55,7 +59,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(arguments)
-    spark = spark or build_session(f"careflow-{args.job}", args.master, args.zone)
+    keeps_keys = args.job == "summary" and args.name in KEEPS_KEYS
+    spark = spark or build_session(
+        f"careflow-{args.job}", args.master, args.zone, state_on_disk=keeps_keys
+    )
     stream = {
         "checkpoint": args.checkpoint,
         "trigger": {"processingTime": args.every} if args.every else None,

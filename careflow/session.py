@@ -11,9 +11,8 @@ from pyspark.sql import SparkSession
 # The wall-clock zone in which the change log writes its times.
 DEFAULT_ZONE = "Asia/Shanghai"
 
-# Keys of first-row tests pile up over the life of a stream. This store keeps them on disk and checkpoints
-# only what changed; the default one keeps them all in executor memory.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Keeps the state of a stream on disk and checkpoints only what changed.
+DISK_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(
@@ -21,9 +20,13 @@ def build_session(
     master: str | None = None,
     zone: str = DEFAULT_ZONE,
     settings: dict[str, str] | None = None,
+    state_on_disk: bool = False,
 ) -> SparkSession:
     """A session with adaptive execution on. ``settings`` go on top.
 
+    ``state_on_disk`` is for streams with first-row tests, whose keys pile up over their life. Spark's own
+    store holds all state in executor memory; it is faster for windows, which come and go.
+
     The number of shuffle partitions is left to the cluster; on a local master it follows the cores,
     because the default of 200 is mostly scheduling cost there.
     """
@@ -33,9 +36,11 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
+    if state_on_disk:
+        builder = builder.config(
+            "spark.sql.streaming.stateStore.providerClass", DISK_STATE_STORE
+        ).config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     if master:
         builder = builder.master(master)
         if master.startswith("local"):

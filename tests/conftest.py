@@ -16,7 +16,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("careflow-tests", master="local[4]", zone="Asia/Shanghai", settings=SETTINGS)
+    session = build_session(
+        "careflow-tests", master="local[4]", zone="Asia/Shanghai", settings=SETTINGS, state_on_disk=True
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
