@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from careflow.operators.sizes import at_most
 from careflow.operators.upsert import apply_changes
@@ -86,7 +87,13 @@ class DimensionStore:
         path = f"{self.root}/snapshots/{table}/upto={upto}"
         self._fold(table, others, upto).write.mode("overwrite").parquet(path)
         self._record(
-            self.spark.createDataFrame([(table, "snapshot", upto, path, None)], _EVENTS)
+            self.spark.range(1).select(
+                F.lit(table).alias("sink_table"),
+                F.lit("snapshot").alias("event"),
+                F.lit(upto).cast("long").alias("upto"),
+                F.lit(path).alias("path"),
+                F.lit(None).cast("long").alias("config_seq"),
+            )
         )
 
     def _fold(
@@ -96,7 +103,7 @@ class DimensionStore:
         upto: int | None = None,
         only: DataFrame | None = None,
     ) -> DataFrame:
-        current, floor = self._start(table, upto)
+        start, floor = self._start(table, upto)
         changes = self._changes().where(
             (F.col("sink_table") == table) & (F.col("batch_id") > floor)
         )
@@ -108,8 +115,11 @@ class DimensionStore:
             F.col("type").alias("_kind"),
             *(F.col("data")[name].alias(name) for name in columns),
         )
-        if current is not None:
-            current = current.select("_row_key", "_seq", *columns)
+        current = None
+        if start is not None:
+            # A column that is newer than the snapshot is NULL in it.
+            kept = T.StructType([T.StructField(name, T.StringType()) for name in ("_row_key", *columns)])
+            current = self.spark.read.schema(kept.add("_seq", T.LongType())).parquet(start)
         if only is not None:
             wanted = only.select(F.col(only.columns[0]).alias("_row_key")).distinct()
             if at_most(wanted, MAX_KEYS):
@@ -118,8 +128,8 @@ class DimensionStore:
                     current = current.join(F.broadcast(wanted), "_row_key", "left_semi")
         return apply_changes(flat, columns, current, keys=["_row_key"], seq="_seq", kind="_kind")
 
-    def _start(self, table: str, upto: int | None) -> tuple[DataFrame | None, int]:
-        """The snapshot to start from, if any, and the last batch it or a drop covers."""
+    def _start(self, table: str, upto: int | None) -> tuple[str | None, int]:
+        """The path of the snapshot to start from, if any, and the last batch it or a drop covers."""
         events = self._events().where(F.col("sink_table") == table)
         if upto is not None:
             events = events.where(F.col("upto") < upto)
@@ -130,7 +140,7 @@ class DimensionStore:
         dropped = -1 if last.dropped is None else last.dropped
         if last.kept is None or last.kept.upto <= dropped:
             return None, dropped
-        return self.spark.read.parquet(last.kept.path), last.kept.upto
+        return last.kept.path, last.kept.upto
 
     def _changes(self) -> DataFrame:
         return self._table("changes", _CHANGES, "parquet")

@@ -317,3 +317,15 @@ ORACLE: dict[str, str] = {
             WHERE event_type = 'click') - INTERVAL 5 SECONDS""",
     "stream_fact_prescription_paid": f"WITH {EV}, {PAID_WIDE} SELECT {PAID_COLUMNS} FROM paid",
 }
+
+# Other ways to the same results.
+ORACLE["dim_store"] = f"SELECT sink_table, row_key, a, b FROM ({ORACLE['dim_tables']})"
+ORACLE["fact_from_landed_log"] = ORACLE["fact_consultation"]
+ORACLE["fact_through_topic"] = ORACLE["fact_doctor_register"]
+ORACLE["lookup_salted"] = ORACLE["lookup_doctor_hospital"]
+ORACLE["summary_consultation_ids_first"] = ORACLE["summary_consultation_daily"]
+ORACLE["summary_table"] = ORACLE["summary_reviews_daily"]
+ORACLE["stream_first_row"] = "SELECT DISTINCT user_id, event_type FROM events"
+ORACLE["stream_ttl_join"] = """SELECT c.event_id AS click_id, v.event_id AS view_id
+    FROM events c JOIN events v ON c.user_id = v.user_id AND c.event_type = 'click' AND v.event_type = 'view'
+    AND c.ts BETWEEN v.ts - INTERVAL 1 DAY AND v.ts + INTERVAL 1 DAY"""

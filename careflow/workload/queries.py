@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,25 @@ from careflow.operators import (
     prune,
     route,
     table_lifecycle,
+    ttl_join,
     tumbling,
     with_bounds,
 )
 from careflow.plans import FACTS, SUMMARIES, build_fact, build_summary
 from careflow.plans.summaries import Windowing, with_age_group
-from careflow.sinks import json_rows
-from careflow.sources import decode_config, decode_envelope, decode_fact, drop_tombstones, rejected
+from careflow.session import working_folder
+from careflow.sinks import DimensionStore, json_rows, read_summary, write_summary
+from careflow.sources import (
+    decode_config,
+    decode_envelope,
+    decode_fact,
+    drop_tombstones,
+    land_ods,
+    read_landed,
+    read_topic,
+    rejected,
+)
+from careflow.streaming.jobs import fact_job, read_fact
 from careflow.workload.bindings import (
     AS_OF,
     MICROS,
@@ -166,6 +179,23 @@ def dim_tables(spark, folder):
     return apply_changes(routed, ["a", "b"], keys=["sink_table", "row_key"])
 
 
+def dim_store(spark, folder):
+    """The same through the dimension store: two batches with a snapshot of each table in between."""
+    store = DimensionStore(spark, working_folder(spark, "dimensions"))
+    wanted, changes = routes(spark, folder), dimension_changes(spark, folder)
+    middle = changes.agg(F.max("seq")).first()[0] // 2
+    store.append(route(changes.where(F.col("seq") <= middle), wanted), 0)
+    tables = [row.sink_table for row in wanted.select("sink_table").collect()]
+    for name in tables:
+        store.snapshot(name, ["a", "b"], upto=0, key="row_key")
+    store.append(route(changes.where(F.col("seq") > middle), wanted), 1)
+    dimensions_now = [
+        store.read(name, ["a", "b"], key="row_key").select(F.lit(name).alias("sink_table"), "*")
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, dimensions_now)
+
+
 def fact(name: str) -> Query:
     return lambda spark, folder: build_fact(name, ods(spark, folder))
 
@@ -182,6 +212,20 @@ def fact_prescription_paid_wide(spark, folder):
     return build_fact("prescription_paid", ods_payments(spark, folder), **WIDE)
 
 
+def fact_from_landed_log(spark, folder):
+    """A fact from the log kept by source table and change kind."""
+    path = working_folder(spark, "landed")
+    land_ods(ods(spark, folder), path)
+    return build_fact("consultation", read_landed(spark, path))
+
+
+def fact_through_topic(spark, folder):
+    """A fact written to its topic as JSON text and read back."""
+    path = working_folder(spark, "topic")
+    fact_job("doctor_register", ods(spark, folder), format="text", path=path)
+    return read_fact("doctor_register", read_topic(spark, format="text", path=path))
+
+
 def fact_typed_decode(spark, folder):
     topic = json_rows(build_fact("prescription", ods(spark, folder)))
     schema = SUMMARIES["prescription"].input_schema(FACTS["prescription"].columns)
@@ -220,6 +264,12 @@ def lookup_doctor_hospital(spark, folder):
     )
 
 
+def lookup_salted(spark, folder):
+    visits = build_fact("consultation", ods(spark, folder)).select("id", "doctor_id")
+    doctors = dimensions(spark, folder).doctor
+    return lookup(visits, doctors, "doctor_id", {"hospital_id": "hospital_id"}, salts=8)
+
+
 def lookup_patient_age_group(spark, folder):
     visits = build_fact("consultation", ods(spark, folder)).select("id", "patient_id")
     patients = with_age_group(dimensions(spark, folder).patient, AS_OF)
@@ -311,6 +361,22 @@ def summary(name: str, size: str, source=ods, **options) -> Query:
     return query
 
 
+def summary_consultation_ids_first(spark, folder):
+    """Sums by doctor and patient before any lookup."""
+    how = Windowing(size="1 day", as_of=AS_OF, ids_first=True)
+    rows = build_fact("consultation", ods(spark, folder))
+    return plain(build_summary("consultation", rows, dimensions(spark, folder), how))
+
+
+def summary_table(spark, folder):
+    """A summary written to its table and read back."""
+    path = working_folder(spark, "summary")
+    how = Windowing(size="1 day", as_of=AS_OF)
+    rows = build_fact("review", ods(spark, folder))
+    write_summary(build_summary("review", rows, dimensions(spark, folder), how), path)
+    return read_summary(spark, path)
+
+
 def plain(rows: DataFrame) -> DataFrame:
     """Sums of money as doubles, for comparison with another engine."""
     return rows.select(
@@ -361,6 +427,31 @@ def stream_fact_prescription_paid(spark, folder):
     )
 
 
+def stream_first_row(spark, folder):
+    """Users seen, each once, in a stream."""
+    events = stream_table(spark, folder, "events").select("user_id", "event_type")
+    return run_to_table(first_row(events, ["user_id", "event_type"]), "first")
+
+
+def stream_ttl_join(spark, folder):
+    """Join of two streams that keep each row for a day."""
+    events = stream_table(spark, folder, "events")
+    clicks = events.where("event_type = 'click'").select(
+        F.col("event_id").alias("click_id"),
+        F.col("user_id").alias("click_user"),
+        F.col("ts").cast("timestamp").alias("click_time"),
+    )
+    views = events.where("event_type = 'view'").select(
+        F.col("event_id").alias("view_id"),
+        F.col("user_id").alias("view_user"),
+        F.col("ts").cast("timestamp").alias("view_time"),
+    )
+    joined = ttl_join(
+        clicks, views, "click_user", "view_user", "click_time", "view_time", ttl=DAY, salts=2
+    )
+    return run_to_table(joined.select("click_id", "view_id"), "ttl")
+
+
 QUERIES: dict[str, Query] = {
     "ods_decode": ods_decode,
     "ods_decode_keys": ods_decode_keys,
@@ -374,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "dim_upsert_latest": dim_upsert_latest,
     "dim_delete": dim_delete,
     "dim_tables": dim_tables,
+    "dim_store": dim_store,
     "fact_consultation": fact("consultation"),
     "fact_consultation_paid": fact("consultation_paid"),
     "fact_consultation_paid_transition": fact_consultation_paid_transition,
@@ -384,6 +476,8 @@ QUERIES: dict[str, Query] = {
     "fact_patient_add": fact("patient_add"),
     "fact_doctor_register": fact("doctor_register"),
     "fact_review": fact("review"),
+    "fact_from_landed_log": fact_from_landed_log,
+    "fact_through_topic": fact_through_topic,
     "mask_email": customer_mask(
         "email",
         "concat(lower(c_name), CASE WHEN c_custkey % 10 = 0 THEN '' ELSE '@' END, "
@@ -397,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "age_group": age_groups,
     "interval_join_events": interval_join_events,
     "lookup_doctor_hospital": lookup_doctor_hospital,
+    "lookup_salted": lookup_salted,
     "lookup_patient_age_group": lookup_patient_age_group,
     "tumbling_keyed": tumbling_keyed("10 seconds"),
     "tumbling_keyed_daily": tumbling_keyed("1 day"),
@@ -420,9 +515,13 @@ QUERIES: dict[str, Query] = {
     "summary_doctor_register_daily": summary("doctor_register", "1 day"),
     "summary_reviews": summary("review", "10 seconds"),
     "summary_reviews_daily": summary("review", "1 day"),
+    "summary_consultation_ids_first": summary_consultation_ids_first,
     "summary_json": summary_json,
+    "summary_table": summary_table,
     "stream_tumbling": stream_tumbling,
     "stream_late_drop": stream_late_drop,
     "stream_summary_consultation": stream_summary_consultation,
     "stream_fact_prescription_paid": stream_fact_prescription_paid,
+    "stream_first_row": stream_first_row,
+    "stream_ttl_join": stream_ttl_join,
 }

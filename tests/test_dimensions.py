@@ -229,6 +229,16 @@ def test_store_reads_what_was_put(spark, routes, folder):
     assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+L? > 1", plan)
 
 
+def test_a_column_newer_than_the_snapshot(spark, routes, folder):
+    store = DimensionStore(spark, folder)
+    store.append(route(changes(spark, ("patient", "insert", {"id": "1", "name": "a"}, None)), routes), 0)
+    store.snapshot("dim_patient", ["id", "name"], upto=0)
+    wider = spark.createDataFrame([tuple(image(columns="id,name,age").values())], ROUTE)
+    later = changes(spark, ("patient", "update", {"id": "1", "age": "7"}, None)).withColumn("seq", F.col("seq") + 5)
+    store.append(route(later, wider), 1)
+    assert rows(store.read("dim_patient", ["id", "name", "age"])) == [("1", "a", "7")]
+
+
 def test_store_reads_only_some_keys(spark, routes, folder, monkeypatch):
     store = DimensionStore(spark, folder)
     log = changes(spark, *(("patient", "insert", {"id": str(n), "name": f"n{n}"}, None) for n in range(9)))
