@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from careflow.functions import event_time
-from careflow.operators import first_row, tumbling, with_bounds
+from careflow.operators import first_row, interval_join, ttl_join, tumbling, with_bounds
 from careflow.plans import FACTS, SUMMARIES, build_fact, build_summary
 from careflow.plans.facts import PAYLOAD_KEYS
 from careflow.plans.summaries import Windowing
@@ -144,6 +144,28 @@ def test_only_trade_summaries_read_dimensions_late(spark, folder):
         summary_job("review", spark.createDataFrame([], "value string"), lambda rows: None, folder)
 
 
+@pytest.mark.parametrize("join, options", [(interval_join, {}), (interval_join, {"salts": 3}), (ttl_join, {})])
+def test_join_state_is_dropped_behind_the_watermark(spark, folder, join, options):
+    for start in (0, 2000, 4000):
+        made = spark.range(start, start + 2000).selectExpr("concat('k', id % 50) AS k", "timestamp_seconds(id * 60) AS t")
+        made.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def side(name):
+        stream = spark.readStream.schema("k string, t timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        return stream.select(F.col("k").alias(f"{name}_k"), F.col("t").alias(f"{name}_t"))
+
+    joined = join(side("left"), side("right"), "left_k", "right_k", "left_t", "right_t", **options)
+    query = (
+        joined.writeStream.format("noop")
+        .option("checkpointLocation", f"{folder}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    kept = [progress["stateOperators"][0]["numRowsTotal"] for progress in query.recentProgress]
+    assert kept[0] > 1000 and kept[-1] < 100
+
+
 def clock(spark, *seconds):
     base = F.lit("2024-01-01 00:00:00").cast("timestamp")
     return spark.createDataFrame([(float(s), f"k{int(s)}") for s in seconds], "s double, k string").select(
