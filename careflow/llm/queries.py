@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import html_extraction, packing, token_counts
+from careflow.llm import chat_formatting, html_extraction, license_scan, packing, quality_rules, token_counts
 from careflow.llm.shared import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ranks = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(BYTE_BPE_RANKS)
     return packing.pack(table(spark, sf_dir, "documents"), path, ranks, public_tokenizers.PATTERN).drop("ids")
@@ -27,10 +31,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(table(spark, sf_dir, "documents"))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_formatting.rotate(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_license_scan": op2_license_scan,
     "op4_packing": op4_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_rules": op8_quality_rules,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {}
