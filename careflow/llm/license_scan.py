@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import fingerprint, same_row, text_of
+from careflow.llm.shared import fingerprint, text_of
 
 #: Phrases that must stand word for word, with their labels.
 PHRASES = (
@@ -82,12 +82,24 @@ def spans(voted: DataFrame, shift: int = SHIFT) -> DataFrame:
     apart = F.coalesce(F.col("_diagonal") - F.lag("_diagonal").over(one) > shift, F.lit(True))
     parted = voted.withColumn("_apart", apart.cast("int")).withColumn("_span", F.sum("_apart").over(one.rowsBetween(Window.unboundedPreceding, 0)))
     merged = parted.groupBy("doc_id", "_fp", "_template", "_base", "_label", "_size", "_span").agg(
-        F.array_distinct(F.flatten(F.collect_list("_tposes"))).alias("_tposes"), F.min("_diagonal").alias("_from")
+        F.array_distinct(F.flatten(F.collect_list("_tposes"))).alias("_tposes"),
+        F.min(F.col("_diagonal") + F.array_min("_tposes")).alias("_from"),
+        F.max(F.col("_diagonal") + F.array_max("_tposes") + GRAM - 1).alias("_to"),
     )
     covered = F.array_distinct(F.flatten(F.transform("_tposes", lambda t: F.array(t, t + 1, t + 2))))
     return merged.withColumn("_cover", F.size(covered) / F.col("_size"))
 
 
+def best(found: DataFrame) -> DataFrame:
+    """Of notices whose spans overlap, as those of one license family do, the best covered and then longest one."""
+    one = Window.partitionBy("doc_id", "_fp").orderBy("_from", "_to", "_template").rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("_from") > F.max("_to").over(one), F.lit(True)).cast("int")
+    running = Window.partitionBy("doc_id", "_fp").orderBy("_from", "_to", "_template").rowsBetween(Window.unboundedPreceding, 0)
+    grouped = found.withColumn("_apart", apart).withColumn("_group", F.sum("_apart").over(running))
+    order = Window.partitionBy("doc_id", "_fp", "_group").orderBy(F.desc("_cover"), F.desc("_size"), "_template")
+    return grouped.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+
+
 def scan(
     docs: DataFrame,
     phrases: tuple[tuple[str, str], ...] = PHRASES,
@@ -101,8 +113,8 @@ def scan(
     Every rolling 3-word gram of a document that equals a template's gram votes for the diagonal of their positions.
     A phrase of ``phrases`` stands where one diagonal has all its grams: these places give ``n_base``, ``first_word``,
     ``last_word`` and ``base_labels``. For ``notices``, diagonals up to ``shift`` apart merge to a span, which counts
-    where its votes cover at least ``cover`` of the notice's words; these labels and the base ones make ``labels``,
-    and ``score`` is the best share, 0 without one. Templates have at least three words.
+    where its votes cover at least ``cover`` of the notice's words and no overlapping span is covered better; these
+    labels and the base ones make ``labels``, and ``score`` is the best share, 0 without one. Templates have at least three words.
 
     Each input row gives one row. A null text is an empty one: no words, no labels. Rows that repeat are each given
     in full; ids may repeat or be null. Columns of the input other than doc_id and the text are left out. Text length
@@ -115,10 +127,18 @@ def scan(
     base = voted.where(whole).groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n_base"), F.min("_diagonal").alias("_first"), F.max("_diagonal").alias("_last"), F.collect_set("_label").alias("_base_set")
     )
-    found = spans(voted, shift).where((~F.col("_base") & (F.col("_cover") >= cover)) | (F.col("_base") & (F.col("_cover") == 1)))
-    noticed = found.groupBy(*key).agg(F.max("_cover").alias("_score"), F.collect_set(F.when(~F.col("_base"), F.col("_label"))).alias("_set"))
-    hits = noticed.join(base, same_row(noticed, base, *key), "left").select(
-        noticed["doc_id"].alias("_id"), noticed["_fp"].alias("_hit"), "_n_base", "_first", "_last", "_base_set", "_set", "_score"
+    found = best(spans(voted.where(~F.col("_base")), shift).where(F.col("_cover") >= cover))
+    noticed = found.groupBy(*key).agg(F.max("_cover").alias("_cover"), F.collect_set("_label").alias("_set"))
+    both = base.unionByName(noticed, allowMissingColumns=True).groupBy(*key)
+    hits = both.agg(*(F.max(c).alias(c) for c in ("_n_base", "_first", "_last", "_base_set", "_cover", "_set"))).select(
+        F.col("doc_id").alias("_id"),
+        F.col("_fp").alias("_hit"),
+        "_n_base",
+        "_first",
+        "_last",
+        "_base_set",
+        "_set",
+        F.when(F.col("_n_base") > 0, 1.0).otherwise(F.col("_cover")).alias("_score"),
     )
     rows = docs.select("doc_id", fingerprint(text).alias("_fp"), F.size(words(text_of(text))).cast("long").alias("n_words"))
     joined = rows.join(hits, rows["doc_id"].eqNullSafe(hits["_id"]) & (rows["_fp"] == hits["_hit"]), "left")

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from careflow.llm import chat_formatting, html_extraction, license_scan, packing, quality_rules, token_counts
+from careflow.llm.oracle import ORACLE  # noqa: F401
 from careflow.llm.shared import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -47,5 +48,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
 }
-
-ORACLE: dict[str, str] = {}

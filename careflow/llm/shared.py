@@ -42,11 +42,3 @@ def text_of(column: str = "text") -> Column:
 def fingerprint(column: str = "text") -> Column:
     """Hash of a text. With doc_id it names a row even if ids repeat or are null: rows that agree in both are equal."""
     return F.xxhash64(text_of(column))
-
-
-def same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality of the named columns of two tables."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
