@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import chat_formatting, html_extraction, license_scan, packing, quality_rules, token_counts
+from careflow.llm import chat_formatting, html_extraction, license_scan, packing, quality_rules, suffix_dedup, token_counts
 from careflow.llm.oracle import ORACLE  # noqa: F401
 from careflow.llm.shared import table
 
@@ -36,6 +36,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_formatting.rotate(table(spark, sf_dir, "conversations"))
 
@@ -46,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_formatting": op10_chat_formatting,
 }
