@@ -42,3 +42,12 @@ def text_of(column: str = "text") -> Column:
 def fingerprint(column: str = "text") -> Column:
     """Hash of a text. With doc_id it names a row even if ids repeat or are null: rows that agree in both are equal."""
     return F.xxhash64(text_of(column))
+
+
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
+
+
+def row_id(column: str = "doc_id") -> Column:
+    """The id as a join key, also where it is null."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
