@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import chat_formatting, decontamination, html_extraction, license_scan, packing, quality_rules, suffix_dedup, token_counts
+from careflow.llm import chat_formatting, decontamination, html_extraction, license_scan, near_dedup, packing, quality_rules, suffix_dedup, token_counts
 from careflow.llm.oracle import ORACLE  # noqa: F401
 from careflow.llm.shared import table
 
@@ -28,6 +28,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, ranks, public_tokenizers.PATTERN).drop("ids")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_fp")
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
     "op4_packing": op4_packing,
+    "op5_near_dedup": op5_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
