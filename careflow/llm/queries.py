@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import chat_formatting, decontamination, html_extraction, license_scan, near_dedup, packing, quality_rules, suffix_dedup, token_counts
+from careflow.llm import chat_formatting, decontamination, html_extraction, license_scan, lm_scoring, near_dedup, packing, quality_rules, suffix_dedup, token_counts
 from careflow.llm.oracle import ORACLE  # noqa: F401
 from careflow.llm.shared import table
 
@@ -23,6 +23,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ranks = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(BYTE_BPE_RANKS)
     return packing.pack(table(spark, sf_dir, "documents"), path, ranks, public_tokenizers.PATTERN).drop("ids")
@@ -55,6 +59,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_decontamination": op6_decontamination,

@@ -273,7 +273,7 @@ def rest_of(texts: DataFrame, length: int) -> DataFrame:
                     rest = b"".join(data[a:b] for a, b in zip(borders[::2], borders[1::2], strict=True))
                     rows.append((doc_id, fp, int((gone[:, 1] - gone[:, 0]).sum()), len(gone), hashlib.sha256(rest).hexdigest(), rest))
             out = pd.DataFrame(rows, columns=["doc_id", "fp", "n_removed", "n_spans", "kept_sha256", "rest"])
-            yield out.astype({"doc_id": "Int64"})
+            yield out.astype({"doc_id": "Int64", "kept_sha256": object})
 
     return texts.mapInPandas(cut, "doc_id long, fp long, n_removed long, n_spans long, kept_sha256 string, rest binary")
 
