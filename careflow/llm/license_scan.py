@@ -83,6 +83,7 @@ def spans(voted: DataFrame, shift: int = SHIFT) -> DataFrame:
     parted = voted.withColumn("_apart", apart.cast("int")).withColumn("_span", F.sum("_apart").over(one.rowsBetween(Window.unboundedPreceding, 0)))
     merged = parted.groupBy("doc_id", "_fp", "_template", "_base", "_label", "_size", "_span").agg(
         F.array_distinct(F.flatten(F.collect_list("_tposes"))).alias("_tposes"),
+        F.count(F.lit(1)).alias("_diagonals"),
         F.min(F.col("_diagonal") + F.array_min("_tposes")).alias("_from"),
         F.max(F.col("_diagonal") + F.array_max("_tposes") + GRAM - 1).alias("_to"),
     )
@@ -91,12 +92,12 @@ def spans(voted: DataFrame, shift: int = SHIFT) -> DataFrame:
 
 
 def best(found: DataFrame) -> DataFrame:
-    """Of notices whose spans overlap, as those of one license family do, the best covered and then longest one."""
+    """Of notices whose spans overlap, as those of one license family do, the best covered one, then that on fewest diagonals, then the longest."""
     one = Window.partitionBy("doc_id", "_fp").orderBy("_from", "_to", "_template").rowsBetween(Window.unboundedPreceding, -1)
     apart = F.coalesce(F.col("_from") > F.max("_to").over(one), F.lit(True)).cast("int")
     running = Window.partitionBy("doc_id", "_fp").orderBy("_from", "_to", "_template").rowsBetween(Window.unboundedPreceding, 0)
     grouped = found.withColumn("_apart", apart).withColumn("_group", F.sum("_apart").over(running))
-    order = Window.partitionBy("doc_id", "_fp", "_group").orderBy(F.desc("_cover"), F.desc("_size"), "_template")
+    order = Window.partitionBy("doc_id", "_fp", "_group").orderBy(F.desc("_cover"), "_diagonals", F.desc("_size"), "_template")
     return grouped.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
 
 

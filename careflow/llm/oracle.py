@@ -42,7 +42,7 @@ apart AS (
 parted AS (
   SELECT doc_id, template, diagonal, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM apart),
 covered AS (
-  SELECT doc_id, template, label, size, span, count(DISTINCT tpos + k) / size AS cover,
+  SELECT doc_id, template, label, size, span, count(DISTINCT tpos + k) / size AS cover, count(DISTINCT diagonal) AS diagonals,
          min(diagonal + tpos) AS first, max(diagonal + tpos + {GRAM} - 1) AS last
   FROM (SELECT v.*, p.span, unnest([0, 1, 2]) AS k FROM votes v JOIN parted p USING (doc_id, template, diagonal) WHERE NOT base)
   GROUP BY doc_id, template, label, size, span HAVING count(DISTINCT tpos + k) / size >= {COVER}),
@@ -50,7 +50,7 @@ islands AS (
   SELECT *, CASE WHEN first <= max(last) OVER (PARTITION BY doc_id ORDER BY first, last, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                  THEN 0 ELSE 1 END AS opens FROM covered),
 grouped AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY first, last, template ROWS UNBOUNDED PRECEDING) AS island FROM islands),
-best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY cover DESC, size DESC, template) AS place FROM grouped),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY cover DESC, diagonals, size DESC, template) AS place FROM grouped),
 noticed AS (SELECT doc_id, max(cover) AS score, list(DISTINCT label) AS labels FROM best WHERE place = 1 GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
