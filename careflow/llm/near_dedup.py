@@ -250,13 +250,13 @@ def classes(
     comps = components(members, sets, similarity, folder)
     of_key = nodes.join(comps, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
     named = kept(signed.select("id", "fp", "key").join(of_key, "key").select("id", "fp", "comp"), folder, "named")
-    ids = named.groupBy("comp").agg(F.min(F.nullif("id", F.lit(NO_ID))).alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("id", "fp")).alias("_first"))
+    ids = named.groupBy("comp").agg(F.min(F.nullif("id", F.lit(NO_ID))).alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct((F.col("id") == NO_ID).alias("is_null"), "id", "fp")).alias("_first"))
     return named.join(ids, "comp").select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.col("fp").alias("_fp"), "class_id", "class_size", "_first")
 
 
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, that come first by doc_id in their class, one row of each class."""
-    first = classes(docs, text=text).select("_first.*").distinct().select(F.col("id").alias("_first_id"), F.col("fp").alias("_first_fp"))
+    """The row of each class, with all columns, that comes first by doc_id, null ids last."""
+    first = classes(docs, text=text).select("_first.id", "_first.fp").distinct().select(F.col("id").alias("_first_id"), F.col("fp").alias("_first_fp"))
     rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_fp"), F.struct(*docs.columns).alias("_row"))
     best = rows.join(first, (rows["_id"] == first["_first_id"]) & (rows["_fp"] == first["_first_fp"]), "left_semi")
     return best.dropDuplicates(["_id", "_fp"]).select("_row.*")
