@@ -27,13 +27,32 @@ def working_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Spark's setting that removes the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write ``df`` as a table of the working folder and read it back, which cuts its lineage."""
+    """Write ``df`` as a table of the working folder and read it back, which cuts its lineage.
+
+    Its shuffle files go with the writing job, so that a chain of such steps needs the disk of one.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def dropped(spark: SparkSession, folder: str, *names: str) -> None:
+    """Removes tables of the working folder that nothing reads any more."""
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import fingerprint, kept, text_of, working_folder
+from careflow.llm.shared import dropped, fingerprint, kept, text_of, working_folder
 
-LENGTH, GRAM = 200, 120
+LENGTH, GRAM = 200, 110
 
 #: Starts handled at once; longer texts go in blocks. Stretches end at block borders, which changes no result.
 BLOCK = 1 << 20
@@ -90,39 +90,42 @@ def stretches(data: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray,
         yield hashes[minima[begin] & low], rolling.of(begin, end + length - 1) + (end - begin).astype(np.uint64), begin + at, end + at
 
 
-def signed(h: np.ndarray) -> pa.Array:
-    return pa.array(h.view(np.int64))
+def in_batches(parts: Iterator[tuple[np.ndarray, ...]], doc_ids: pa.Array, names: list[str], most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Joins the columns that a batch's texts give to few Arrow batches.
+
+    The first of a part's values is the row of its text in the batch; its id comes from ``doc_ids``. Unsigned hashes are
+    given as signed numbers of the same bits.
+    """
+
+    def joined() -> pa.RecordBatch:
+        row = pa.array(np.repeat([p[0] for p in waiting], [len(p[1]) for p in waiting]))
+        columns = [np.concatenate(c) for c in zip(*(p[1:] for p in waiting), strict=True)]
+        arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns]
+        return pa.RecordBatch.from_arrays([*(ids.take(row) for ids in doc_ids), *arrays], names)
+
+    waiting: list[tuple] = []
+    size = 0
+    for part in parts:
+        waiting.append(part)
+        size += len(part[1])
+        if size >= most:
+            yield joined()
+            waiting, size = [], 0
+    if waiting:
+        yield joined()
 
 
 def leading(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """The stretches of each document: ``lead`` and ``whole`` hashes, ``begin`` and ``end`` of the starts."""
+    names = ["doc_id", "fp", "lead", "whole", "begin", "end"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text in enumerate(batch.column(2)):
-                for lead, whole, begin, end in stretches(text.as_py().encode(), length, gram):
-                    ids = [pa.repeat(batch.column(i)[row], len(lead)) for i in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*ids, signed(lead), signed(whole), pa.array(begin), pa.array(end)], ["doc_id", "fp", "lead", "whole", "begin", "end"])
-
-    return docs.mapInArrow(merged(cut), "doc_id long, fp long, lead long, whole long, begin long, end long")
-
+            texts = enumerate(batch.column(2))
+            parts = ((row, *found) for row, text in texts for found in stretches(text.as_py().encode(), length, gram))
+            yield from in_batches(parts, batch.columns[:2], names)
 
-def merged(rows):  # noqa: ANN001, ANN201
-    """Joins the small batches of an Arrow function, so that few go to the JVM."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        size = 0
-        for batch in rows(batches):
-            waiting.append(batch)
-            size += batch.num_rows
-            if size >= 50_000:
-                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-                waiting, size = [], 0
-        if waiting:
-            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-
-    return run
+    return docs.mapInArrow(cut, "doc_id long, fp long, lead long, whole long, begin long, end long")
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int, most: int = 200_000) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -185,7 +188,7 @@ def classified(suffixes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids(out[0]), *map(pa.array, out[1:])], ["doc_id", "fp", "begin", "end", "state"])
 
     ranged = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(merged(compare), "doc_id long, fp long, begin long, end long, state int")
+    return ranged.mapInArrow(compare, "doc_id long, fp long, begin long, end long, state int")
 
 
 def ids(values: np.ndarray) -> pa.Array:
@@ -193,25 +196,31 @@ def ids(values: np.ndarray) -> pa.Array:
     return pa.array(values, pa.int64(), from_pandas=True)
 
 
+def edges_of(data: bytes, found: list[dict], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """First 8 bytes, hash and place of every start of the stretches to look at, by blocks of the text."""
+    blocks: dict[int, list[np.ndarray]] = {}
+    for stretch in found:
+        if stretch["state"] != ALL:
+            blocks.setdefault(stretch["begin"] // BLOCK * BLOCK, []).append(np.arange(stretch["begin"], stretch["end"]))
+    for at, starts in blocks.items():
+        place = np.concatenate(starts)
+        piece = data[at : int(place.max()) + length]
+        eight = np.lib.stride_tricks.sliding_window_view(np.frombuffer(piece, np.uint8), 8)[place - at]
+        yield np.ascontiguousarray(eight).view(">u8").ravel().astype(np.uint64), Rolling(piece).of(place - at, place - at + length), place
+
+
 def edge_suffixes(texts: DataFrame, length: int) -> DataFrame:
     """One row for each start of the stretches to look at: its first 8 bytes and the hash of its ``length`` bytes."""
+    names = ["fp", "doc_id", "lead", "rest", "start"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, fp, text, found in zip(*batch.columns, strict=True):
-                data = b""
-                for stretch in found.as_py():
-                    if stretch["state"] == ALL:
-                        continue
-                    data = data or text.as_py().encode()
-                    piece = data[stretch["begin"] : stretch["end"] + length - 1]
-                    hashes = Rolling(piece).all(length)
-                    eight = np.lib.stride_tricks.sliding_window_view(np.frombuffer(piece, np.uint8), 8)[: len(hashes)]
-                    lead = np.ascontiguousarray(eight).view(">u8").ravel().astype(np.uint64)
-                    starts = pa.array(np.arange(stretch["begin"], stretch["end"]))
-                    yield pa.RecordBatch.from_arrays([signed(lead), signed(hashes), pa.repeat(fp, len(lead)), pa.repeat(doc_id, len(lead)), starts], ["lead", "rest", "fp", "doc_id", "start"])
-
-    return texts.mapInArrow(merged(cut), "lead long, rest long, fp long, doc_id long, start long")
+            rows = zip(batch.column(2), batch.column(3), strict=True)
+            parts = ((row, *e) for row, (text, found) in enumerate(rows) for e in edges_of(text.as_py().encode(), found.as_py(), length))
+            yield from in_batches(parts, [batch.column(1), batch.column(0)], names)
+
+    some = texts.where(F.exists("found", lambda f: f["state"] != ALL))
+    return some.mapInArrow(cut, "fp long, doc_id long, lead long, rest long, start long")
 
 
 def compared(suffixes: DataFrame) -> DataFrame:
@@ -230,11 +239,12 @@ def compared(suffixes: DataFrame) -> DataFrame:
             at = np.concatenate((known, ends))
             flags = np.repeat([True, False], [len(known), len(ends)])
             lead, rest, fp, doc_id, start = (c[at] for c in columns)
+            lead[: len(known)] = rest[: len(known)] = 0  # only the ends' keys are needed
             out = [pa.array(flags), pa.array(lead), pa.array(rest), pa.array(fp), ids(doc_id), pa.array(start), pa.array(n[at])]
             yield pa.RecordBatch.from_arrays(out, ["known", *order, "n"])
 
     ranged = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(merged(compare), "known boolean, lead long, rest long, fp long, doc_id long, start long, n long")
+    return ranged.mapInArrow(compare, "known boolean, lead long, rest long, fp long, doc_id long, start long, n long")
 
 
 def across(found: DataFrame) -> DataFrame:
@@ -278,8 +288,8 @@ def rest_of(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInPandas(cut, "doc_id long, fp long, n_removed long, n_spans long, kept_sha256 string, rest binary")
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text") -> DataFrame:
-    """One row for each distinct (doc_id, fp) whose text has repeated strings, with what ``rest_of`` gives.
+def repeats(docs: DataFrame, wanted: tuple[str, ...], length: int = LENGTH, gram: int = GRAM, text: str = "text") -> DataFrame:
+    """One row for each distinct (doc_id, fp) whose text has repeated strings, with the ``wanted`` of what ``rest_of`` gives.
 
     ``length`` is at least 8 and at least ``gram``.
     """
@@ -288,16 +298,20 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     rows = rows.where(F.octet_length("text") >= length)
     suffixes = kept(leading(rows, length, gram), folder, "leading")
     found = classified(suffixes).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("begin", "end", "state")).alias("found"))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "found")
+    found = kept(found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "found"), folder, "found")
+    dropped(docs.sparkSession, folder, "leading")
     named = rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows["fp"] == found["_fp"]))
     texts = kept(named.select("doc_id", "fp", "text", "found"), folder, "texts")
     edges = kept(edge_suffixes(texts, length), folder, "edges")
     equal = kept(compared(edges), folder, "equal")
+    dropped(docs.sparkSession, folder, "edges", "found")
     starts = across(equal).groupBy("doc_id", "fp").agg(F.collect_list("start").alias("starts"))
     starts = starts.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "starts")
     both = texts.join(starts, texts["doc_id"].eqNullSafe(starts["_id"]) & (texts["fp"] == starts["_fp"]), "left")
     whole = rest_of(both.select("doc_id", "fp", "text", "found", "starts"), length)
-    return whole.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(*(F.first(c).alias(f"_{c}") for c in ("n_removed", "n_spans", "kept_sha256", "rest")))
+    whole = kept(whole.select("doc_id", "fp", *wanted), folder, "rest")
+    dropped(docs.sparkSession, folder, "texts", "equal")
+    return whole.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(*(F.first(c).alias(f"_{c}") for c in wanted))
 
 
 def measure(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text") -> DataFrame:
@@ -309,7 +323,7 @@ def measure(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     bytes go if there are ``length`` of them. Texts of any length are handled in blocks. Other columns of the input are left
     out. An empty table gives an empty result.
     """
-    changed = repeats(docs, length, gram, text).drop("_rest")
+    changed = repeats(docs, ("n_removed", "n_spans", "kept_sha256"), length, gram, text)
     rows = docs.select("doc_id", fingerprint(text).alias("fp"), F.octet_length(text_of(text)).cast("long").alias("n_bytes"), F.sha2(text_of(text), 256).alias("_sha"))
     joined = rows.join(changed, rows["doc_id"].eqNullSafe(changed["_id"]) & (rows["fp"] == changed["_fp"]), "left")
     return joined.select(
@@ -326,7 +340,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, tex
 
     A character of which only some bytes are removed goes whole. A null text stays null.
     """
-    changed = repeats(docs, length, gram, text).select("_id", "_fp", "_rest")
+    changed = repeats(docs, ("rest",), length, gram, text)
     readable = F.pandas_udf(lambda values: values.map(lambda b: None if b is None else b.decode("utf-8", "ignore")), "string")
     rows = docs.select(F.col("doc_id").alias("_doc"), fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
     joined = rows.join(changed, rows["_doc"].eqNullSafe(changed["_id"]) & (rows["_row_fp"] == changed["_fp"]), "left")
