@@ -2,13 +2,11 @@ from careflow.operators.first import first_flag, first_row
 from careflow.operators.joins import interval_join, ttl_join
 from careflow.operators.lookup import lookup
 from careflow.operators.routing import latest_routes, prune, route, table_lifecycle
-from careflow.operators.sizes import at_most
 from careflow.operators.upsert import apply_changes, deleted_keys
 from careflow.operators.windows import tumbling, with_bounds
 
 __all__ = [
     "apply_changes",
-    "at_most",
     "deleted_keys",
     "first_flag",
     "first_row",

@@ -28,6 +28,8 @@ def first_row(
         if within_watermark:
             return df.dropDuplicatesWithinWatermark(list(keys))
         return df.dropDuplicates(list(keys))
+    if within_watermark:
+        raise ValueError("a batch has no watermark and forgets no key")
     rest = [*order, *(name for name in df.columns if name not in (*order, *keys))]
     firsts = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
     return firsts.select(*keys, "_first.*").select(*df.columns)

@@ -27,19 +27,21 @@ def ttl_join(
     right_key: str,
     left_time: str,
     right_time: str,
-    ttl: dt.timedelta = JOIN_TTL,
+    ttl: dt.timedelta | None = JOIN_TTL,
     out_of_order: dt.timedelta = OUT_OF_ORDER,
     salts: int = 1,
 ) -> DataFrame:
-    """Inner join on a key of two streams that keep each row for ``ttl``.
+    """Inner join on a key of rows whose event times lie at most ``ttl`` apart, in streams and in batches.
 
-    Between streams the two event times may lie at most ``ttl`` apart, which lets Spark forget old rows.
-    Between batches nothing needs to be forgotten and every pair with equal keys is a match.
+    The bound lets Spark forget old rows of a stream. Without it (None) every pair with equal keys is a match,
+    which only batches can have.
 
     With ``salts`` above 1 the rows of one hot ``right`` key are spread over that many tasks, each with
     its own copy of the ``left`` row. A batch join does without: adaptive execution splits the key.
     """
     stream = left.isStreaming and right.isStreaming
+    if stream and ttl is None:
+        raise ValueError("a join of streams needs a ttl")
     if stream:
         left = left.withWatermark(left_time, delay_text(out_of_order))
         right = right.withWatermark(right_time, delay_text(out_of_order))
@@ -48,7 +50,7 @@ def ttl_join(
         left = left.withColumn("_left_salt", each_salt(salts))
         right = right.withColumn("_right_salt", spread(right, salts))
         condition = condition & (F.col("_left_salt") == F.col("_right_salt"))
-    if stream:
+    if ttl is not None:
         condition = condition & _within(left_time, right_time, ttl, ttl)
     return left.join(right, condition, "inner").drop("_left_salt", "_right_salt")
 

@@ -5,13 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careflow.operators.sizes import at_most, each_salt, spread
+from careflow.operators.sizes import each_salt, spread
 from careflow.schemas import CONTROL_TYPES, ROUTE_COLUMNS
 
-# Routing tables have a row per source table. Up to this many are broadcast.
-MAX_BROADCAST_ROUTES = 20_000
-
-
 def latest_routes(
     config: DataFrame, seq: str = "seq", preloaded: DataFrame | None = None
 ) -> DataFrame:
@@ -79,20 +75,20 @@ def prune(data: Column, sink_columns: Column) -> Column:
     return F.map_filter(data, lambda key, _: F.array_contains(wanted, key))
 
 
-def route(changes: DataFrame, routes: DataFrame, salts: int = 64) -> DataFrame:
+def route(changes: DataFrame, routes: DataFrame, salts: int = 1) -> DataFrame:
     """Changes of tables that have a route: ``sink_table``, ``row_key``, ``type``, ``data``, ``seq``.
 
     Control messages and tables without a route are dropped. Puts keep the routed columns only; deletes
     carry the image of the deleted row, from ``old`` or else from ``data``. Changes without a row key
     address no row and are dropped.
 
-    A change log has few source tables, and one may hold most of the log. The routes are broadcast when
-    counting shows that they are few; otherwise the changes of a table are spread over ``salts`` tasks.
+    Routes are few, so Spark broadcasts them by their size; where they outgrow that, adaptive execution splits a
+    source table that holds most of the log. Without it, ``salts`` spreads each table over that many tasks.
     """
     changes = changes.where(~F.col("type").isin(*CONTROL_TYPES))
     wanted = routes.select(*ROUTE_COLUMNS)
-    if at_most(wanted, MAX_BROADCAST_ROUTES):
-        joined = changes.join(F.broadcast(wanted), F.col("table") == F.col("source_table"))
+    if salts == 1:
+        joined = changes.join(wanted, F.col("table") == F.col("source_table"))
     else:
         joined = changes.withColumn("_salt", spread(changes, salts)).join(
             wanted.withColumn("_route_salt", each_salt(salts)),

@@ -1,4 +1,4 @@
-"""Checks and helpers against data that outgrows one task."""
+"""Helpers against keys that outgrow one task."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a batch DataFrame has no more than ``rows`` rows; reads only as far as needed."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def spread(df: DataFrame, salts: int) -> Column:
     """A number below ``salts`` from the values of the row, the same when a lost task runs again."""
     plain = [

@@ -106,8 +106,14 @@ def doctor_register(ods: DataFrame) -> DataFrame:
     )
 
 
-def prescription(ods: DataFrame, ttl: dt.timedelta = JOIN_TTL, salts: int = 1) -> DataFrame:
-    """One row per prescription detail, with the columns of its prescription."""
+def prescription(ods: DataFrame, ttl: dt.timedelta | None = None, salts: int = 1) -> DataFrame:
+    """One row per prescription detail, with the columns of its prescription.
+
+    Both were written no more than ``ttl`` apart. Without it they may lie any time apart in a batch, and ``JOIN_TTL``
+    in a stream, which needs a bound.
+    """
+    if ttl is None and ods.isStreaming:
+        ttl = JOIN_TTL
     heads = _timed(
         _changes(ods, "prescription", "insert").select(
             _field("id", "_head_id"),
@@ -116,9 +122,9 @@ def prescription(ods: DataFrame, ttl: dt.timedelta = JOIN_TTL, salts: int = 1) -
         ),
         "_head_time_text",
         "_head_time",
-        ods.isStreaming,
+        ttl is not None,
     )
-    details = _timed(_details(ods), "create_time", "_detail_time", ods.isStreaming)
+    details = _timed(_details(ods), "create_time", "_detail_time", ttl is not None)
     joined = ttl_join(
         heads,
         details,

@@ -69,7 +69,9 @@ class TradeSummary:
     once_per: str | None = None
 
     def build(self, fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
-        if how.ids_first and not fact.isStreaming:
+        if how.ids_first and fact.isStreaming:
+            raise ValueError("a stream sums by ids first only if its dimensions are read as windows close")
+        if how.ids_first:
             return self.from_ids(self.by_ids(fact, how), dims, how)
         counted = enrich(self._rows(fact, how), dims, how)
         measures = [F.sum(self.amount), F.count(F.lit(1))]

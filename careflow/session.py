@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,12 +59,8 @@ def build_session(
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name for checkpoints and intermediate tables.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local master
-    may go without that setting; executors of a cluster could not see this machine's own folders.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, or else in the warehouse, which
+    driver and executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        shared = tempfile.mkdtemp(prefix="careflow-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

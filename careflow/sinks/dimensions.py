@@ -1,51 +1,60 @@
-"""Dimension tables kept as a log of routed changes and occasional snapshots."""
+"""Dimension tables kept as a log of routed changes and snapshots of it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from careflow.operators.sizes import at_most
 from careflow.operators.upsert import apply_changes
 
-# Up to this many row keys are broadcast to read only their rows.
-MAX_KEYS = 200_000
+_CHANGES = "row_key string, type string, data map<string,string>, seq long, batch_id long, sink_table string"
+_EVENTS = "event string, place long, run string, batch long, sink_table string, config_seq long"
 
-_CHANGES = "batch_id long, sink_table string, row_key string, type string, data map<string,string>, seq long"
-_EVENTS = "sink_table string, event string, upto long, path string, config_seq long"
+# Changes that carry no column: what is left of a put whose columns have all been written later.
+_PUT = "update"
 
 
 class DimensionStore:
     """Dimension tables under one folder.
 
-    A micro-batch only appends its routed changes, so its cost follows the batch and not the table. A
-    read folds the changes since the last snapshot into that snapshot. Snapshots are written under a new
-    name and count from when they are listed in ``events``, which happens after they are complete: a
-    reader never sees half a snapshot, and a lost executor or a replay leaves nothing to clean up.
+    A micro-batch only appends its routed changes, so its cost follows the batch and not the table. Each run
+    and micro-batch has a place, a number that counts up; it is listed in ``events`` before its folder is written
+    and again when that is complete, and the same run and micro-batch come to the same place.
 
-    A dropped table keeps its files but forgets every change up to the drop.
+    A snapshot is the log up to a place, shortened: the last value of every column with its order, and the order of
+    the last put and the last delete of every row. It folds together with changes of any order, old or new, as
+    the whole log would. It counts once it is complete and listed, so a reader never sees half of one.
+
+    A read opens the folder of the last snapshot and those of the places after it. A dropped table forgets every change
+    up to the drop.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def append(self, routed: DataFrame, batch_id: int) -> None:
-        """Keeps what :func:`careflow.operators.route` gives; running a batch again overwrites it."""
-        (
-            routed.select("sink_table", "row_key", "type", "data", "seq")
-            .write.mode("overwrite")
-            .partitionBy("sink_table")
-            .parquet(f"{self.root}/changes/batch_id={batch_id}")
-        )
-
-    def apply_lifecycle(self, lifecycle: DataFrame, before_batch: int) -> None:
+    def place_of(self, batch: int, run: str = "") -> int:
+        """The place of a run's micro-batch, a new one if it has none."""
+        last, own = self._known(batch, run)
+        if own is not None:
+            return own
+        place = 0 if last is None else last + 1
+        self._record("begun", place, run=run, batch=batch)
+        return place
+
+    def append(self, routed: DataFrame, batch: int, run: str = "") -> None:
+        """Keeps what :func:`careflow.operators.route` gives; running a run's batch again overwrites it."""
+        place = self.place_of(batch, run)
+        rows = routed.select("sink_table", "row_key", "type", "data", "seq")
+        rows.write.mode("overwrite").partitionBy("sink_table").parquet(self._folder("changes", place))
+        self._record("written", place, run=run, batch=batch)
+
+    def apply_lifecycle(self, lifecycle: DataFrame, batch: int, run: str = "") -> None:
         """Records the drops of :func:`careflow.operators.table_lifecycle` that are new, as of just
-        before ``before_batch``."""
+        before the run's micro-batch."""
+        place = self.place_of(batch, run)
         known = (
             self._events()
             .where("event = 'drop'")
@@ -56,15 +65,14 @@ class DimensionStore:
             lifecycle.join(known, F.col("sink_table") == F.col("_table"), "left")
             .where("last_drop_seq > coalesce(_known, -1)")
             .select(
-                "sink_table",
                 F.lit("drop").alias("event"),
-                F.lit(before_batch - 1).cast("long").alias("upto"),
-                F.lit(None).cast("string").alias("path"),
+                F.lit(place - 1).cast("long").alias("place"),
+                "sink_table",
                 F.col("last_drop_seq").cast("long").alias("config_seq"),
             )
         )
         if not drops.isEmpty():
-            self._record(drops)
+            drops.coalesce(1).write.mode("append").json(f"{self.root}/events")
 
     def read(
         self,
@@ -73,86 +81,131 @@ class DimensionStore:
         key: str = "id",
         only: DataFrame | None = None,
     ) -> DataFrame:
-        """The rows of a dimension: its row key as ``key``, and ``columns``.
+        """The rows of a dimension: its row key as ``key``, and ``columns``. Without any event the store does not
+        exist, which is an error.
 
-        ``only`` is a DataFrame with one column of row keys. If counting shows that they are few, other
-        rows are dropped while reading, before anything is shuffled; otherwise it has no effect.
+        ``only`` is a DataFrame with one column of row keys; rows of other keys are left out before the fold.
         """
         others = [name for name in columns if name != key]
-        return self._fold(table, others, only=only).select(F.col("_row_key").alias(key), *others)
-
-    def snapshot(self, table: str, columns: Sequence[str], upto: int, key: str = "id") -> None:
-        """Writes the table as it is after batch ``upto``, so that reads start from there."""
-        others = [name for name in columns if name != key]
-        path = f"{self.root}/snapshots/{table}/upto={upto}"
-        self._fold(table, others, upto).write.mode("overwrite").parquet(path)
-        self._record(
-            self.spark.range(1).select(
-                F.lit(table).alias("sink_table"),
-                F.lit("snapshot").alias("event"),
-                F.lit(upto).cast("long").alias("upto"),
-                F.lit(path).alias("path"),
-                F.lit(None).cast("long").alias("config_seq"),
-            )
-        )
-
-    def _fold(
-        self,
-        table: str,
-        columns: Sequence[str],
-        upto: int | None = None,
-        only: DataFrame | None = None,
-    ) -> DataFrame:
-        start, floor = self._start(table, upto)
-        changes = self._changes().where(
-            (F.col("sink_table") == table) & (F.col("batch_id") > floor)
-        )
-        if upto is not None:
-            changes = changes.where(F.col("batch_id") <= upto)
-        flat = changes.select(
+        log = self.log().where(F.col("sink_table") == table)
+        flat = log.select(
             F.col("row_key").alias("_row_key"),
             F.col("seq").alias("_seq"),
             F.col("type").alias("_kind"),
-            *(F.col("data")[name].alias(name) for name in columns),
+            *(F.col("data")[name].alias(name) for name in others),
         )
-        current = None
-        if start is not None:
-            # A column that is newer than the snapshot is NULL in it.
-            kept = T.StructType([T.StructField(name, T.StringType()) for name in ("_row_key", *columns)])
-            current = self.spark.read.schema(kept.add("_seq", T.LongType())).parquet(start)
         if only is not None:
             wanted = only.select(F.col(only.columns[0]).alias("_row_key")).distinct()
-            if at_most(wanted, MAX_KEYS):
-                flat = flat.join(F.broadcast(wanted), "_row_key", "left_semi")
-                if current is not None:
-                    current = current.join(F.broadcast(wanted), "_row_key", "left_semi")
-        return apply_changes(flat, columns, current, keys=["_row_key"], seq="_seq", kind="_kind")
-
-    def _start(self, table: str, upto: int | None) -> tuple[str | None, int]:
-        """The path of the snapshot to start from, if any, and the last batch it or a drop covers."""
-        events = self._events().where(F.col("sink_table") == table)
+            flat = flat.join(wanted, "_row_key", "left_semi")
+        rows = apply_changes(flat, others, keys=["_row_key"], seq="_seq", kind="_kind")
+        return rows.select(F.col("_row_key").alias(key), *others)
+
+    def log(self, upto: int | None = None) -> DataFrame:
+        """All changes that count (up to a place): those of the last snapshot and those after it, without dropped tables' past."""
+        start, places = self._parts(upto)
+        parts = [self._open("snapshots", [start])] if start is not None else []
+        parts += [self._open("changes", places)] if places else []
+        if not parts:
+            return self.spark.createDataFrame([], _CHANGES)
+        log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        events = self._events().where("event = 'drop'")
+        if upto is not None:
+            events = events.where(F.col("place") <= upto)
+        drops = events.groupBy(F.col("sink_table").alias("_dropped")).agg(F.max("place").alias("_upto"))
+        return log.join(drops, F.col("sink_table") == F.col("_dropped"), "left").where("_upto IS NULL OR batch_id > _upto").drop("_dropped", "_upto")
+
+    def compact(self, upto: int | None = None) -> int | None:
+        """Writes a snapshot of all tables as of the place ``upto`` (by default the last one before which nothing is
+        begun and not written), and removes what it covers.
+
+        The folders that the snapshot before this one covers go, so readers that started from that one still find
+        theirs. Returns the place, or None if there is nothing to do.
+        """
+        if upto is None:
+            begun = self._events(must_exist=True).where("event IN ('begun', 'written')").groupBy("place")
+            upto = begun.agg(F.max(F.col("event") == "written").alias("_done")).where("NOT _done").agg(F.min("place") - 1).first()[0]
+        start, places = self._parts(upto)
+        if not places:
+            return None
+        place = max(places)
+        log = self.log(place)
+        is_put = F.col("type") != "delete"
+        cells = F.filter(F.map_entries("data"), lambda cell: cell["value"].isNotNull())
+        steps = F.when(
+            is_put,
+            F.concat(F.array(F.struct(F.lit(_PUT).alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))),
+                     F.transform(F.coalesce(cells, F.array().cast("array<struct<key:string,value:string>>")), lambda c: F.struct(F.lit(_PUT).alias("type"), c["key"].alias("name"), c["value"].alias("value")))),
+        ).otherwise(F.array(F.struct(F.lit("delete").alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))))
+        folded = (
+            log.select("sink_table", "row_key", "seq", F.explode(steps).alias("_step"))
+            .groupBy("sink_table", "row_key", F.col("_step.type").alias("type"), F.col("_step.name").alias("name"))
+            .agg(F.max(F.struct("seq", F.col("_step.value").alias("value"))).alias("last"))
+        )
+        data = F.when(F.col("name").isNotNull(), F.create_map("name", "last.value")).otherwise(F.create_map().cast("map<string,string>"))
+        rows = folded.select("sink_table", "row_key", "type", data.alias("data"), F.col("last.seq").alias("seq"))
+        rows.write.mode("overwrite").partitionBy("sink_table").parquet(self._folder("snapshots", place))
+        covered = [r.place for r in self._events().where("event = 'written'").select("place").distinct().collect()]
+        self._record("snapshot", place)
+        self._shorten_events(-1 if start is None else start)
+        if start is not None:
+            self._remove([self._folder("changes", p) for p in covered if p <= start])
+        return place
+
+    def _shorten_events(self, start: int) -> None:
+        """One file for the events that still count: drops, what lies after ``start``, and each run's last batch.
+
+        The new file comes before the old ones go; events that are listed twice count once.
+        """
+        path, _, files = self._path(f"{self.root}/events")
+        old = [file.getPath() for file in files.listStatus(path)]
+        events = self._events()
+        last = events.groupBy(F.col("run").alias("_run")).agg(F.max("batch").alias("_batch")).where("_run IS NOT NULL")
+        counts = (F.col("event") == "drop") | (F.col("place") > start) | (F.col("batch") == F.col("_batch"))
+        kept = events.join(last, F.col("run") == F.col("_run"), "left").where(counts).drop("_run", "_batch").distinct()
+        kept.coalesce(1).write.mode("append").json(f"{self.root}/events")
+        for file in old:
+            files.delete(file, False)
+
+    def _parts(self, upto: int | None) -> tuple[int | None, list[int]]:
+        """The place of the snapshot to start from, if any, and the written places after it."""
+        events = self._events(must_exist=True)
         if upto is not None:
-            events = events.where(F.col("upto") < upto)
-        last = events.agg(
-            F.max(F.when(F.col("event") == "drop", F.col("upto"))).alias("dropped"),
-            F.max(F.when(F.col("event") == "snapshot", F.struct("upto", "path"))).alias("kept"),
-        ).first()
-        dropped = -1 if last.dropped is None else last.dropped
-        if last.kept is None or last.kept.upto <= dropped:
-            return None, dropped
-        return last.kept.path, last.kept.upto
-
-    def _changes(self) -> DataFrame:
-        return self._table("changes", _CHANGES, "parquet")
-
-    def _events(self) -> DataFrame:
-        return self._table("events", _EVENTS, "json")
-
-    def _table(self, name: str, schema: str, format: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).format(format).load(f"{self.root}/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-
-    def _record(self, events: DataFrame) -> None:
-        events.coalesce(1).write.mode("append").json(f"{self.root}/events")
+            events = events.where(F.col("place") <= upto)
+        start = events.where("event = 'snapshot'").agg(F.max("place")).first()[0]
+        later = events.where("event = 'written'").where(F.col("place") > (-1 if start is None else start))
+        return start, sorted(r.place for r in later.select("place").distinct().collect())
+
+    def _known(self, batch: int, run: str) -> tuple[int | None, int | None]:
+        mine = (F.col("run") == run) & (F.col("batch") == batch)
+        return tuple(self._events().where("event = 'begun'").agg(F.max("place"), F.max(F.when(mine, F.col("place")))).first())
+
+    def _open(self, kind: str, places: Sequence[int]) -> DataFrame:
+        reader = self.spark.read.schema(_CHANGES).option("basePath", f"{self.root}/{kind}")
+        return reader.parquet(*(self._folder(kind, place) for place in places))
+
+    def _folder(self, kind: str, place: int) -> str:
+        return f"{self.root}/{kind}/batch_id={place}"
+
+    def _events(self, must_exist: bool = False) -> DataFrame:
+        if not self._path(f"{self.root}/events")[1]:
+            if must_exist:
+                raise FileNotFoundError(f"there is no dimension store at {self.root}")
+            return self.spark.createDataFrame([], _EVENTS)
+        return self.spark.read.schema(_EVENTS).json(f"{self.root}/events")
+
+    def _record(self, event: str, place: int, run: str | None = None, batch: int | None = None) -> None:
+        row = self.spark.createDataFrame([(event, place, run, batch, None, None)], _EVENTS)
+        row.coalesce(1).write.mode("append").json(f"{self.root}/events")
+
+    def _path(self, name: str):
+        """A path, whether it exists, and its file system."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        return path, files.exists(path), files
+
+    def _remove(self, names: Sequence[str]) -> None:
+        for name in names:
+            path, there, files = self._path(name)
+            if there:
+                files.delete(path, True)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-ONCE = {"availableNow": True}
+from careflow.sinks.runs import ONCE, folder_of, in_batches, without_place
+
 
 
 def json_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -22,21 +23,28 @@ def write_topic(
     path: str | None = None,
     checkpoint: str | None = None,
     trigger: dict | None = None,
+    run: str | None = None,
+    files: int | None = None,
     **options: str,
 ) -> StreamingQuery | None:
-    """Appends the rows of a fact as JSON text, to a Kafka topic or to text files."""
+    """Appends the rows of a fact as JSON text, to a Kafka topic or to text files.
+
+    Text files lie in a folder for each run and micro-batch, see :func:`careflow.sinks.runs.in_batches`, so runs of
+    any kind may write to one topic. A micro-batch writes ``files`` of them, or one for each task.
+    """
     rows = json_rows(df)
+    if path is not None:
+
+        def save(part: DataFrame, run_id: str, batch: int) -> None:
+            part = part.repartition(files) if files else part
+            part.write.format(format).options(**options).mode("overwrite").save(folder_of(path, run_id, batch))
+
+        return in_batches(rows, save, checkpoint, trigger, run)
     if not rows.isStreaming:
-        rows.write.format(format).options(**options).mode("append").save(path)
+        rows.write.format(format).options(**options).mode("append").save()
         return None
-    return (
-        rows.writeStream.format(format)
-        .options(**options)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or ONCE))
-        .start(path)
-    )
+    writer = rows.writeStream.format(format).options(**options).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(**(trigger or ONCE)).start()
 
 
 def write_summary(
@@ -45,52 +53,44 @@ def write_summary(
     checkpoint: str | None = None,
     format: str = "parquet",
     trigger: dict | None = None,
-    batch_id: int = 0,
+    run: str | None = None,
     files: int | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
     **options: str,
 ) -> StreamingQuery | None:
-    """Appends the rows of a summary to a table, one folder per micro-batch.
+    """Appends the rows of a summary to a table, one folder for each run and micro-batch.
 
-    A micro-batch that runs again after a failure overwrites its own folder, so its rows are kept once.
-    With ``format="jdbc"`` the rows are appended to the table named ``path`` instead, at least once.
+    A micro-batch that runs again after a failure overwrites its own folder, so its rows are kept once; a batch does
+    so if it is given the same ``run``. With ``format="jdbc"`` the rows are appended to the table named ``path``
+    instead, at least once.
 
     A micro-batch writes a file per shuffle partition, or ``files`` of them. ``finish`` is applied to each
     micro-batch before it is written; it may read the rows more than once.
     """
 
-    def save(rows: DataFrame, batch: int) -> None:
+    def save(rows: DataFrame, run_id: str, batch: int) -> None:
         if finish is None:
-            put(rows, batch)
+            put(rows, run_id, batch)
             return
         rows.persist()
         try:
-            put(finish(rows), batch)
+            put(finish(rows), run_id, batch)
         finally:
             rows.unpersist()
 
-    def put(rows: DataFrame, batch: int) -> None:
+    def put(rows: DataFrame, run_id: str, batch: int) -> None:
         rows = rows.repartition(files) if files else rows
         writer = rows.write.format(format).options(**options)
         if format == "jdbc":
             writer.option("dbtable", path).mode("append").save()
         else:
-            writer.mode("overwrite").save(f"{path}/batch_id={batch}")
+            writer.mode("overwrite").save(folder_of(path, run_id, batch))
 
-    if not df.isStreaming:
-        save(df, batch_id)
-        return None
-    return (
-        df.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or ONCE))
-        .start()
-    )
+    return in_batches(df, save, checkpoint, trigger, run)
 
 
 def read_summary(spark: SparkSession, path: str, schema=None, format: str = "parquet") -> DataFrame:
     reader = spark.read.format(format)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path).drop("batch_id")
+    return without_place(reader.load(path))

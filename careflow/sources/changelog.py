@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from careflow.schemas import ENVELOPE
 from careflow.functions import event_time
+from careflow.sinks.runs import folder_of, in_batches, without_place
 
 
 def read_topic(
@@ -18,21 +19,27 @@ def read_topic(
     format: str = "kafka",
     path: str | None = None,
     streaming: bool = False,
+    order: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Raw text records in a column ``value``, from the earliest one, without tombstones.
 
     ``format`` is ``kafka`` (options as Spark's Kafka source takes them) or ``text`` with a folder of
     line-delimited files. Kafka adds ``seq``, the place of the record within its partition: a producer
-    that keys records by primary key keeps all changes of one row in one partition, in order.
+    that keys records by primary key keeps all changes of one row in one partition, in order. With other
+    producers, and with text, name the field of the records that holds their ``order``, a whole number that
+    counts up over the whole log; it becomes ``seq``.
     """
     reader = spark.readStream if streaming else spark.read
     if format == "kafka":
         options = {"startingOffsets": "earliest", **options}
     raw = reader.format(format).options(**options).load(path)
-    if format == "kafka":
-        raw = raw.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
-    return drop_tombstones(raw)
+    columns = [F.col("value").cast("string").alias("value")]
+    if order is not None:
+        columns.append(F.get_json_object("value", f"$.{order}").try_cast("long").alias("seq"))
+    elif format == "kafka":
+        columns.append(F.col("offset").alias("seq"))
+    return drop_tombstones(raw.select(*columns))
 
 
 def drop_tombstones(topic: DataFrame) -> DataFrame:
@@ -72,7 +79,11 @@ def read_ods(
 
 
 def land_ods(
-    ods: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
+    ods: DataFrame,
+    path: str,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    run: str | None = None,
 ) -> StreamingQuery | None:
     """Keeps the decoded log as parquet, one folder per source table and change kind.
 
@@ -82,27 +93,46 @@ def land_ods(
 
     A batch is rebalanced first. Adaptive execution then cuts it into files of the advisory size, also
     where most of the log is one table; without that, each task would leave a file in every folder.
+
+    Batches and streams may land in one folder: each run and micro-batch has folders of its own, which only the
+    same one replaces, see :func:`careflow.sinks.runs.in_batches`.
     """
-    if not ods.isStreaming:
-        if ods.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            ods = ods.hint("rebalance", "table", "type")
-        ods.write.mode("append").partitionBy("table", "type").parquet(path)
-        return None
-    return (
-        ods.writeStream.format("parquet")
-        .partitionBy("table", "type")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start(path)
-    )
+
+    def save(rows: DataFrame, run_id: str, batch: int) -> None:
+        rows = rows.hint("rebalance", "table", "type") if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else rows
+        rows.write.mode("overwrite").partitionBy("table", "type").parquet(folder_of(path, run_id, batch))
+
+    return in_batches(ods, save, checkpoint, trigger, run)
+
+
+def land_topic(
+    topic: DataFrame,
+    path: str,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    run: str | None = None,
+) -> StreamingQuery | None:
+    """Keeps raw records (``value``, ``seq``) as parquet, as the routing changes are kept for the dimension job."""
+
+    def save(rows: DataFrame, run_id: str, batch: int) -> None:
+        rows.select("value", "seq").write.mode("overwrite").parquet(folder_of(path, run_id, batch))
+
+    return in_batches(in_order(topic), save, checkpoint, trigger, run)
+
+
+def in_order(log: DataFrame) -> DataFrame:
+    """The log, if it has the order of its records."""
+    if "seq" not in log.columns:
+        raise ValueError("the log has no order: name the field of its records that holds it")
+    return log
 
 
 def read_landed(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """The log that :func:`land_ods` keeps."""
     if not streaming:
-        return spark.read.parquet(path)
+        return without_place(spark.read.parquet(path))
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return without_place(spark.readStream.schema(schema).parquet(path))
 
 
 def decode_fact(topic: DataFrame, schema: T.StructType, time: str) -> DataFrame:

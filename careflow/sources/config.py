@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow.schemas import ROUTE_COLUMNS, ROUTE_COLUMNS_CAMEL
+from careflow.sinks.runs import without_place
 
 _IMAGE = T.StructType(
     [T.StructField(name, T.StringType()) for name in (*ROUTE_COLUMNS, *ROUTE_COLUMNS_CAMEL)]
@@ -34,6 +35,11 @@ def read_routes(spark: SparkSession, format: str = "parquet", **options: str) ->
     )
 
 
+def read_landed_config(spark: SparkSession, path: str) -> DataFrame:
+    """The routing changes that :func:`careflow.sources.land_topic` keeps, decoded."""
+    return decode_config(without_place(spark.read.parquet(path)))
+
+
 def decode_config(topic: DataFrame) -> DataFrame:
     """Routing changes from their JSON text: ``op`` (r, c, u or d), ``before`` and ``after``.
 

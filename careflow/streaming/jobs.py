@@ -24,7 +24,9 @@ from careflow.plans.summaries import (
 )
 from careflow.schemas import texts
 from careflow.sinks.dimensions import DimensionStore
-from careflow.sinks.tables import ONCE, write_summary, write_topic
+from careflow.sinks.runs import in_batches
+from careflow.sinks.tables import write_summary, write_topic
+from careflow.sources.changelog import in_order
 
 
 def dimension_job(
@@ -33,28 +35,27 @@ def dimension_job(
     store: DimensionStore,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    batch_id: int = 0,
+    run: str | None = None,
+    preloaded: DataFrame | None = None,
 ) -> StreamingQuery | None:
     """Routes row changes into the dimension store.
 
     ``read_config`` gives the routing changes so far, as :func:`careflow.sources.decode_config`. It is
     called for every micro-batch, so a new route applies to the next data, and it is read before the data.
+    ``preloaded`` is the routing table as read before the log of its changes begins.
     """
 
-    def save(batch: DataFrame, number: int) -> None:
-        config = read_config()
-        store.apply_lifecycle(table_lifecycle(config), number)
-        store.append(route(batch, latest_routes(config)), number)
-
-    if not ods.isStreaming:
-        save(ods, batch_id)
-        return None
-    return (
-        ods.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or ONCE))
-        .start()
-    )
+    def save(batch: DataFrame, run_id: str, number: int) -> None:
+        config = read_config().persist()
+        routes = latest_routes(config, preloaded=preloaded).persist()
+        try:
+            store.apply_lifecycle(table_lifecycle(config), number, run_id)
+            store.append(route(batch, routes), number, run_id)
+        finally:
+            routes.unpersist()
+            config.unpersist()
+
+    return in_batches(in_order(ods), save, checkpoint, trigger, run)
 
 
 def fact_job(name: str, ods: DataFrame, options: dict | None = None, **sink) -> StreamingQuery | None:

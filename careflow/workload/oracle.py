@@ -320,6 +320,11 @@ ORACLE: dict[str, str] = {
 
 # Other ways to the same results.
 ORACLE["dim_store"] = f"SELECT sink_table, row_key, a, b FROM ({ORACLE['dim_tables']})"
+ORACLE["dim_store_late_put"] = ORACLE["dim_store"]
+ORACLE["dim_store_some_keys"] = f"""SELECT row_key, a, b FROM ({ORACLE['dim_tables']})
+    WHERE sink_table = (SELECT min('dim_' || n_name) FROM nation WHERE n_nationkey < 5)
+    AND row_key IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 7 = 0)"""
+ORACLE["summary_two_runs"] = ORACLE["summary_reviews_daily"]
 ORACLE["fact_from_landed_log"] = ORACLE["fact_consultation"]
 ORACLE["fact_through_topic"] = ORACLE["fact_doctor_register"]
 ORACLE["lookup_salted"] = ORACLE["lookup_doctor_hospital"]
@@ -329,3 +334,14 @@ ORACLE["stream_first_row"] = "SELECT DISTINCT user_id, event_type FROM events"
 ORACLE["stream_ttl_join"] = """SELECT c.event_id AS click_id, v.event_id AS view_id
     FROM events c JOIN events v ON c.user_id = v.user_id AND c.event_type = 'click' AND v.event_type = 'view'
     AND c.ts BETWEEN v.ts - INTERVAL 1 DAY AND v.ts + INTERVAL 1 DAY"""
+ORACLE["stream_dimensions"] = f"""SELECT sink_table, row_key, a, b FROM (WITH {ROUTED}, taken AS (
+    SELECT * FROM routed WHERE seq % 2 = 0 OR sink_table <> (SELECT 'dim_' || n_name FROM nation WHERE n_nationkey = 4))
+    {folded('sink_table, row_key', 'taken')})"""
+ORACLE["config_preloaded"] = f"""WITH {CONFIG}, steps AS (
+    SELECT seq, old_key AS k, 0 AS live, NULL AS sink_table, NULL AS sink_columns FROM config
+    WHERE seq % 2 = 0 AND (op = 4 OR (op IN (2, 3) AND old_key <> new_key))
+    UNION ALL SELECT seq, new_key, 1, sink_table, sink_columns FROM config WHERE seq % 2 = 0 AND op <> 4
+    UNION ALL SELECT -1, n_nationkey, 1, 'dim_' || n_name, CASE n_nationkey % 2 WHEN 0 THEN 'id,a' ELSE 'id,b,absent' END
+    FROM nation WHERE n_nationkey < 5)
+    SELECT 'source_' || k AS source_table, sink_table, 'info' AS sink_family, sink_columns, 'id' AS sink_row_key
+    FROM (SELECT * FROM steps QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY seq DESC) = 1) WHERE live = 1"""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +43,15 @@ from careflow.sources import (
     decode_fact,
     drop_tombstones,
     land_ods,
+    land_topic,
     read_landed,
+    read_landed_config,
+    read_routes,
     read_topic,
     rejected,
 )
-from careflow.streaming.jobs import fact_job, read_fact
+from careflow.schemas import ROUTE_COLUMNS
+from careflow.streaming.jobs import dimension_job, fact_job, read_fact
 from careflow.workload.bindings import (
     AS_OF,
     MICROS,
@@ -122,6 +125,14 @@ def config_latest(spark, folder):
     return latest_routes(decode_config(config_changes(spark, folder)))
 
 
+def config_preloaded(spark, folder):
+    """The routing table read by position, and then the changes that go on top of it."""
+    base = working_folder(spark, "routes")
+    routes(spark, folder).write.parquet(base)
+    changes = config_changes(spark, folder).where("seq % 2 = 0")
+    return latest_routes(decode_config(changes), preloaded=read_routes(spark, path=base))
+
+
 def config_lifecycle(spark, folder):
     return table_lifecycle(decode_config(config_changes(spark, folder)))
 
@@ -185,15 +196,54 @@ def dim_store(spark, folder):
     wanted, changes = routes(spark, folder), dimension_changes(spark, folder)
     middle = changes.agg(F.max("seq")).first()[0] // 2
     store.append(route(changes.where(F.col("seq") <= middle), wanted), 0)
-    tables = [row.sink_table for row in wanted.select("sink_table").collect()]
-    for name in tables:
-        store.snapshot(name, ["a", "b"], upto=0, key="row_key")
+    store.compact()
     store.append(route(changes.where(F.col("seq") > middle), wanted), 1)
-    dimensions_now = [
-        store.read(name, ["a", "b"], key="row_key").select(F.lit(name).alias("sink_table"), "*")
-        for name in tables
-    ]
-    return reduce(DataFrame.unionByName, dimensions_now)
+    return tables_of(store)
+
+
+def stream_dimensions(spark, folder):
+    """The dimension job as a stream of two micro-batches, the second with a route more, from landed routing changes."""
+    base = working_folder(spark, "stream-dimensions")
+    store, changes = DimensionStore(spark, f"{base}/store"), dimension_changes(spark, folder)
+    wanted = routes(spark, folder).withColumn("seq", F.expr("CAST(substring(source_table, 8) AS LONG)"))
+    records = wanted.select(F.to_json(F.struct(F.lit("c").alias("op"), F.struct(*ROUTE_COLUMNS).alias("after"))).alias("value"), "seq")
+    steps = (("seq <= 3", "seq % 2 = 1"), ("seq > 3", "seq % 2 = 0"))
+    for number, (new_routes, new_rows) in enumerate(steps):
+        land_topic(records.where(new_routes), f"{base}/config")
+        changes.where(new_rows).write.mode("append").parquet(f"{base}/log")
+        log = spark.readStream.schema(changes.schema).parquet(f"{base}/log")
+        dimension_job(log, lambda: read_landed_config(spark, f"{base}/config"), store, f"{base}/checkpoint").awaitTermination()
+        if number == 0:
+            store.compact()
+    return tables_of(store)
+
+
+def tables_of(store: DimensionStore) -> DataFrame:
+    """The rows of all tables of a store at once."""
+    log = store.log().select(
+        "sink_table", "row_key", "type", "seq", F.col("data")["a"].alias("a"), F.col("data")["b"].alias("b")
+    )
+    return apply_changes(log, ["a", "b"], keys=["sink_table", "row_key"]).drop("seq")
+
+
+def dim_store_late_put(spark, folder):
+    """The same with the older half of the log after a snapshot of the newer half."""
+    store = DimensionStore(spark, working_folder(spark, "dimensions"))
+    wanted, changes = routes(spark, folder), dimension_changes(spark, folder)
+    store.append(route(changes.where("seq % 2 = 1"), wanted), 0)
+    store.compact()
+    store.append(route(changes.where("seq % 2 = 0"), wanted), 1)
+    return tables_of(store)
+
+
+def dim_store_some_keys(spark, folder):
+    """One dimension's rows of some keys only, from the largest table of the routes."""
+    store = DimensionStore(spark, working_folder(spark, "dimensions"))
+    wanted, changes = routes(spark, folder), dimension_changes(spark, folder)
+    store.append(route(changes, wanted), 0)
+    name = wanted.agg(F.min("sink_table")).first()[0]
+    keys = changes.where("seq % 7 = 0").select(F.coalesce(F.col("data")["id"], F.col("old")["id"]))
+    return store.read(name, ["a", "b"], key="row_key", only=keys)
 
 
 def fact(name: str) -> Query:
@@ -377,6 +427,18 @@ def summary_table(spark, folder):
     return read_summary(spark, path)
 
 
+def summary_two_runs(spark, folder):
+    """A summary from two batches into one table, the second run twice under its name."""
+    path = working_folder(spark, "summary")
+    how = Windowing(size="1 day", as_of=AS_OF)
+    built = build_summary("review", build_fact("review", ods(spark, folder)), dimensions(spark, folder), how)
+    first = F.col("stt") < "2024-01-15"
+    write_summary(built.where(first), path)
+    for _ in range(2):
+        write_summary(built.where(~first), path, run="second")
+    return read_summary(spark, path)
+
+
 def plain(rows: DataFrame) -> DataFrame:
     """Sums of money as doubles, for comparison with another engine."""
     return rows.select(
@@ -466,6 +528,11 @@ QUERIES: dict[str, Query] = {
     "dim_delete": dim_delete,
     "dim_tables": dim_tables,
     "dim_store": dim_store,
+    "dim_store_late_put": dim_store_late_put,
+    "dim_store_some_keys": dim_store_some_keys,
+    "config_preloaded": config_preloaded,
+    "stream_dimensions": stream_dimensions,
+    "summary_two_runs": summary_two_runs,
     "fact_consultation": fact("consultation"),
     "fact_consultation_paid": fact("consultation_paid"),
     "fact_consultation_paid_transition": fact_consultation_paid_transition,

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from careflow.operators import apply_changes, deleted_keys, latest_routes, route, table_lifecycle
-from careflow.operators import routing
 from careflow.sinks import DimensionStore
 from careflow.sources import decode_config
 from careflow.streaming import dimension_job
@@ -49,14 +48,8 @@ def routes(spark):
     )
 
 
-@pytest.fixture(params=["broadcast", "salted"])
-def join_form(request, monkeypatch):
-    if request.param == "salted":
-        monkeypatch.setattr(routing, "MAX_BROADCAST_ROUTES", 0)
-    return request.param
-
-
-def test_routing(spark, routes, join_form):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_routing(spark, routes, salts):
     log = changes(
         spark,
         ("patient", "insert", {"id": "1", "name": "a", "secret": "x"}, None),
@@ -68,7 +61,7 @@ def test_routing(spark, routes, join_form):
         ("doctor", "delete", {"id": "6"}, None),
         ("doctor", "update", {"hospital_id": "7"}, None),
     )
-    assert rows(route(log, routes)) == [
+    assert rows(route(log, routes, salts)) == [
         ("dim_doctor", "5", "delete", {"id": "5", "secret": "x"}, 5),
         ("dim_doctor", "6", "delete", {"id": "6"}, 6),
         ("dim_patient", "1", "insert", {"id": "1", "name": "a"}, 0),
@@ -193,9 +186,26 @@ def test_upsert_in_two_steps_equals_one(spark):
     assert rows(both) == rows(apply_changes(spark.createDataFrame(log, PUTS), ["a", "b"]))
 
 
+def store_of(spark, folder, *batches):
+    """A store with these batches of (kind, id, columns, seq) for patients."""
+    store = DimensionStore(spark, folder)
+    for number, batch in enumerate(batches):
+        put(spark, store, number, *batch)
+    return store
+
+
+def put(spark, store, number, *items, run=""):
+    rows_of = [("dim_patient", key, kind, data, seq) for kind, key, data, seq in items]
+    schema = "sink_table string, row_key string, type string, data map<string,string>, seq long"
+    store.append(spark.createDataFrame(rows_of, schema), number, run)
+
+
+def names(store, *columns, **options):
+    return rows(store.read("dim_patient", ["id", *(columns or ("name",))], **options))
+
+
 def test_store_reads_what_was_put(spark, routes, folder):
     store = DimensionStore(spark, folder)
-    assert store.read("dim_patient", ["id", "name"]).count() == 0
     first = changes(
         spark,
         ("patient", "insert", {"id": "1", "name": "a"}, None),
@@ -211,55 +221,80 @@ def test_store_reads_what_was_put(spark, routes, folder):
     store.append(route(first, routes), 0)
     store.append(route(later, routes), 1)
     expected = [("1", "a"), ("3", "c")]
-    assert rows(store.read("dim_patient", ["id", "name"])) == expected
+    assert names(store) == expected
     assert rows(store.read("dim_doctor", ["id", "hospital_id"])) == [("9", "3")]
 
-    # A batch that runs again changes nothing.
+    # A batch that runs again changes nothing, neither does a snapshot of all tables.
     store.append(route(later, routes), 1)
-    assert rows(store.read("dim_patient", ["id", "name"])) == expected
-
-    # Neither does a snapshot, and later changes go on top of it.
-    store.snapshot("dim_patient", ["id", "name"], upto=1)
-    assert rows(store.read("dim_patient", ["id", "name"])) == expected
-    last = changes(spark, ("patient", "update", {"id": "3", "name": "d"}, None))
-    store.append(route(last.withColumn("seq", F.col("seq") + 20), routes), 2)
-    assert rows(store.read("dim_patient", ["id", "name"])) == [("1", "a"), ("3", "d")]
-    # Older batches are not read again: their folders are pruned.
-    plan = plan_of(store.read("dim_patient", ["id", "name"]))
-    assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+L? > 1", plan)
-
-
-def test_a_column_newer_than_the_snapshot(spark, routes, folder):
+    assert names(store) == expected
+    assert store.compact() == 1 and store.compact() is None
+    assert names(store) == expected
+    assert rows(store.read("dim_doctor", ["id", "hospital_id"])) == [("9", "3")]
+    store.append(route(later, routes), 1)
+    assert names(store) == expected
+
+
+def test_a_read_opens_only_what_follows_the_snapshot(spark, folder):
+    store = store_of(spark, folder, *([("insert", str(n), {"name": f"n{n}"}, n)] for n in range(3)))
+    store.compact()
+    put(spark, store, 3, ("insert", "7", {"name": "n7"}, 7))
+    opened = store.read("dim_patient", ["id", "name"]).inputFiles()
+    folders = [re.search(r"(changes|snapshots)/batch_id=(\d+)", name) for name in opened if "/events/" not in name]
+    assert {found.groups() for found in folders} == {("snapshots", "2"), ("changes", "3")}
+    store.compact()  # what the first snapshot covers goes
+    assert spark.read.parquet(f"{folder}/changes").select("batch_id").distinct().count() == 1
+    assert names(store) == [("0", "n0"), ("1", "n1"), ("2", "n2"), ("7", "n7")]
+    assert len(list(spark.read.text(f"{folder}/events").inputFiles())) == 1
+
+
+def test_a_snapshot_keeps_all_columns(spark, folder):
+    store = store_of(spark, folder, [("insert", "1", {"name": "a", "gender": "101"}, 0)])
+    store.compact()
+    put(spark, store, 1, ("update", "1", {"age": "7"}, 5))
+    assert names(store, "name", "gender", "age") == [("1", "a", "101", "7")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_snapshots_anywhere_change_nothing(spark, folder, seed):
+    """Late puts stay behind deletes, and columns in their own order, whatever was snapshotted before."""
+    log = random_log(seed, 60)
+    items = [(kind, key, {k: v for k, v in (("a", a), ("b", b)) if v is not None}, seq) for key, seq, kind, a, b in log]
+    plain, short = DimensionStore(spark, f"{folder}/plain"), DimensionStore(spark, f"{folder}/short")
+    for number in range(3):
+        for store in (plain, short):
+            put(spark, store, number, *items[20 * number : 20 * number + 20])
+        short.compact()
+    table, _ = replay(log)
+    assert names(short, "a", "b") == names(plain, "a", "b") == sorted(((k, r["a"], r["b"]) for k, r in table.items()), key=repr)
+
+
+def test_late_put_after_a_delete_in_the_snapshot(spark, folder):
+    store = store_of(spark, folder, [("insert", "1", {"name": "a"}, 1), ("delete", "1", {}, 5)])
+    store.compact()
+    put(spark, store, 1, ("update", "1", {"name": "late"}, 3))
+    assert names(store) == []
+
+
+def test_runs_do_not_replace_each_other(spark, folder):
     store = DimensionStore(spark, folder)
-    store.append(route(changes(spark, ("patient", "insert", {"id": "1", "name": "a"}, None)), routes), 0)
-    store.snapshot("dim_patient", ["id", "name"], upto=0)
-    wider = spark.createDataFrame([tuple(image(columns="id,name,age").values())], ROUTE)
-    later = changes(spark, ("patient", "update", {"id": "1", "age": "7"}, None)).withColumn("seq", F.col("seq") + 5)
-    store.append(route(later, wider), 1)
-    assert rows(store.read("dim_patient", ["id", "name", "age"])) == [("1", "a", "7")]
+    put(spark, store, 0, ("insert", "1", {"name": "a"}, 1), run="one")
+    put(spark, store, 0, ("insert", "2", {"name": "b"}, 2), run="two")
+    put(spark, store, 0, ("insert", "3", {"name": "c"}, 3), run="two")
+    assert names(store) == [("1", "a"), ("3", "c")]
 
 
-def test_store_reads_only_some_keys(spark, routes, folder, monkeypatch):
-    store = DimensionStore(spark, folder)
-    log = changes(spark, *(("patient", "insert", {"id": str(n), "name": f"n{n}"}, None) for n in range(9)))
-    store.append(route(log, routes), 0)
-    store.snapshot("dim_patient", ["id", "name"], upto=0)
-    store.append(route(log.where("seq < 4").withColumn("seq", F.col("seq") + 50), routes), 1)
+def test_store_reads_only_some_keys(spark, folder):
+    store = store_of(spark, folder, [("insert", str(n), {"name": f"n{n}"}, n) for n in range(9)])
+    store.compact()
+    put(spark, store, 1, *(("update", str(n), {"name": f"m{n}"}, n + 50) for n in range(4)))
     keys = spark.createDataFrame([("2",), ("7",), ("2",), (None,)], "patient string")
-    some = store.read("dim_patient", ["id", "name"], only=keys)
-    assert rows(some) == [("2", "n2"), ("7", "n7")]
-    assert "LeftSemi" in plan_of(some).split("Exchange hashpartitioning")[1]
-    monkeypatch.setattr("careflow.sinks.dimensions.MAX_KEYS", 1)
-    assert store.read("dim_patient", ["id", "name"], only=keys).count() == 9
+    assert names(store, only=keys) == [("2", "m2"), ("7", "n7")]
+    assert "LeftSemi" in plan_of(store.read("dim_patient", ["name"], only=keys))
 
 
-def test_snapshot_of_an_older_batch(spark, routes, folder):
-    store = DimensionStore(spark, folder)
-    for batch, name in enumerate("abc"):
-        change = changes(spark, ("patient", "update", {"id": "1", "name": name}, None))
-        store.append(route(change.withColumn("seq", F.lit(batch).cast("long")), routes), batch)
-    store.snapshot("dim_patient", ["id", "name"], upto=1)
-    assert rows(store.read("dim_patient", ["id", "name"])) == [("1", "c")]
+def test_a_missing_store_is_an_error(spark, folder):
+    with pytest.raises(FileNotFoundError):
+        DimensionStore(spark, f"{folder}/mistyped").read("dim_patient", ["id", "name"])
 
 
 def test_dimension_job_follows_its_config(spark, folder):

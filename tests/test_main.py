@@ -43,16 +43,13 @@ def test_from_log_to_summary(spark, folder, batch):
         "not json",
         *(visit(n, second) for n, second in enumerate([1, 2, 11, 40])),
     ]
-    numbered = spark.createDataFrame(list(zip(records, range(len(records)))), "value string, seq long")
-    numbered.select("value").coalesce(1).write.text(f"{folder}/log")
-    # Text files carry no order; the landed log of this test does.
-    from careflow.sources import decode_envelope, land_ods
-
-    land_ods(decode_envelope(numbered), f"{folder}/landed")
+    ordered = [json.dumps({**json.loads(r), "xid": n}) if r.startswith("{") else r for n, r in enumerate(records)]
+    spark.createDataFrame([(r,) for r in ordered], "value string").coalesce(1).write.text(f"{folder}/log")
     config = [
         json.dumps(
             {
-                "op": "r",
+                "op": "c",
+                "ts": number,
                 "after": {
                     "source_table": name,
                     "sink_table": f"dim_{name}",
@@ -62,17 +59,24 @@ def test_from_log_to_summary(spark, folder, batch):
                 },
             }
         )
-        for name, columns in ROUTES.items()
+        for number, (name, columns) in enumerate(ROUTES.items())
+        if name != "dict"
     ]
-    spark.createDataFrame(list(zip(config, range(4))), "value string, seq long").write.parquet(f"{folder}/config")
+    spark.createDataFrame([(r,) for r in config], "value string").coalesce(1).write.text(f"{folder}/config-log")
+    route = ("dict", "dim_dict", "info", ROUTES["dict"], "id")
+    spark.createDataFrame([route], "a string, b string, c string, d string, e string").write.parquet(f"{folder}/routes")
 
     def run(*arguments):
         mode = ["--batch"] if batch else ["--checkpoint", f"{folder}/ckpt-{'-'.join(arguments[:2])}"]
         main([*arguments, *mode], spark)
 
-    run("land", "--format", "text", "--path", f"{folder}/log", "--out", f"{folder}/ods")
+    with pytest.raises(ValueError, match="order"):
+        run("land", "--format", "text", "--path", f"{folder}/log", "--out", f"{folder}/ods")
+    run("land", "--format", "text", "--order", "xid", "--path", f"{folder}/log", "--out", f"{folder}/ods")
+    run("land-config", "--format", "text", "--order", "ts", "--path", f"{folder}/config-log", "--out", f"{folder}/config")
     assert spark.read.parquet(f"{folder}/ods").count() == len(records)
-    run("dimensions", "--landed", f"{folder}/landed", "--config", f"{folder}/config", "--store", f"{folder}/dims")
+    run("dimensions", "--landed", f"{folder}/ods", "--config", f"{folder}/config", "--routes", f"{folder}/routes", "--store", f"{folder}/dims")
+    main(["compact", "--store", f"{folder}/dims"], spark)
     assert rows(DimensionStore(spark, f"{folder}/dims").read("dim_hospital", ["name"])) == [("h", "Renamed")]
     run("fact", "consultation", "--landed", f"{folder}/ods", "--sink-format", "text", "--out", f"{folder}/topic")
     summary = ["summary", "consultation", "--format", "text", "--path", f"{folder}/topic", "--out", f"{folder}/out"]
@@ -84,3 +88,27 @@ def test_from_log_to_summary(spark, folder, batch):
         ("10", "Renamed", "男", "青年期", 1),
         *([("40", "Renamed", "男", "青年期", 1)] if batch else []),
     ]
+
+
+def test_batches_and_streams_share_their_output(spark, folder):
+    """Batch, stream, batch, and a stream with a new checkpoint: every row once; a named batch replaces itself."""
+
+    def land(number, *mode):
+        record = json.dumps({**json.loads(visit(number, number)), "xid": number})
+        spark.createDataFrame([(record,)], "value string").write.text(f"{folder}/log-{number}")
+        source = ["--format", "text", "--order", "xid", "--path", f"{folder}/log-{number}"]
+        main(["land", *source, "--out", f"{folder}/ods", *mode], spark)
+        log = ["--format", "text", "--path", f"{folder}/log-{number}"]
+        main(["fact", "consultation", *log, "--sink-format", "text", "--out", f"{folder}/topic", *([*mode[:1], *(f"{m}-fact" for m in mode[1:2])] if mode[0] == "--checkpoint" else mode)], spark)
+
+    land(1, "--batch")
+    land(2, "--checkpoint", f"{folder}/one")
+    land(3, "--batch", "--run", "mine")
+    land(4, "--checkpoint", f"{folder}/two")
+    land(5, "--batch", "--run", "mine")
+    wanted = ["1", "2", "4", "5"]
+    from careflow.sources import read_landed, read_topic
+
+    assert rows(read_landed(spark, f"{folder}/ods").selectExpr("data['id']")) == [(n,) for n in wanted]
+    topic = read_topic(spark, format="text", path=f"{folder}/topic")
+    assert sorted(json.loads(r.value)["id"] for r in topic.collect()) == wanted

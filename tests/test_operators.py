@@ -92,11 +92,22 @@ def test_ttl_join_of_batches_has_every_pair(spark, salts):
         [(n, "p" if n % 3 else "q", at(100 * n)) for n in range(60)] + [(99, "r", START), (98, None, START)],
         "det long, of string, det_time timestamp",
     )
-    got = ttl_join(heads, details, "head", "of", "head_time", "det_time", salts=salts)
+    got = ttl_join(heads, details, "head", "of", "head_time", "det_time", ttl=None, salts=salts)
     assert got.columns == ["head", "head_time", "det", "of", "det_time"]
     assert rows(got.select("det", "head")) == sorted(
         ((n, "p" if n % 3 else "q") for n in range(60)), key=repr
     )
+    near = ttl_join(heads, details, "head", "of", "head_time", "det_time", salts=salts)
+    assert rows(near.select("det", "head")) == [(0, "q")]
+
+
+def test_parameters_without_effect_are_refused(spark):
+    batch = spark.createDataFrame([("k", START)], "k string, t timestamp")
+    with pytest.raises(ValueError):
+        first_row(batch, ["k"], within_watermark=True)
+    streams = [spark.readStream.format("rate").load().selectExpr(f"value AS {n}", f"timestamp AS {n}_time") for n in "ab"]
+    with pytest.raises(ValueError):
+        ttl_join(*streams, "a", "b", "a_time", "b_time", ttl=None)
 
 
 @pytest.mark.parametrize("salts", [1, 5])

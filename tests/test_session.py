@@ -1,5 +1,3 @@
-import pytest
-
 from careflow.session import working_folder
 
 
@@ -19,13 +17,9 @@ def test_working_folder_lies_in_the_shared_folder():
     assert first.startswith("hdfs:///shared/x-") and first != second
 
 
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError):
-        working_folder(Session(spark__master="yarn"), "x")
-
-
-def test_a_local_master_may_do_without():
-    assert "careflow-" in working_folder(Session(spark__master="local[2]"), "x")
+def test_otherwise_it_lies_in_the_warehouse():
+    session = Session(spark__sql__warehouse__dir="hdfs:///warehouse")
+    assert working_folder(session, "x").startswith("hdfs:///warehouse/_work/x-")
 
 
 def test_settings(spark):
