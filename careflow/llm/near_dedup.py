@@ -106,7 +106,8 @@ def band_hashes(registers: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signed_texts(rows: DataFrame, shingle: int, bands: int, per_band: int) -> DataFrame:
-    """``key`` names a text by its words (by itself where it has none), ``bands`` its signature, null without words."""
+    """``key`` names a text by its words (by itself where it has none), ``size`` counts its shingles, ``bands`` is its
+    signature, null without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -123,9 +124,10 @@ def signed_texts(rows: DataFrame, shingle: int, bands: int, per_band: int) -> Da
                 owner = np.repeat(np.arange(len(keys)), sizes)
                 registers = signatures(np.concatenate(seeds), np.concatenate(weights), owner, len(keys), bands * per_band)
                 hashes = [h if n else None for h, n in zip(band_hashes(registers, bands), sizes, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(hashes, pa.list_(pa.int64()))], ["id", "fp", "key", "bands"])
+                total = np.bincount(owner, weights=np.concatenate(weights), minlength=len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(total), pa.array(hashes, pa.list_(pa.int64()))], ["id", "fp", "key", "size", "bands"])
 
-    return rows.mapInArrow(sign, "id long, fp long, key string, bands array<long>")
+    return rows.mapInArrow(sign, "id long, fp long, key string, size long, bands array<long>")
 
 
 def multisets(rows: DataFrame, shingle: int) -> DataFrame:
@@ -192,30 +194,32 @@ def components(members: DataFrame, sets: DataFrame, similarity: float, folder: s
 
     First each member of a bucket is compared with its smallest one. Where a bucket's members are then in
     several components, members outside its largest one are compared with all members of other components, a
-    few of them at first and twice as many each round, until no two members of different components are untried. So a
-    bucket of one component costs one comparison a member, and no link between components is missed.
+    few of them at first and eight times as many each round, until no two members of different components are untried.
+    So a bucket of one component costs one comparison a member, and no link between components is missed. Pairs whose
+    sizes alone rule out the similarity are not compared.
     """
-    least = members.groupBy("bucket").agg(F.min("node").alias("b"))
-    pairs = members.join(least, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    fits = F.least("size", "other_size") >= F.lit(similarity) * F.greatest("size", "other_size")
+    least = members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("one")).select("bucket", F.col("one.node").alias("b"), F.col("one.size").alias("other_size"))
+    pairs = members.join(least, "bucket").where("node <> b").where(fits).select(F.col("node").alias("a"), "b").distinct()
     links = kept(verified(pairs, sets, similarity), folder, "links_0")
     comps = joined_up(links, folder, "comps_0")
-    left = members.join(least, "bucket").where("node <> b").select("bucket", "node")
+    left = members.join(least, "bucket").where("node <> b").select("bucket", "node", "size")
     turn = 1
     while True:
-        named = left.join(comps.select(F.col("node").alias("_n"), "comp"), left["node"] == F.col("_n"), "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        named = left.join(comps.select(F.col("node").alias("_n"), "comp"), left["node"] == F.col("_n"), "left").select("bucket", "node", "size", F.coalesce("comp", "node").alias("comp"))
         named = kept(named, folder, f"named_{turn}")
         sizes = named.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max(F.struct("count", "comp"))["comp"].alias("largest"), F.count(F.lit(1)).alias("n"))
         mixed_buckets = kept(named.join(sizes.where("n > 1").drop("n"), "bucket"), folder, f"mixed_{turn}")
         if mixed_buckets.isEmpty():
             return comps
-        salt = F.pmod(F.xxhash64("node"), F.lit(1 << turn))
-        pivots = mixed_buckets.where("comp <> largest").groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "comp")).alias("p"))
-        pivots = kept(pivots.select("bucket", F.col("p.node").alias("b"), F.col("p.comp").alias("other")), folder, f"pivots_{turn}")
-        pairs = mixed_buckets.join(pivots, "bucket").where("comp <> other").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+        salt = F.pmod(F.xxhash64("node"), F.lit(8**turn))
+        pivots = mixed_buckets.where("comp <> largest").groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "comp", "size")).alias("p"))
+        pivots = kept(pivots.select("bucket", F.col("p.node").alias("b"), F.col("p.comp").alias("other"), F.col("p.size").alias("other_size")), folder, f"pivots_{turn}")
+        pairs = mixed_buckets.join(pivots, "bucket").where("comp <> other").where(fits).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
         links = kept(links.union(verified(pairs, sets, similarity)), folder, f"links_{turn}")
         comps = joined_up(links, folder, f"comps_{turn}")
         done = pivots.select(F.col("bucket").alias("_bucket"), F.col("b").alias("_node"))
-        left = mixed_buckets.join(done, (F.col("bucket") == F.col("_bucket")) & (F.col("node") == F.col("_node")), "left_anti").select("bucket", "node")
+        left = mixed_buckets.join(done, (F.col("bucket") == F.col("_bucket")) & (F.col("node") == F.col("_node")), "left_anti").select("bucket", "node", "size")
         turn += 1
 
 
@@ -238,9 +242,9 @@ def classes(
     folder = working_folder(docs.sparkSession)
     rows = docs.select(row_id().alias("id"), fingerprint(text).alias("fp"), text_of(text).alias("text"))
     signed = kept(signed_texts(rows, shingle, bands, per_band), folder, "signed")
-    found = signed.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("one"), F.min("bands").alias("bands"))
-    nodes = kept(found.select(F.monotonically_increasing_id().alias("node"), "key", "one.id", "one.fp", "bands"), folder, "nodes")
-    banded = nodes.select("node", F.posexplode("bands").alias("_band", "_hash")).select("node", F.xxhash64("_band", "_hash").alias("bucket"))
+    found = signed.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("one"), F.min("size").alias("size"), F.min("bands").alias("bands"))
+    nodes = kept(found.select(F.monotonically_increasing_id().alias("node"), "key", "one.id", "one.fp", "size", "bands"), folder, "nodes")
+    banded = nodes.select("node", "size", F.posexplode("bands").alias("_band", "_hash")).select("node", "size", F.xxhash64("_band", "_hash").alias("bucket"))
     shared = banded.groupBy("bucket").count().where("count > 1").select("bucket")
     members = kept(banded.join(shared, "bucket", "left_semi"), folder, "members")
     one = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("id").alias("_id"), F.col("fp").alias("_fp"))

@@ -120,37 +120,41 @@ def ods(spark: SparkSession, folder: str, events: DataFrame | None = None) -> Da
         ),
     ]
     if not streaming:
-        branches += [
-            _rows(
-                table(spark, folder, "orders"),
-                "prescription",
-                "insert",
-                {
-                    "id": as_text("o_orderkey"),
-                    "create_time": f"date_format(o_orderdate, '{MICROS}')",
-                    "total_amount": as_text("CAST(o_totalprice AS DECIMAL(16,2))"),
-                    "consultation_id": as_text("o_orderkey"),
-                    "doctor_id": as_text("o_orderkey % 10"),
-                    "patient_id": as_text("o_custkey"),
-                    "status": "'201'",
-                },
-            ),
-            _rows(
-                table(spark, folder, "lineitem"),
-                "prescription_detail",
-                "insert",
-                {
-                    "id": "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)",
-                    "create_time": f"date_format(l_shipdate, '{MICROS}')",
-                    "count": as_text("CAST(l_quantity AS INT)"),
-                    "medicine_id": as_text("l_partkey"),
-                    "prescription_id": as_text("l_orderkey"),
-                },
-            ),
-        ]
+        branches.append(ods_prescriptions(table(spark, folder, "orders"), table(spark, folder, "lineitem")))
     return reduce(DataFrame.unionAll, branches)
 
 
+def ods_prescriptions(orders: DataFrame, details: DataFrame) -> DataFrame:
+    """Orders as prescriptions and their lines as details, of tables or of streams of them."""
+    heads = _rows(
+        orders,
+        "prescription",
+        "insert",
+        {
+            "id": as_text("o_orderkey"),
+            "create_time": f"date_format(o_orderdate, '{MICROS}')",
+            "total_amount": as_text("CAST(o_totalprice AS DECIMAL(16,2))"),
+            "consultation_id": as_text("o_orderkey"),
+            "doctor_id": as_text("o_orderkey % 10"),
+            "patient_id": as_text("o_custkey"),
+            "status": "'201'",
+        },
+    )
+    lines = _rows(
+        details,
+        "prescription_detail",
+        "insert",
+        {
+            "id": "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)",
+            "create_time": f"date_format(l_shipdate, '{MICROS}')",
+            "count": as_text("CAST(l_quantity AS INT)"),
+            "medicine_id": as_text("l_partkey"),
+            "prescription_id": as_text("l_orderkey"),
+        },
+    )
+    return heads.unionAll(lines)
+
+
 def ods_payments(
     spark: SparkSession, folder: str, events: DataFrame | None = None
 ) -> DataFrame:

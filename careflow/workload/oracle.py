@@ -345,3 +345,6 @@ ORACLE["config_preloaded"] = f"""WITH {CONFIG}, steps AS (
     FROM nation WHERE n_nationkey < 5)
     SELECT 'source_' || k AS source_table, sink_table, 'info' AS sink_family, sink_columns, 'id' AS sink_row_key
     FROM (SELECT * FROM steps QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY seq DESC) = 1) WHERE live = 1"""
+ORACLE["fact_prescription_within"] = ORACLE["fact_prescription"] + """ JOIN orders ON CAST(o_orderkey AS VARCHAR) = pre.id
+    WHERE det.ts BETWEEN o_orderdate - INTERVAL 60 DAY AND o_orderdate + INTERVAL 60 DAY"""
+ORACLE["stream_fact_prescription"] = ORACLE["fact_prescription_within"]

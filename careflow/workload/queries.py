@@ -60,6 +60,7 @@ from careflow.workload.bindings import (
     dimensions,
     ods,
     ods_payments,
+    ods_prescriptions,
     routes,
     table,
 )
@@ -495,6 +496,17 @@ def stream_first_row(spark, folder):
     return run_to_table(first_row(events, ["user_id", "event_type"]), "first")
 
 
+def stream_fact_prescription(spark, folder):
+    """Prescriptions and details of two streams, written at most 60 days apart."""
+    log = ods_prescriptions(stream_table(spark, folder, "orders"), stream_table(spark, folder, "lineitem"))
+    return run_to_table(build_fact("prescription", log, ttl=60 * DAY), "prescription")
+
+
+def fact_prescription_within(spark, folder):
+    """The same bound in a batch."""
+    return build_fact("prescription", ods(spark, folder), ttl=60 * DAY)
+
+
 def stream_ttl_join(spark, folder):
     """Join of two streams that keep each row for a day."""
     events = stream_table(spark, folder, "events")
@@ -591,4 +603,6 @@ QUERIES: dict[str, Query] = {
     "stream_fact_prescription_paid": stream_fact_prescription_paid,
     "stream_first_row": stream_first_row,
     "stream_ttl_join": stream_ttl_join,
+    "stream_fact_prescription": stream_fact_prescription,
+    "fact_prescription_within": fact_prescription_within,
 }
