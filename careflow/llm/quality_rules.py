@@ -39,7 +39,7 @@ def features() -> tuple[Feature, ...]:
     )
 
 
-def repeated_words(words: Column, hashes: Column) -> Column:
+def repeated_words(hashes: Column) -> Column:
     """Words that lie in a 3-word window found twice or more.
 
     Windows are sorted by hash with their starts beside; those with an equal neighbour are the repeated ones, and
@@ -83,11 +83,10 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.col("_shouts").cast("long").alias("n_shouts"),
-        "_words",
         F.transform(at, window).alias("_hashes"),
     )
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_shouts")
-    rows = rows.select("doc_id", "_fp", "lang", "source", *counts, repeated_words(F.col("_words"), F.col("_hashes")).cast("long").alias("n_repeat_words"))
+    rows = rows.select("doc_id", "_fp", "lang", "source", *counts, repeated_words(F.col("_hashes")).cast("long").alias("n_repeat_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 

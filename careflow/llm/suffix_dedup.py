@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import dropped, fingerprint, kept, text_of, working_folder
+from careflow.llm.shared import dropped, fingerprint, kept, row_id, text_of, working_folder
 
 LENGTH, GRAM = 200, 110
 
@@ -185,17 +185,12 @@ def classified(suffixes: DataFrame) -> DataFrame:
             state = np.where(many, np.where(first & several, PARTNER, ALL), EDGE)
             at = many | several
             out = [columns[i][at] for i in (3, 2, 4, 5)] + [state[at].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([ids(out[0]), *map(pa.array, out[1:])], ["doc_id", "fp", "begin", "end", "state"])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), ["doc_id", "fp", "begin", "end", "state"])
 
     ranged = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.mapInArrow(compare, "doc_id long, fp long, begin long, end long, state int")
 
 
-def ids(values: np.ndarray) -> pa.Array:
-    """Ids that went through numpy: with nulls among them they are floats there, or objects."""
-    return pa.array(values, pa.int64(), from_pandas=True)
-
-
 def edges_of(data: bytes, found: list[dict], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """First 8 bytes, hash and place of every start of the stretches to look at, by blocks of the text."""
     blocks: dict[int, list[np.ndarray]] = {}
@@ -240,7 +235,7 @@ def compared(suffixes: DataFrame) -> DataFrame:
             flags = np.repeat([True, False], [len(known), len(ends)])
             lead, rest, fp, doc_id, start = (c[at] for c in columns)
             lead[: len(known)] = rest[: len(known)] = 0  # only the ends' keys are needed
-            out = [pa.array(flags), pa.array(lead), pa.array(rest), pa.array(fp), ids(doc_id), pa.array(start), pa.array(n[at])]
+            out = [pa.array(flags), pa.array(lead), pa.array(rest), pa.array(fp), pa.array(doc_id), pa.array(start), pa.array(n[at])]
             yield pa.RecordBatch.from_arrays(out, ["known", *order, "n"])
 
     ranged = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
@@ -283,7 +278,7 @@ def rest_of(texts: DataFrame, length: int) -> DataFrame:
                     rest = b"".join(data[a:b] for a, b in zip(borders[::2], borders[1::2], strict=True))
                     rows.append((doc_id, fp, int((gone[:, 1] - gone[:, 0]).sum()), len(gone), hashlib.sha256(rest).hexdigest(), rest))
             out = pd.DataFrame(rows, columns=["doc_id", "fp", "n_removed", "n_spans", "kept_sha256", "rest"])
-            yield out.astype({"doc_id": "Int64", "kept_sha256": object})
+            yield out.astype({"kept_sha256": object})
 
     return texts.mapInPandas(cut, "doc_id long, fp long, n_removed long, n_spans long, kept_sha256 string, rest binary")
 
@@ -294,20 +289,20 @@ def repeats(docs: DataFrame, wanted: tuple[str, ...], length: int = LENGTH, gram
     ``length`` is at least 8 and at least ``gram``.
     """
     folder = working_folder(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(text).alias("fp"), text_of(text).alias("text"))
+    rows = docs.select(row_id().alias("doc_id"), fingerprint(text).alias("fp"), text_of(text).alias("text"))
     rows = rows.where(F.octet_length("text") >= length)
     suffixes = kept(leading(rows, length, gram), folder, "leading")
     found = classified(suffixes).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("begin", "end", "state")).alias("found"))
     found = kept(found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "found"), folder, "found")
     dropped(docs.sparkSession, folder, "leading")
-    named = rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows["fp"] == found["_fp"]))
+    named = rows.join(found, (rows["doc_id"] == found["_id"]) & (rows["fp"] == found["_fp"]))
     texts = kept(named.select("doc_id", "fp", "text", "found"), folder, "texts")
     edges = kept(edge_suffixes(texts, length), folder, "edges")
     equal = kept(compared(edges), folder, "equal")
     dropped(docs.sparkSession, folder, "edges", "found")
     starts = across(equal).groupBy("doc_id", "fp").agg(F.collect_list("start").alias("starts"))
     starts = starts.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "starts")
-    both = texts.join(starts, texts["doc_id"].eqNullSafe(starts["_id"]) & (texts["fp"] == starts["_fp"]), "left")
+    both = texts.join(starts, (texts["doc_id"] == starts["_id"]) & (texts["fp"] == starts["_fp"]), "left")
     whole = rest_of(both.select("doc_id", "fp", "text", "found", "starts"), length)
     whole = kept(whole.select("doc_id", "fp", *wanted), folder, "rest")
     dropped(docs.sparkSession, folder, "texts", "equal")
@@ -324,8 +319,8 @@ def measure(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     out. An empty table gives an empty result.
     """
     changed = repeats(docs, ("n_removed", "n_spans", "kept_sha256"), length, gram, text)
-    rows = docs.select("doc_id", fingerprint(text).alias("fp"), F.octet_length(text_of(text)).cast("long").alias("n_bytes"), F.sha2(text_of(text), 256).alias("_sha"))
-    joined = rows.join(changed, rows["doc_id"].eqNullSafe(changed["_id"]) & (rows["fp"] == changed["_fp"]), "left")
+    rows = docs.select("doc_id", row_id().alias("_key"), fingerprint(text).alias("fp"), F.octet_length(text_of(text)).cast("long").alias("n_bytes"), F.sha2(text_of(text), 256).alias("_sha"))
+    joined = rows.join(changed, (rows["_key"] == changed["_id"]) & (rows["fp"] == changed["_fp"]), "left")
     return joined.select(
         "doc_id",
         "n_bytes",
@@ -342,7 +337,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, tex
     """
     changed = repeats(docs, ("rest",), length, gram, text)
     readable = F.pandas_udf(lambda values: values.map(lambda b: None if b is None else b.decode("utf-8", "ignore")), "string")
-    rows = docs.select(F.col("doc_id").alias("_doc"), fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
-    joined = rows.join(changed, rows["_doc"].eqNullSafe(changed["_id"]) & (rows["_row_fp"] == changed["_fp"]), "left")
-    new = F.when(F.col("_id").isNull() & F.col("_fp").isNull(), F.col(f"_row.{text}")).otherwise(readable("_rest"))
+    rows = docs.select(row_id().alias("_doc"), fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
+    joined = rows.join(changed, (rows["_doc"] == changed["_id"]) & (rows["_row_fp"] == changed["_fp"]), "left")
+    new = F.when(F.col("_id").isNull(), F.col(f"_row.{text}")).otherwise(readable("_rest"))
     return joined.select(*(new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))

@@ -37,7 +37,7 @@ def corpus(rng):
 @pytest.mark.parametrize(("length", "gram"), [(200, 110), (40, 24), (8, 8)])
 def test_against_all_strings(spark, length, gram):
     rng = random.Random(length)
-    rows = corpus(rng) + odd_texts(rng)
+    rows = corpus(rng) + odd_texts(rng) + [((1 << 60) + 1, "q" * 250), ((1 << 60) + 2, "r" * 250)]
     assert sorted((tuple(r) for r in measure(documents(spark, rows), length, gram).collect()), key=repr) == brute(rows, length)
 
 
