@@ -7,12 +7,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import NO_ID, fingerprint, kept, row_id, text_of, working_folder
+from careflow.llm.shared import NO_ID, dropped, fingerprint, kept, row_id, text_of, working_folder
 
 #: Words of a shingle and the least weighted Jaccard similarity of a link.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -20,6 +21,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: two texts of similarity 0.8 share no band with a chance of 5e-8.
 BANDS, ROWS = 32, 4
 
+#: Shingles of a block of texts that are compared at once.
+BLOCK = 300_000
+
 #: Hashes of words kept per Python worker; beyond that the memory starts anew.
 REMEMBERED_WORDS = 500_000
 
@@ -152,32 +156,32 @@ def joined_up(links: DataFrame, folder: str, name: str) -> DataFrame:
     """Connected components of links (a, b): ``node`` and the smallest node it is connected with, ``comp``.
 
     Each component hooks to its smallest neighbour; parents then jump to their parents until they are roots, and
-    links are taken between roots. Every step is a table in the shared folder.
+    links are taken between roots. Every step is a table in the shared folder, which goes when the next one is there.
     """
+    spark = links.sparkSession
     labels = kept(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().select("node", F.col("node").alias("comp")), folder, f"{name}_labels")
-    step = 0
-    edges = links.select("a", "b")
-    while True:
+    edges, step = links.select("a", "b"), 0
+    while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         parents = kept(both.where("a > b").groupBy(F.col("a").alias("child")).agg(F.min("b").alias("parent")), folder, f"{name}_{step}_parents")
-        if parents.isEmpty():
-            return labels
         jump = 0
         while True:
             up = parents.select(F.col("child").alias("_c"), F.col("parent").alias("_p"))
-            jumped = parents.join(up, parents["parent"] == up["_c"], "left").select("child", F.coalesce("_p", "parent").alias("parent"), F.col("_p").isNotNull().alias("moved"))
-            jumped = kept(jumped, folder, f"{name}_{step}_jump_{jump}")
-            parents, jump = jumped.select("child", "parent"), jump + 1
-            if jumped.where("moved").isEmpty():
+            if parents.join(up, parents["parent"] == up["_c"], "left_semi").isEmpty():
                 break
+            parents = kept(parents.join(up, parents["parent"] == up["_c"], "left").select("child", F.coalesce("_p", "parent").alias("parent")), folder, f"{name}_{step}_jump_{jump}")
+            jump += 1
         labels = labels.join(parents, labels["comp"] == parents["child"], "left").select("node", F.coalesce("parent", "comp").alias("comp"))
         labels = kept(labels, folder, f"{name}_{step}_labels")
+        dropped(spark, folder, f"{name}_labels" if not step else f"{name}_{step - 1}_labels")
         roots = parents.select(F.col("child").alias("_c"), F.col("parent").alias("_p"))
         moved = edges
         for end in ("a", "b"):
             moved = moved.join(roots, moved[end] == roots["_c"], "left").withColumn(end, F.coalesce("_p", end)).drop("_c", "_p")
         edges = kept(moved.where("a <> b").distinct(), folder, f"{name}_{step}_edges")
+        dropped(spark, folder, f"{name}_{step}_parents", *(f"{name}_{step}_jump_{i}" for i in range(jump)), f"{name}_{step - 1}_edges")
         step += 1
+    return labels
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -189,38 +193,74 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(common >= F.lit(similarity) * (F.size("_left") + F.size("_right") - common)).select("a", "b")
 
 
+def linked(members: pd.DataFrame, others: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    """Links from members to others by an inverted index of the others' elements; one for each member and component."""
+    sizes = np.array([len(e) for e in others["elements"]])
+    elements, at = np.unique(np.concatenate(list(others["elements"])), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    holders = np.repeat(np.arange(len(others)), sizes)[order]
+    begin = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=len(elements)))))
+    nodes, comps, out = others["node"].to_numpy(), others["comp"].to_numpy(), []
+    for node, comp, own in zip(members["node"], members["comp"], members["elements"], strict=True):
+        place = np.searchsorted(elements, own)
+        place = place[elements[np.minimum(place, len(elements) - 1)] == own]
+        held = [holders[begin[i] : begin[i + 1]] for i in place]
+        common = np.bincount(np.concatenate(held), minlength=len(others)) if held else np.zeros(len(others), np.int64)
+        near = np.flatnonzero((common >= similarity * (sizes + len(own) - common)) & (comps != comp))
+        out += [(node, nodes[near[i]]) for i in np.unique(comps[near], return_index=True)[1]]
+    return out
+
+
+def across(mixed_members: DataFrame, sets: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """Links between members of different components whose buckets hang together.
+
+    Members outside a group's largest component meet all members of the group, block by block. A block has as many
+    members as hold ``BLOCK`` shingles together, and gives links only, never the pairs that it compared.
+    """
+    least = mixed_members.groupBy("bucket").agg(F.min("node").alias("b"))
+    chained = kept(mixed_members.join(least, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), folder, "chained")
+    groups = joined_up(chained, folder, "groups").select("node", F.col("comp").alias("group"))
+    nodes = kept(mixed_members.select("node", "size", "comp").distinct().join(groups, "node"), folder, "grouped")
+    counts = nodes.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
+    stats = counts.groupBy("group").agg(F.max(F.struct("n", "comp", "shingles")).alias("top"), F.sum("shingles").alias("all"))
+    stats = stats.select("group", F.col("top.comp").alias("largest"), F.ceil(F.col("all") / BLOCK).alias("all_blocks"), F.ceil((F.col("all") - F.col("top.shingles")) / BLOCK).alias("out_blocks"))
+    placed = nodes.join(stats, "group").join(sets, "node")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ("group", "node", "comp", "elements")
+    outside = placed.where("comp <> largest").select(*columns, F.lit(True).alias("is_out"), block("out_blocks").alias("out"), each("all_blocks").alias("in"))
+    inside = placed.where("out_blocks > 0").select(*columns, F.lit(False).alias("is_out"), each("out_blocks").alias("out"), block("all_blocks").alias("in"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        out, others = part[part["is_out"]], part[~part["is_out"]]
+        found = linked(out, others, similarity) if len(out) and len(others) else []
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return outside.union(inside).groupBy("group", "out", "in").applyInPandas(compare, "a long, b long")
+
+
 def components(members: DataFrame, sets: DataFrame, similarity: float, folder: str) -> DataFrame:
-    """Components of all verified links between texts that share a bucket, without a pair for each two members.
+    """Components of all verified links between texts that share a bucket, without a row for each two members.
 
-    First each member of a bucket is compared with its smallest one. Where a bucket's members are then in
-    several components, members outside its largest one are compared with all members of other components, a
-    few of them at first and eight times as many each round, until no two members of different components are untried.
-    So a bucket of one component costs one comparison a member, and no link between components is missed. Pairs whose
-    sizes alone rule out the similarity are not compared.
+    First each member of a bucket is compared with its most central one, that with the most company in all its buckets.
+    Where a bucket's members are then in several components, those outside the largest one meet the others in blocks, so no
+    link between components is missed.
     """
+    company = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    degree = members.join(company, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
+    central = members.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "size")).alias("one"))
+    central = central.select("bucket", F.col("one.node").alias("b"), F.col("one.size").alias("other_size"))
     fits = F.least("size", "other_size") >= F.lit(similarity) * F.greatest("size", "other_size")
-    least = members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("one")).select("bucket", F.col("one.node").alias("b"), F.col("one.size").alias("other_size"))
-    pairs = members.join(least, "bucket").where("node <> b").where(fits).select(F.col("node").alias("a"), "b").distinct()
-    links = kept(verified(pairs, sets, similarity), folder, "links_0")
-    comps = joined_up(links, folder, "comps_0")
-    left = members.join(least, "bucket").where("node <> b").select("bucket", "node", "size")
-    turn = 1
-    while True:
-        named = left.join(comps.select(F.col("node").alias("_n"), "comp"), left["node"] == F.col("_n"), "left").select("bucket", "node", "size", F.coalesce("comp", "node").alias("comp"))
-        named = kept(named, folder, f"named_{turn}")
-        sizes = named.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max(F.struct("count", "comp"))["comp"].alias("largest"), F.count(F.lit(1)).alias("n"))
-        mixed_buckets = kept(named.join(sizes.where("n > 1").drop("n"), "bucket"), folder, f"mixed_{turn}")
-        if mixed_buckets.isEmpty():
-            return comps
-        salt = F.pmod(F.xxhash64("node"), F.lit(8**turn))
-        pivots = mixed_buckets.where("comp <> largest").groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "comp", "size")).alias("p"))
-        pivots = kept(pivots.select("bucket", F.col("p.node").alias("b"), F.col("p.comp").alias("other"), F.col("p.size").alias("other_size")), folder, f"pivots_{turn}")
-        pairs = mixed_buckets.join(pivots, "bucket").where("comp <> other").where(fits).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        links = kept(links.union(verified(pairs, sets, similarity)), folder, f"links_{turn}")
-        comps = joined_up(links, folder, f"comps_{turn}")
-        done = pivots.select(F.col("bucket").alias("_bucket"), F.col("b").alias("_node"))
-        left = mixed_buckets.join(done, (F.col("bucket") == F.col("_bucket")) & (F.col("node") == F.col("_node")), "left_anti").select("bucket", "node", "size")
-        turn += 1
+    pairs = members.join(central, "bucket").where("node <> b").where(fits).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    links = kept(verified(pairs, sets, similarity), folder, "links")
+    comps = joined_up(links, folder, "first")
+    of_node = comps.select(F.col("node").alias("_n"), "comp")
+    named = kept(members.join(of_node, members["node"] == of_node["_n"], "left").select("bucket", "node", "size", F.coalesce("comp", "node").alias("comp")), folder, "members_named")
+    several = named.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("several")).where("several").select("bucket")
+    more = kept(across(kept(named.join(several, "bucket", "left_semi"), folder, "mixed"), sets, similarity, folder), folder, "more")
+    if more.isEmpty():
+        return comps
+    return joined_up(links.union(more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct(), folder, "last")
 
 
 def classes(
@@ -252,6 +292,7 @@ def classes(
     texts = rows.join(one, (rows["id"] == one["_id"]) & (rows["fp"] == one["_fp"])).select("node", "text")
     sets = kept(multisets(texts, shingle).dropDuplicates(["node"]), folder, "sets")
     comps = components(members, sets, similarity, folder)
+    dropped(docs.sparkSession, folder, "members", "members_named", "mixed", "chained", "grouped", "sets", "one")
     of_key = nodes.join(comps, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
     named = kept(signed.select("id", "fp", "key").join(of_key, "key").select("id", "fp", "comp"), folder, "named")
     ids = named.groupBy("comp").agg(F.min(F.nullif("id", F.lit(NO_ID))).alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct((F.col("id") == NO_ID).alias("is_null"), "id", "fp")).alias("_first"))

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from careflow.llm.near_dedup import WORD, classes, deduplicated, joined_up, mixed, signatures
 from careflow.llm.shared import working_folder
@@ -67,7 +68,9 @@ def corpus(rng):
     return rows
 
 
-def test_classes(spark):
+@pytest.mark.parametrize("block", [300_000, 500])
+def test_classes(spark, monkeypatch, block):
+    monkeypatch.setattr("careflow.llm.near_dedup.BLOCK", block)
     rng = random.Random(13)
     rows = corpus(rng) + odd_texts(rng)
     docs = documents(spark, rows)
