@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from careflow.llm.shared import NO_ID, kept, row_id, text_of, working_folder
 
 #: The vocabulary: the most frequent words of the corpus, and classes that all other words fall in by their hash.
-FREQUENT, CLASSES = 1536, 512
+FREQUENT, CLASSES = 1024, 256
 
 #: Weights of the smoothing.
 PRIOR, FLOOR = 5.0, 0.5
@@ -96,22 +96,30 @@ class Model:
     """A bigram model: how often words follow words, brought to ``scale`` times the counts."""
 
     def __init__(self, counts: np.ndarray, scale: float, prior: float, floor: float) -> None:
-        single = counts.sum(axis=0) * scale + floor
+        single = counts.sum(axis=0, dtype=np.float64) * scale + floor
         self.scale, self.prior = scale, prior
-        self.after = counts.sum(axis=1) * scale
+        self.after = counts.sum(axis=1, dtype=np.float64) * scale
         self.lean = (prior * single / single.sum()).astype(np.float32)
-        self.counts = (counts * scale).astype(np.float32).ravel()
+        self.counts = counts.ravel()
 
     def loss(self, pairs: np.ndarray, times: np.ndarray, size: int, is_own: bool) -> float:
         """Bits a word of a text with these pairs; if the model has seen the text, as if it had not."""
         first, second = np.divmod(pairs, size)
         seen = times * (self.scale * is_own)
         begun = np.bincount(first, weights=seen, minlength=size)[first]
-        over = np.maximum(self.counts[pairs] - seen, 0) + self.lean[second]
+        over = np.maximum(self.counts[pairs] * self.scale - seen, 0) + self.lean[second]
         under = np.maximum(self.after[first] - begun, 0) + self.prior
         return float((-np.log2(over / under) * times).sum() / times.sum())
 
 
+def square_of(pairs: DataFrame, column: str, size: int) -> np.ndarray:
+    """The counts of one model, by first and second word: at most as many rows as the vocabulary's square."""
+    found = pairs.where(F.col(column) > 0).select("pair", F.col(column).cast("float").alias("n")).toArrow()
+    square = np.zeros(size**2, np.float32)
+    square[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    return square.reshape(size, size)
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -145,15 +153,10 @@ def score(
     labelled = rows.join(good, rows["_id"] == good["_good"], "left").select("_id", "text", F.col("_good").isNotNull().alias("is_target"))
     labelled = kept(labelled, folder, "labelled")
     pairs = kept(bigram_counts(labelled, vocabulary), folder, "pairs")
-    found = pairs.toPandas()  # at most as many rows as the vocabulary's square
-    size = vocabulary.size
-    squares = []
-    for column in ("target", "everything"):
-        square = np.zeros(size**2)
-        square[found["pair"]] = found[column]
-        squares.append(square.reshape(size, size))
-    least = max(1, min(c.sum() for c in squares))
-    shared = spark.sparkContext.broadcast((vocabulary, *(Model(c, least / max(1, c.sum()), prior, floor) for c in squares)))
+    totals = pairs.agg(F.sum("target"), F.sum("everything")).first()
+    least = max(1, min(n or 0 for n in totals))
+    models = [Model(square_of(pairs, c, vocabulary.size), least / max(1, n or 0), prior, floor) for c, n in zip(("target", "everything"), totals, strict=True)]
+    shared = spark.sparkContext.broadcast((vocabulary, *models))
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, target, background = shared.value
