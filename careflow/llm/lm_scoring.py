@@ -8,19 +8,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import NO_ID, kept, row_id, text_of, working_folder
-
-#: The vocabulary: the most frequent words of the corpus, and classes that all other words fall in by their hash.
-FREQUENT, CLASSES = 1024, 256
+from careflow.llm.shared import NO_ID, dropped, kept, row_id, text_of, working_folder
 
 #: Weights of the smoothing.
 PRIOR, FLOOR = 5.0, 0.5
 
-#: Entries of a worker's tables that are given out before counting goes on.
+#: Entries of a worker's tables that are given out before it goes on.
 AT_ONCE = 200_000
 
 WORD = re.compile(r"\w+|[^\w\s]+")
@@ -48,6 +46,25 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text_of(text).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Words:
+    """Numbers of all words, their hashes of 64 bits; 0 stands for a text's start."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def numbers(self, text: str) -> np.ndarray:
+        if len(self.known) > AT_ONCE:
+            self.known = {}
+        known, out = self.known, [0]
+        for w in words(text):
+            n = known.get(w)
+            if n is None:
+                n = xxhash.xxh3_64_intdigest(w) or 1
+                n = known[w] = n - (1 << 64) if n >> 63 else n
+            out.append(n)
+        return np.array(out, np.int64)
+
+
 class Vocabulary:
     """Numbers of words: 0 for a text's start, then frequent words, then classes of the others."""
 
@@ -69,31 +86,55 @@ class Vocabulary:
         return np.array(out, np.int64)
 
 
-def bigram_counts(labelled: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """For each pair of neighbours, as one number, its count in the target documents and in all of them."""
-    shared = labelled.sparkSession.sparkContext.broadcast(vocabulary)
+def bigrams(rows: DataFrame, vocabulary: Words | Vocabulary) -> DataFrame:
+    """For each row and pair of neighbours in it, how often the pair, its first word (as a first one), its second one and any word stand there."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["_row", "is_target", "first", "second", "times", "begun", "ended", "n"]
+
+    def pairs_of(n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct pairs with their counts, those of their first and of their second words, and that of all."""
+        order = np.lexsort((n[1:], n[:-1]))
+        first, second = n[:-1][order], n[1:][order]
+        starts = np.r_[True, first[1:] != first[:-1]]
+        new = np.flatnonzero(starts | np.r_[True, second[1:] != second[:-1]])
+        group = np.cumsum(starts) - 1
+        times = np.diff(np.r_[new, len(first)])
+        word = np.unique(second[new], return_inverse=True)[1]
+        ended = np.bincount(word, weights=times).astype(np.int64)[word]
+        return first[new], second[new], times, np.bincount(group)[group[new]], ended, np.full(len(new), len(first))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
+
+        def table() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own: Vocabulary = shared.value
-        target, everything = np.zeros(own.size**2, np.int32), np.zeros(own.size**2, np.int32)
         for batch in batches:
-            for value, is_target in zip(batch["text"], batch["is_target"], strict=True):
+            for row, value, is_target in zip(*(batch.column(c).to_pylist() for c in ("_row", "text", "is_target")), strict=True):
                 n = own.numbers(value)
-                pairs, times = np.unique(n[:-1] * own.size + n[1:], return_counts=True)
-                everything[pairs] += times.astype(np.int32)
-                if is_target:
-                    target[pairs] += times.astype(np.int32)
-        found = np.flatnonzero(everything)
-        for at in range(0, len(found), AT_ONCE):
-            some = found[at : at + AT_ONCE]
-            yield pd.DataFrame({"pair": some, "target": target[some].astype(np.int64), "everything": everything[some].astype(np.int64)})
+                if len(n) < 2:
+                    continue
+                found = pairs_of(n)
+                parts.append((np.full(len(found[0]), row), np.full(len(found[0]), is_target), *found))
+                held += len(found[0])
+                if held > AT_ONCE:
+                    yield table()
+                    held = 0
+        if parts:
+            yield table()
 
-    counts = labelled.mapInPandas(count, "pair long, target long, everything long")
-    return counts.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("everything").alias("everything"))
+    return rows.mapInArrow(count, "_row long, is_target boolean, first long, second long, times long, begun long, ended long, n long")
 
 
 class Model:
-    """A bigram model: how often words follow words, brought to ``scale`` times the counts."""
+    """The definition of a bigram model, as a square for small vocabularies; ``score`` works it out on tables.
+
+    It holds how often words follow words, brought to ``scale`` times the counts.
+    """
 
     def __init__(self, counts: np.ndarray, scale: float, prior: float, floor: float) -> None:
         single = counts.sum(axis=0, dtype=np.float64) * scale + floor
@@ -112,19 +153,11 @@ class Model:
         return float((-np.log2(over / under) * times).sum() / times.sum())
 
 
-def square_of(pairs: DataFrame, column: str, size: int) -> np.ndarray:
-    """The counts of one model, by first and second word: at most as many rows as the vocabulary's square."""
-    found = pairs.where(F.col(column) > 0).select("pair", F.col(column).cast("float").alias("n")).toArrow()
-    square = np.zeros(size**2, np.float32)
-    square[found.column("pair").to_numpy()] = found.column("n").to_numpy()
-    return square.reshape(size, size)
-
-
 def score(
     docs: DataFrame,
     labels: DataFrame,
-    frequent: int = FREQUENT,
-    classes: int = CLASSES,
+    frequent: int | None = None,
+    classes: int = 0,
     prior: float = PRIOR,
     floor: float = FLOOR,
     text: str = "text",
@@ -132,43 +165,65 @@ def score(
     """For each document doc_id, n_words, target_loss and background_loss (bits a word) and score, their difference.
 
     The background model counts neighbours in all documents, the target model in those that ``labels`` calls of good
-    quality (``quality`` 1 in any row of the id). A document is scored by what the models know from the others: its own
-    counts are taken off where they went in, so that labelled and unlabelled documents compare. A word leans on its
-    probability by itself with the weight ``prior``, and that on all words being equal with ``floor``. Both models have the same vocabulary, ``frequent`` words of the whole corpus and
-    ``classes`` classes of all others, the same smoothing, and counts brought to the same total, so that they differ in
-    what they have seen and not in how much. The lower the score, the more a document is like the target.
-
-    The models hold (frequent + classes + 1) squared numbers whatever the corpus, which bounds what is broadcast and what
-    the driver holds; the counts behind them are of all documents. A null or empty text has no words, losses and score 0.
-    Without good labels both models are uniform mixtures and finite. Words that tie at the border of the frequent ones are
-    taken in their order. Repeated rows count and are scored each. Null ids match no label. Other columns are left out. An
-    empty table gives an empty result.
+    quality (``quality`` 1 in any row of the id). A labelled document is scored by what the target model knows from the
+    others: its own counts are taken off there, so that labelled and unlabelled documents compare. In the background model
+    they stay, as all documents are in it: without them a document with a copy would look far more like the background
+    than one without. A word leans on its probability by itself with the weight ``prior``, and that on all words being
+    equal with ``floor``. Both models have the same vocabulary, all words of the corpus, the same smoothing, and counts
+    brought to the same total, so that they
+    differ in what they have seen and not in how much. The lower the score, the more a document is like the target.
+
+    The models are one table with a row for each pair of neighbours that the corpus has, which grows with it. It meets the
+    pairs of each document by a shuffle; the driver gets three totals. A pair has one row in the models and one in each
+    document that has it, so a hot pair brings no more rows than there are documents. Words are told apart by hashes of 64
+    bits. ``frequent`` limits the vocabulary to so many words and puts all others in ``classes`` classes; own counts are
+    then taken off both models' pairs, and off no single words.
+
+    A null or empty text has no words, losses and score 0. Without good labels both models are uniform mixtures and
+    finite. Words that tie at the border of the frequent ones are taken in their order. Repeated rows count and are
+    scored each. Null ids match no label. Other columns are left out. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     folder = working_folder(spark)
-    top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(frequent).select("word").collect()
-    vocabulary = Vocabulary([r.word for r in top], classes)
+    vocabulary: Words | Vocabulary = Words()
+    if frequent is not None:
+        top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(frequent).select("word").collect()
+        vocabulary = Vocabulary([r.word for r in top], classes)
     rows = docs.select(row_id().alias("_id"), text_of(text).alias("text"))
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_good")).distinct()
     labelled = rows.join(good, rows["_id"] == good["_good"], "left").select("_id", "text", F.col("_good").isNotNull().alias("is_target"))
-    labelled = kept(labelled, folder, "labelled")
-    pairs = kept(bigram_counts(labelled, vocabulary), folder, "pairs")
-    totals = pairs.agg(F.sum("target"), F.sum("everything")).first()
-    least = max(1, min(n or 0 for n in totals))
-    models = [Model(square_of(pairs, c, vocabulary.size), least / max(1, n or 0), prior, floor) for c, n in zip(("target", "everything"), totals, strict=True)]
-    shared = spark.sparkContext.broadcast((vocabulary, *models))
-
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, target, background = shared.value
-        for batch in batches:
-            out = []
-            for value, is_target in zip(batch["text"], batch["is_target"], strict=True):
-                n = own.numbers(value)
-                pairs, times = np.unique(n[:-1] * own.size + n[1:], return_counts=True)
-                a, b = (target.loss(pairs, times, own.size, is_target), background.loss(pairs, times, own.size, True)) if len(pairs) else (0.0, 0.0)
-                out.append((len(n) - 1, a, b, a - b))
-            rated = pd.DataFrame(out, columns=["n_words", "target_loss", "background_loss", "score"])
-            yield pd.concat([batch[["_id"]].reset_index(drop=True), rated], axis=1)
-
-    rated = labelled.mapInPandas(rate, "_id long, n_words long, target_loss double, background_loss double, score double")
-    return rated.select(F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), "n_words", "target_loss", "background_loss", "score")
+    labelled = kept(labelled.withColumn("_row", F.monotonically_increasing_id()), folder, "labelled")
+    grams = bigrams(labelled, vocabulary)
+
+    models = {"target": F.when(F.col("is_target"), F.col("times")).otherwise(0), "everything": F.col("times")}
+    pairs = kept(grams.groupBy("first", "second").agg(*(F.sum(n).alias(m) for m, n in models.items())), folder, "pairs")
+    by_first = pairs.groupBy("first").agg(*(F.sum(m).alias(f"{m}_after") for m in models))
+    by_second = kept(pairs.groupBy("second").agg(*(F.sum(m).alias(f"{m}_single") for m in models)), folder, "words")
+    seen = by_second.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(f"{m}_single"), F.lit(0)).alias(m) for m in models)).first()
+    size = seen["words"] + 1 if frequent is None else vocabulary.size
+    scales = {m: max(1, min(seen[n] for n in models)) / max(1, seen[m]) for m in models}
+    model = pairs.join(by_second, "second").join(by_first, "first")
+    model = kept(model.select("first", "second", *models, *(f"{m}_after" for m in models), *(f"{m}_single" for m in models)), folder, "model")
+    dropped(spark, folder, "pairs", "words")
+
+    def loss(m: str) -> Column:
+        """Bits of a pair in a text, with the text's own counts off as ``score`` says."""
+        own = F.col("is_target").cast("long") if m == "target" else F.lit(0 if frequent is None else 1)
+        alone = own * (1 if frequent is None else 0)
+        single = (F.col(f"{m}_single") - alone * F.col("ended")) * scales[m] + floor
+        lean = prior * single / ((seen[m] - alone * F.col("n")) * scales[m] + floor * size)
+        over = (F.col(m) - own * F.col("times")) * scales[m] + lean
+        under = (F.col(f"{m}_after") - own * F.col("begun")) * scales[m] + prior
+        return -F.log2(over / under) * F.col("times")
+
+    found = grams.join(model, ["first", "second"])
+    sums = found.groupBy("_row").agg(F.sum("times").alias("n_words"), *(F.sum(loss(m)).alias(m) for m in models))
+    rated = labelled.select("_row", "_id").join(sums, "_row", "left")
+    nil = F.lit(0.0)
+    rated = rated.select(
+        F.nullif("_id", F.lit(NO_ID)).alias("doc_id"),
+        F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce(F.col("target") / F.col("n_words"), nil).alias("target_loss"),
+        F.coalesce(F.col("everything") / F.col("n_words"), nil).alias("background_loss"),
+    )
+    return rated.withColumn("score", F.col("target_loss") - F.col("background_loss"))

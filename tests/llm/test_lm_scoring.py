@@ -70,3 +70,48 @@ def test_model_takes_own_counts_off():
     model = Model(counts, 1.0, 1.0, 0.5)
     alone = model.loss(np.array([1]), np.array([2]), 2, True)
     assert alone > model.loss(np.array([1]), np.array([2]), 2, False)
+
+
+def plain_whole(rows, good, prior=5.0, floor=0.5):
+    """The definition on all words, with a labelled document's own counts off the target model."""
+    from collections import Counter
+
+    texts = [words(t or "") for _, t in rows]
+    pairs = [Counter(zip(["", *w], w, strict=False)) for w in texts]
+    size = len({w for t in texts for w in t}) + 1
+    total = lambda chosen: sum((pairs[i] for i in chosen), Counter())
+    labelled = [i for i, (d, _) in enumerate(rows) if d in good]
+    target, everything = total(labelled), total(range(len(rows)))
+    least = max(1, min(target.total(), everything.total()))
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        both = []
+        for model, taken in ((target, i in labelled), (everything, False)):
+            scale = least / max(1, model.total())
+            rest = model - pairs[i] if taken else model
+            after, single = Counter(), Counter()
+            for (a, b), n in rest.items():
+                after[a] += n
+                single[b] += n
+            lean = lambda w: prior * (single[w] * scale + floor) / (rest.total() * scale + floor * size)  # noqa: B023, E731
+            bits = sum(-np.log2((scale * rest[p] + lean(p[1])) / (scale * after[p[0]] + prior)) * n for p, n in pairs[i].items())
+            both.append(bits / len(texts[i]) if texts[i] else 0.0)
+        out.append((doc_id, len(texts[i]), *both))
+    return sorted(out, key=repr)
+
+
+def test_rare_words_keep_their_own_counts(spark):
+    """More words than any class could tell apart, each in two documents; scored by the definition on all of them."""
+    rng = random.Random(16)
+    rows = [(i, " ".join(f"r{n}" for n in rng.sample(range(3000), 150))) for i in range(40)] + odd_texts(rng)
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)], "doc_id long, quality int")
+    got = sorted((tuple(r)[:4] for r in score(documents(spark, rows), labels).collect()), key=repr)
+    want = plain_whole(rows, set(range(0, 40, 2)))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-6)
+
+
+def test_repeated_rows_are_scored_each(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    got = score(documents(spark, [(1, "a b c"), (1, "a b c"), (None, "a b")]), labels).collect()
+    assert sorted(r.n_words for r in got) == [2, 3, 3]
