@@ -14,6 +14,10 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, REPEATED = 50, 50
 
+#: Rows that a source needs for quartiles of its own, and that small sources of a language need together: five times as
+#: many, so that none of them holds a quarter.
+OWN_ROWS, POOL_ROWS = 20, 100
+
 
 @dataclass(frozen=True)
 class Feature:
@@ -94,19 +98,26 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 def thresholds(stats: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """For each language and source the highest accepted value of every feature.
 
-    Quartiles come from sketches that each task builds and the shuffle merges (``percentile_approx``), one for each
-    language and source and one for the language; the larger limit of the two holds, so that a small or odd source
-    is not harder than its language.
+    Quartiles come from sketches that each task builds and the shuffle merges (``percentile_approx``). A source with
+    OWN_ROWS rows or more has its own limits. Smaller ones have those of all small sources of their language together if
+    these have POOL_ROWS rows, else the median of the limits of the language's other sources, each counting once; without
+    others, those of the small ones all the same. So a source never sets another one's limit by its size.
     """
     measured = stats.where(~F.col("base_failed")).select("lang", "source", *(f.value.alias(f"_{f.name}") for f in features()))
     sketches = [F.percentile_approx(f"_{f.name}", [0.25, 0.75], accuracy).alias(f"_q_{f.name}") for f in features()]
     limits = [(F.get(f"_q_{f.name}", 1) + F.greatest(f.reach * (F.get(f"_q_{f.name}", 1) - F.get(f"_q_{f.name}", 0)), F.lit(f.least))).alias(f"_max_{f.name}") for f in features()]
-    by_source = measured.groupBy("lang", "source").agg(*sketches).select("lang", "source", *limits)
-    by_lang = measured.groupBy("lang").agg(*sketches).select(F.col("lang").alias("_lang"), *(c.alias(f"_lang_{f.name}") for c, f in zip(limits, features(), strict=True)))
-    both = by_source.join(by_lang, by_source["lang"].eqNullSafe(by_lang["_lang"]))
-    return both.select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), *(F.greatest(f"_max_{f.name}", f"_lang_{f.name}").alias(f"_max_{f.name}") for f in features())
-    )
+    names = [f"_max_{f.name}" for f in features()]
+    by_source = measured.groupBy("lang", "source").agg(F.count("*").alias("_rows"), *sketches).select("lang", "source", "_rows", *limits)
+    large, small = by_source.where(F.col("_rows") >= OWN_ROWS), by_source.where(F.col("_rows") < OWN_ROWS)
+    few = small.select(F.col("lang").alias("_few_lang"), F.col("source").alias("_few_source"))
+    rest = measured.join(few, measured["lang"].eqNullSafe(few["_few_lang"]) & measured["source"].eqNullSafe(few["_few_source"]), "left_semi")
+    pooled = rest.groupBy(F.col("lang").alias("_pool_lang")).agg(F.count("*").alias("_pool_rows"), *sketches)
+    pooled = pooled.select("_pool_lang", "_pool_rows", *(c.alias(f"_pool{n}") for c, n in zip(limits, names, strict=True)))
+    votes = large.groupBy(F.col("lang").alias("_vote_lang")).agg(*(F.percentile_approx(n, 0.5, accuracy).alias(f"_vote{n}") for n in names))
+    both = small.join(pooled, small["lang"].eqNullSafe(F.col("_pool_lang"))).join(votes, small["lang"].eqNullSafe(F.col("_vote_lang")), "left")
+    limit = lambda n: F.when(F.col("_pool_rows") >= POOL_ROWS, F.col(f"_pool{n}")).otherwise(F.coalesce(f"_vote{n}", f"_pool{n}")).alias(n)
+    keys = [F.col("lang").alias("_lang"), F.col("source").alias("_source")]
+    return large.select(*keys, *names).unionByName(both.select(*keys, *map(limit, names)))
 
 
 def judged(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -125,7 +136,8 @@ def rate(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Words are runs of characters other than space and U+0009 to U+000D. ``base_failed`` holds below 50 words or where
     more than half of the words lie in repeated 3-word windows. Other documents are kept unless symbols, repeats,
-    repeated lines, shouting or word length lie far above the quartiles of their language and source.
+    repeated lines, shouting or word length lie far above the quartiles of their language and source; see ``thresholds``
+    for sources with few documents.
 
     A null text has no words and fails. Null languages and sources form groups of their own, also where the table has
     no such columns. Repeated rows are each rated; ties lie on the same side of a limit. Other columns of the input

@@ -50,3 +50,25 @@ def test_without_groups(spark):
     assert rate(documents(spark, [])).count() == 0 and accepted(documents(spark, [])).count() == 0
     twice = documents(spark, [*rows, rows[0]])
     assert accepted(twice).count() == len(rows) + 1
+
+
+def test_a_hot_source_loosens_no_other(spark):
+    """A source with a third of a language's rows and many symbols; the others, large and small, keep their limits."""
+    rng = random.Random(7)
+    text = lambda symbols: " ".join(w + "#" * (i < symbols) for i, w in enumerate(sentence(rng, 100).split()))
+    rows = [(i, text(0), f"s{i % 4}") for i in range(160)]  # four large sources
+    rows += [(1000 + i, text(0), f"t{i}") for i in range(20)]  # sources of one document
+    rows += [(2000 + i, text(30), "hot") for i in range(90)]
+    rows += [(3000 + i, text(80), f"s{i}") for i in range(4)] + [(3100, text(80), "t0"), (3101, text(80), "new")]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    verdict = {r.doc_id: r.kept for r in rate(docs).collect()}
+    assert {i for i, good in verdict.items() if not good} == {3000, 3001, 3002, 3003, 3100, 3101}
+
+
+def test_small_sources_together(spark):
+    """Enough small sources have the quartiles of their own pool, whatever the large one is like."""
+    rng = random.Random(8)
+    text = lambda symbols: " ".join(w + "#" * (i < symbols) for i, w in enumerate(sentence(rng, 100).split()))
+    rows = [(i, text(0), f"t{i}") for i in range(120)] + [(2000 + i, text(30), "hot") for i in range(60)] + [(3000, text(80), "u")]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in rate(docs).where("NOT kept").collect()] == [3000]
