@@ -33,7 +33,16 @@ SIDE_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus discussion form search skip toc complementary contentinfo dialog "
     "hidden".split()
 )
-#: Words that mark the article itself; they overrule side words of the same element.
+#: Side words that hold for comments, advertisements and teasers also beside main words.
+CERTAIN_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements sponsor sponsored sponsors promo promos related recommended recommendations "
+    "comment comments commentlist reply replies respond disqus cookie cookies consent gdpr".split()
+)
+#: Side words that inside an article may as well be its matter; the ratios of the lines decide.
+DOUBTFUL_WORDS = frozenset("discussion popular trending notice notices notification alert disclaimer copyright form search rail follow foot dialog skip".split())
+#: Before a side word these say what a page has or lacks, not what the element is.
+MODIFIERS = frozenset("has no not with without".split())
+#: Words that mark the article itself; a name of these only overrules side words of the same element.
 MAIN_WORDS = frozenset("article main content post entry story body text page".split())
 _WORD = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"\s+")
@@ -57,10 +66,10 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # name, number, whether it or one around it is side matter
-        self.articles: list[int] = []
         self.count = 0
         self.parents = {0: 0}
         self.names = {0: ""}
+        self.doubtful: dict[int, tuple[bool, bool]] = {}  # elements with side words: whether these are certain; whether the lines decide
         self.rows: list[tuple[str, int, int, int, bool]] = []
         self.text: list[str] = []
         self.tags = 0
@@ -85,11 +94,16 @@ class Lines(HTMLParser):
         said = dict(attrs)
         if "hidden" in said or (said.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", (said.get("style") or "").lower()):
             return True
-        words = set(_WORD.findall(" ".join((said.get(k) or "").lower() for k in ("class", "id", "role"))))
-        side = words & SIDE_WORDS
-        if inside and side <= {"header", "body", "text"}:
+        names = [set(_WORD.findall(name)) for k in ("class", "id", "role") for name in (said.get(k) or "").lower().split()]
+        side = set().union(*(n & SIDE_WORDS for n in names if not n & MODIFIERS))
+        if inside:
+            side -= {"header", "body", "text"}
+        if not side:
+            return False
+        if not side & CERTAIN_WORDS and any(n and n <= MAIN_WORDS for n in names):
             return False
-        return bool(side) and not (tag in ("article",) and not side & {"comment", "comments", "reply", "related", "recommended", "promo", "ad", "ads", "advert", "sponsored"} and words & MAIN_WORDS)
+        self.doubtful[self.count] = (bool(side & CERTAIN_WORDS), inside and side <= DOUBTFUL_WORDS)
+        return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -177,6 +191,39 @@ def content_lines(rows: list[tuple[str, int, int, int, bool]]) -> np.ndarray:
     return (smooth > threshold) | (smooth >= smooth.max()) if len(rows) else np.zeros(0, bool)
 
 
+def without_side(parser: Lines, paths: list[set[int]]) -> list[tuple[str, int, int, int, bool]]:
+    """The lines of a page, with those in elements that have side words marked too.
+
+    Such an element is no side matter if it holds an article or main that is none, if it is a doubtful one in an article
+    and most of its text lies in content lines, or if most of the page's content is in it and no article or main is left
+    otherwise. Elements with certain side words stay side matter.
+    """
+    rows, side = parser.rows, set(parser.doubtful)
+    if not side:
+        return rows
+    for n, name in parser.names.items():
+        if name in ("article", "main") and n not in side:
+            above, passed = parser.parents.get(n, 0), []
+            while above:
+                passed.append(above)
+                above = parser.parents[above]
+            if not any(parser.doubtful.get(k, (False, False))[0] for k in passed):
+                side -= set(passed)
+    good = content_lines(rows)
+    size = [len(text) - linked for text, _, linked, _, _ in rows]
+    content: dict[int, int] = {}
+    plain: dict[int, int] = {}
+    for n, path, g, row in zip(size, paths, good, rows, strict=True):
+        for k in () if row[4] else path & (side | {0}):
+            content[k] = content.get(k, 0) + n * bool(g)
+            plain[k] = plain.get(k, 0) + n
+    side -= {n for n in side if parser.doubtful[n][1] and 2 * content.get(n, 0) > plain.get(n, 0)}
+    left = [path for row, path in zip(rows, paths, strict=True) if not row[4] and not path & side]
+    if not any(parser.names[n] in ("article", "main") for path in left for n in path):
+        side -= {n for n in side if not parser.doubtful[n][0] and 2 * content.get(n, 0) > content.get(0, 0)}
+    return [(*row[:4], row[4] or bool(path & side)) for row, path in zip(rows, paths, strict=True)]
+
+
 def main_text(html: str | None) -> str:
     """The text of the part of a page that holds its content lines, without side matter, one line per block.
 
@@ -188,17 +235,17 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    rows = parser.rows
-    if not rows:
+    if not parser.rows:
         return ""
-    chosen = content_lines(rows)
     paths = []
-    for _, _, _, number, _ in rows:
+    for _, _, _, number, _ in parser.rows:
         path = {number}
         while number:
             number = parser.parents[number]
             path.add(number)
         paths.append(path)
+    rows = without_side(parser, paths)
+    chosen = content_lines(rows)
     weight: dict[int, int] = {}
     plain: dict[int, int] = {}
     for (text, _, linked, _, side), path, good in zip(rows, paths, chosen, strict=True):

@@ -56,3 +56,22 @@ def test_all_pages_of_the_tables(spark, small):
         lines = [" ".join(html_module.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inside)]
         want[row.page_id] = "\n".join(x for x in lines if x)
     assert {r.page_id: r.text for r in extract(pages).collect()} == want
+
+
+LONG = "A paragraph of the page that is long enough to be seen as its text, with words and more words. " * 4
+LONG = LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['class="content has-sidebar"', 'id="page" class="no-sidebar"', 'class="main header-fixed"', 'class="sidebar-left"', 'class="layout with-footer"'],
+)
+def test_wrappers_with_side_words(wrapper):
+    assert main_text(f"<body><div {wrapper}><article><h1>T</h1><p>{LONG}</p></article></div></body>") == f"T\n{LONG}"
+
+
+@pytest.mark.parametrize("part", ['section id="discussion"', 'div class="popular-science"'])
+def test_doubtful_parts_of_an_article(part):
+    tag = part.split()[0]
+    page = f'<body><article><h1>T</h1><p>{LONG}</p><{part}><h2>D</h2><p>{LONG}</p></{tag}><div class="ad">Buy</div></article></body>'
+    assert main_text(page) == f"T\n{LONG}\nD\n{LONG}"
