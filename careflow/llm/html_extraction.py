@@ -56,7 +56,10 @@ CLOSES = {
     "th": {"td", "th"},
     "option": {"option"},
 }
-CONTAINERS = frozenset("body center div html section table tbody td tr".split())
+CONTAINERS = frozenset("article body center div html main section table tbody td tr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Characters of a line that may stand as a paragraph outside of a page's article or main, and lines that a heading may stand above.
+ALONE, ABOVE = 25, 3
 ENDS_P = BLOCKS - {"body", "head", "html", "title", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"} | {"li", "dd", "dt"}
 
 
@@ -225,10 +228,12 @@ def without_side(parser: Lines, paths: list[set[int]]) -> list[tuple[str, int, i
 
 
 def main_text(html: str | None) -> str:
-    """The text of the part of a page that holds its content lines, without side matter, one line per block.
+    """The text of the parts of a page that hold its content lines, without side matter, one line per block.
 
-    The region is the article or main element with the most text in content lines; on a page without such elements
-    it is the innermost container that holds at least nine tenths of that text, and lines that are mostly links go.
+    Lines in the upper cluster of text-to-tag ratios choose the containers: each one that holds such a line directly is
+    taken with its other direct lines, and with what lies deeper if half of its text is in such lines. Lines that are
+    mostly links go unless they are paragraphs. Headings above a taken line, and the few lines between, are taken too.
+    Article and main are hints: a line outside them needs ALONE characters, and one of them is taken if no container is.
     """
     if not html:
         return ""
@@ -237,29 +242,45 @@ def main_text(html: str | None) -> str:
     parser.close()
     if not parser.rows:
         return ""
-    paths = []
+    chains, paths = [], []
     for _, _, _, number, _ in parser.rows:
-        path = {number}
+        chain = [number]
         while number:
             number = parser.parents[number]
-            path.add(number)
-        paths.append(path)
+            chain.append(number)
+        chains.append(chain)
+        paths.append(set(chain))
     rows = without_side(parser, paths)
-    chosen = content_lines(rows)
+    upper = content_lines(rows)
+    linkish = [2 * linked > len(text) and "p" not in (parser.names[n] for n in chain[:3]) for (text, _, linked, _, _), chain in zip(rows, chains, strict=True)]
+    home = [next((n for n in chain if parser.names[n] in CONTAINERS), 0) for chain in chains]
     weight: dict[int, int] = {}
     plain: dict[int, int] = {}
-    for (text, _, linked, _, side), path, good in zip(rows, paths, chosen, strict=True):
-        for number in () if side else path:
+    for (text, _, linked, _, side), chain, good in zip(rows, chains, upper, strict=True):
+        for number in () if side else chain:
             weight[number] = weight.get(number, 0) + (len(text) - linked) * bool(good)
             plain[number] = plain.get(number, 0) + len(text)
-    marked = [n for n in plain if parser.names[n] in ("article", "main")]
-    if marked:
-        region = max(marked, key=lambda n: (weight.get(n, 0), plain[n], parser.names[n] == "article", -n))
-        return "\n".join(text for (text, _, _, _, side), path in zip(rows, paths, strict=True) if region in path and not side)
-    if not plain:
-        return ""
-    region = max((n for n in weight if weight[n] >= 0.9 * weight[0] and parser.names[n] in CONTAINERS), default=0)
-    return "\n".join(text for (text, _, linked, _, side), path in zip(rows, paths, strict=True) if region in path and not side and 2 * linked <= len(text))
+    marked = {n for n in plain if parser.names[n] in ("article", "main")}
+    regions = set()
+    for (text, _, _, _, side), path, good, own, links in zip(rows, paths, upper, home, linkish, strict=True):
+        if good and not side and not links and (not marked or path & marked or len(text) >= ALONE):
+            regions.add(own)
+    if marked and not any(weight[n] for n in marked):
+        regions.add(max(marked, key=lambda n: (plain[n], -n)))
+    dense = {n for n in regions if parser.names[n] not in ("", "html", "body") and 2 * weight[n] >= plain[n]}
+    taken = []
+    for (text, _, _, _, side), path, good, own, links in zip(rows, paths, upper, home, linkish, strict=True):
+        far = bool(marked) and not path & marked and len(text) < ALONE
+        taken.append(not side and not links and (own in regions or bool(path & dense)) and not (far and good))
+    lines = [i for i, row in enumerate(rows) if not row[4]]
+    for at, i in enumerate(lines):
+        if not taken[i] and any(parser.names[n] in HEADINGS for n in chains[i]):
+            ahead = lines[at + 1 : at + 2 + ABOVE]
+            to = next((k for k, j in enumerate(ahead) if taken[j]), None)
+            if to is not None and not any(linkish[j] for j in ahead[:to]):
+                for j in (i, *ahead[:to]):
+                    taken[j] = True
+    return "\n".join(row[0] for row, good in zip(rows, taken, strict=True) if good)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -62,6 +62,14 @@ LONG = "A paragraph of the page that is long enough to be seen as its text, with
 LONG = LONG.strip()
 
 
+def test_regions_beside_each_other():
+    """Heading and lead outside the body's container, a linked paragraph, and two articles."""
+    page = f"<body><div id=top><h1>Title</h1><p>The lead.</p></div><div id=rest><p>{LONG}</p><p><a href=x>One linked paragraph</a></p><p>{LONG}</p></div><nav>n</nav></body>"
+    assert main_text(page) == f"Title\nThe lead.\n{LONG}\nOne linked paragraph\n{LONG}"
+    page = f"<body><article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG}</p></article><footer>f</footer></body>"
+    assert main_text(page) == f"One\n{LONG}\nTwo\n{LONG}"
+
+
 @pytest.mark.parametrize(
     "wrapper",
     ['class="content has-sidebar"', 'id="page" class="no-sidebar"', 'class="main header-fixed"', 'class="sidebar-left"', 'class="layout with-footer"'],
