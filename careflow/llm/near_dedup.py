@@ -63,9 +63,10 @@ def shingles(words: list[str], size: int) -> np.ndarray:
 def signatures(seeds: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int, registers: int) -> np.ndarray:
     """BagMinHash registers of ``n`` multisets, given as element hashes, whole weights and the set of each element.
 
-    The weight axis is cut at powers of two. On each interval an element has a Poisson process of points, each with a
-    time, a register and, by repeated halving, a place within the interval; points below the element's weight count
-    and a register keeps its earliest. Points are drawn up to a time by which all registers of a set should be filled,
+    The weight axis is cut at powers of two. On each interval an element has one flat Poisson process of points, each
+    with a time, a register and a place drawn evenly within the interval; points at or above the element's weight are
+    rejected and a register keeps its earliest of the others. Intervals are not split further, unlike in BagMinHash's
+    hierarchical process; both give the same distribution. Points are drawn up to a time by which all registers of a set should be filled,
     and further for sets that have empty ones, so only about registers * log(registers) points are drawn for a set however
     many elements it has. Two registers are equal with a probability of exactly the weighted Jaccard similarity.
     """
