@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import chat_formatting, decontamination, html_extraction, license_scan, lm_scoring, near_dedup, packing, quality_rules, suffix_dedup, token_counts
+from careflow.llm import (
+    chat_formatting,
+    decontamination,
+    html_extraction,
+    license_scan,
+    lm_scoring,
+    near_dedup,
+    packing,
+    periodic_runs,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+)
 from careflow.llm.oracle import ORACLE  # noqa: F401
 from careflow.llm.shared import table
 
@@ -56,6 +68,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_formatting.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), synthetic=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
@@ -67,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_periodic_runs": op12_periodic_runs,
 }
