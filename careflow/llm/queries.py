@@ -18,6 +18,7 @@ from careflow.llm import (
     periodic_runs,
     quality_rules,
     suffix_dedup,
+    token_alignment,
     token_counts,
 )
 from careflow.llm.oracle import ORACLE  # noqa: F401
@@ -25,6 +26,7 @@ from careflow.llm.shared import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 BYTE_BPE_RANKS = "byte_bpe_50k.tiktoken"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), synthetic=True)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, ranks, b = (public_tokenizers.path(name) for name in (BYTE_BPE, BYTE_BPE_RANKS, PIECE_BPE))
+    return token_alignment.align(table(spark, sf_dir, "documents"), a, b, ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
@@ -84,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_formatting": op10_chat_formatting,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
