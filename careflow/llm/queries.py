@@ -11,6 +11,7 @@ from careflow.llm import (
     chat_formatting,
     decontamination,
     html_extraction,
+    language_id,
     license_scan,
     lm_scoring,
     near_dedup,
@@ -70,6 +71,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_formatting.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), synthetic=True)
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_language_id": op11_language_id,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
