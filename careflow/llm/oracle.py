@@ -5,7 +5,7 @@ from __future__ import annotations
 from careflow.llm.chat_formatting import CLOSING, OTHER_HEADER, OWN_HEADER
 from careflow.llm.decontamination import AGREE, WINDOW
 from careflow.llm.license_scan import COVER, GRAM, NOTICES, PHRASES, SHIFT
-from careflow.llm.quality_rules import MIN_WORDS, REPEATED
+from careflow.llm.quality_rules import MIN_WORDS, OWN_ROWS, POOL_ROWS, REPEATED
 
 
 def _text(value: str) -> str:
@@ -83,20 +83,28 @@ stats AS (
   FROM counts)"""
 
 
-def _limits(keys: str) -> str:
+def quality_rules() -> str:
     least = {"symbols": 0.1, "repeats": 0.25, "dup_lines": 0.3, "shouts": 0.2, "word_length": 4.0}
-    out = ", ".join(
+    limits = ", ".join(
         f"quantile_disc({f}, 0.75) + greatest(6 * (quantile_disc({f}, 0.75) - quantile_disc({f}, 0.25)), {v}) AS {f}" for f, v in least.items()
     )
-    return f"SELECT {keys}, {out} FROM stats WHERE NOT base_failed GROUP BY {keys}"
-
-
-def quality_rules() -> str:
-    beyond = " OR ".join(f"coalesce(s.{f} > greatest(a.{f}, b.{f}), false)" for f in ("symbols", "repeats", "dup_lines", "shouts", "word_length"))
+    votes = ", ".join(f"quantile_disc({f}, 0.5) AS {f}" for f in least)
+    large = ", ".join(least)
+    small = ", ".join(f"CASE WHEN p.n >= {POOL_ROWS} THEN p.{f} ELSE coalesce(v.{f}, p.{f}) END AS {f}" for f in least)
+    beyond = " OR ".join(f"coalesce(s.{f} > m.{f}, false)" for f in least)
     return f"""
-WITH {QUALITY_STATS}, a AS ({_limits("lang, source")}), b AS ({_limits("lang")})
+WITH {QUALITY_STATS},
+measured AS (SELECT *, count(*) OVER (PARTITION BY lang, source) AS n_source FROM stats WHERE NOT base_failed),
+own AS (SELECT lang, source, count(*) AS n, {limits} FROM measured GROUP BY lang, source),
+pool AS (SELECT lang, count(*) AS n, {limits} FROM measured WHERE n_source < {OWN_ROWS} GROUP BY lang),
+votes AS (SELECT lang, {votes} FROM own WHERE n >= {OWN_ROWS} GROUP BY lang),
+bounds AS (
+  SELECT lang, source, {large} FROM own WHERE n >= {OWN_ROWS}
+  UNION ALL
+  SELECT o.lang, o.source, {small} FROM own o JOIN pool p ON o.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN votes v ON o.lang IS NOT DISTINCT FROM v.lang WHERE o.n < {OWN_ROWS})
 SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({beyond}) AS kept
-FROM stats s LEFT JOIN a ON s.lang IS NOT DISTINCT FROM a.lang AND s.source IS NOT DISTINCT FROM a.source LEFT JOIN b ON s.lang IS NOT DISTINCT FROM b.lang
+FROM stats s LEFT JOIN bounds m ON s.lang IS NOT DISTINCT FROM m.lang AND s.source IS NOT DISTINCT FROM m.source
 """
 
 
