@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import NO_ID, fingerprint, kept, row_id, text_of, working_folder
+from careflow.llm.shared import NO_ID, fingerprint, kept, row_id, text_of, whole_row, working_folder
 
 #: Words of a window, and how many of them have to agree.
 WINDOW, AGREE = 12, 9
@@ -106,5 +106,5 @@ def leaks(
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, in which no benchmark item stands."""
     found = leaks(docs, benchmark, text=text).select(row_id().alias("_found"), "_fp").distinct()
-    rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_row_fp"), whole_row(docs).alias("_row"))
     return rows.join(found, (rows["_id"] == found["_found"]) & (rows["_row_fp"] == found["_fp"]), "left_anti").select("_row.*")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import NO_ID, dropped, fingerprint, kept, row_id, text_of, working_folder
+from careflow.llm.shared import NO_ID, dropped, fingerprint, kept, row_id, text_of, whole_row, working_folder
 
 #: Words of a shingle and the least weighted Jaccard similarity of a link.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -303,6 +303,6 @@ def classes(
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """The row of each class, with all columns, that comes first by doc_id, null ids last."""
     first = classes(docs, text=text).select("_first.id", "_first.fp").distinct().select(F.col("id").alias("_first_id"), F.col("fp").alias("_first_fp"))
-    rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_fp"), F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_fp"), whole_row(docs).alias("_row"))
     best = rows.join(first, (rows["_id"] == first["_first_id"]) & (rows["_fp"] == first["_first_fp"]), "left_semi")
     return best.dropDuplicates(["_id", "_fp"]).select("_row.*")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import fingerprint, kept, text_of, working_folder
+from careflow.llm.shared import fingerprint, kept, text_of, whole_row, working_folder
 
 #: Characters that part words, and that count as symbols.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -149,6 +149,6 @@ def rate(docs: DataFrame, text: str = "text") -> DataFrame:
 def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``rate`` keeps, with all their columns."""
     good = judged(docs, text).where("kept").select(F.col("doc_id").alias("_id"), "_fp")
-    rows = docs.select("doc_id", fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
+    rows = docs.select("doc_id", fingerprint(text).alias("_row_fp"), whole_row(docs).alias("_row"))
     found = rows.join(good, rows["doc_id"].eqNullSafe(good["_id"]) & (rows["_row_fp"] == good["_fp"]), "left_semi")
     return found.select("_row.*")

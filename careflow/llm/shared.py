@@ -58,6 +58,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def quoted(column: str) -> str:
+    """A column's name as Spark reads it, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row in one."""
+    return F.struct(*(F.col(quoted(c)) for c in df.columns))
+
+
 def fingerprint(column: str = "text") -> Column:
     """Hash of a text. With doc_id it names a row even if ids repeat or are null: rows that agree in both are equal."""
     return F.xxhash64(text_of(column))

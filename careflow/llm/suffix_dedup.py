@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.shared import dropped, fingerprint, kept, row_id, text_of, working_folder
+from careflow.llm.shared import dropped, fingerprint, kept, quoted, row_id, text_of, whole_row, working_folder
 
 LENGTH, GRAM = 200, 110
 
@@ -191,6 +191,15 @@ def classified(suffixes: DataFrame) -> DataFrame:
     return ranged.mapInArrow(compare, "doc_id long, fp long, begin long, end long, state int")
 
 
+def one_for_all_copies(found: DataFrame) -> DataFrame:
+    """One row for a stretch of all rows that agree in id and text, so that what follows sees such a text once.
+
+    A stretch that more than one of them has repeats; unless all were settled, its starts are looked at as well.
+    """
+    stretch = found.groupBy("doc_id", "fp", "begin", "end").agg(F.count("*").alias("_n"), F.max("state").alias("_state"))
+    return stretch.select("doc_id", "fp", "begin", "end", F.when((F.col("_n") > 1) & (F.col("_state") != ALL), PARTNER).otherwise(F.col("_state")).alias("state"))
+
+
 def edges_of(data: bytes, found: list[dict], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """First 8 bytes, hash and place of every start of the stretches to look at, by blocks of the text."""
     blocks: dict[int, list[np.ndarray]] = {}
@@ -292,10 +301,11 @@ def repeats(docs: DataFrame, wanted: tuple[str, ...], length: int = LENGTH, gram
     rows = docs.select(row_id().alias("doc_id"), fingerprint(text).alias("fp"), text_of(text).alias("text"))
     rows = rows.where(F.octet_length("text") >= length)
     suffixes = kept(leading(rows, length, gram), folder, "leading")
-    found = classified(suffixes).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("begin", "end", "state")).alias("found"))
+    found = one_for_all_copies(classified(suffixes)).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("begin", "end", "state")).alias("found"))
     found = kept(found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "found"), folder, "found")
     dropped(docs.sparkSession, folder, "leading")
-    named = rows.join(found, (rows["doc_id"] == found["_id"]) & (rows["fp"] == found["_fp"]))
+    once = rows.groupBy("doc_id", "fp").agg(F.first("text").alias("text"))
+    named = once.join(found, (once["doc_id"] == found["_id"]) & (once["fp"] == found["_fp"]))
     texts = kept(named.select("doc_id", "fp", "text", "found"), folder, "texts")
     edges = kept(edge_suffixes(texts, length), folder, "edges")
     equal = kept(compared(edges), folder, "equal")
@@ -315,7 +325,7 @@ def measure(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
 
     Strings are bytes of the UTF-8 text and are judged on the input; another place is any other start, in the same
     document or another row. A null text is an empty one. Repeated rows are copies of each other, so all their
-    bytes go if there are ``length`` of them. Texts of any length are handled in blocks. Other columns of the input are left
+    bytes go if there are ``length`` of them; they are worked out once. Texts of any length are handled in blocks. Other columns of the input are left
     out. An empty table gives an empty result.
     """
     changed = repeats(docs, ("n_removed", "n_spans", "kept_sha256"), length, gram, text)
@@ -337,7 +347,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, tex
     """
     changed = repeats(docs, ("rest",), length, gram, text)
     readable = F.pandas_udf(lambda values: values.map(lambda b: None if b is None else b.decode("utf-8", "ignore")), "string")
-    rows = docs.select(row_id().alias("_doc"), fingerprint(text).alias("_row_fp"), F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(row_id().alias("_doc"), fingerprint(text).alias("_row_fp"), whole_row(docs).alias("_row"))
     joined = rows.join(changed, (rows["_doc"] == changed["_id"]) & (rows["_row_fp"] == changed["_fp"]), "left")
     new = F.when(F.col("_id").isNull(), F.col(f"_row.{text}")).otherwise(readable("_rest"))
-    return joined.select(*(new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+    return joined.select(*(new.alias(c) if c == text else F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))

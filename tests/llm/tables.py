@@ -23,7 +23,7 @@ def documents(spark, rows, **columns):
     df = spark.createDataFrame(rows, schema)
     from pyspark.sql import functions as F
 
-    for name, value in ({"n_words": "clash", "_fp": "clash", "key": "clash", "_id": "clash", "node": "clash"} | columns).items():
+    for name, value in ({"n_words": "clash", "_fp": "clash", "key": "clash", "_id": "clash", "node": "clash", "a.b": "clash"} | columns).items():
         df = df.withColumn(name, F.lit(value))
     return df
 

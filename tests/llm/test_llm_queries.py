@@ -35,7 +35,7 @@ def test_pipeline(spark, small):
 
 @pytest.mark.parametrize("stage", range(4))
 def test_stages_keep_columns_and_stand_odd_rows(spark, small, stage):
-    docs = documents(spark, odd_texts(random.Random(16)), lang=None, source=None).selectExpr("doc_id", "text", "lang", "source", "CAST(length(text) AS LONG) AS n_chars", "node AS extra")
+    docs = documents(spark, odd_texts(random.Random(16)), lang=None, source=None).selectExpr("doc_id", "text", "lang", "source", "CAST(length(text) AS LONG) AS n_chars", "node AS extra", "`a.b`")
     function = corpus_pipeline.STAGES[stage][1]
     out = function(spark, docs, small)
     assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType

@@ -72,3 +72,15 @@ def test_texts(spark):
 
 def test_empty_table(spark):
     assert measure(documents(spark, [])).count() == 0
+
+
+def test_many_equal_rows(spark):
+    """Rows that agree in id and text are worked out once, so their number does not multiply the work."""
+    rng = random.Random(10)
+    text = "".join(rng.choice("abcdefgh") for _ in range(2220))
+    mixed = text[:600] + "".join(rng.choice("xyz") for _ in range(500))
+    rows = [(None, text)] * 2000 + [(7, mixed)] * 3 + [(8, mixed[300:]), (None, "q" * 100)]
+    got = Counter(tuple(r) for r in measure(documents(spark, rows)).collect())
+    assert got == Counter(brute([*rows[:2], *rows[2000:]], 200)) + Counter({r: 1998 for r in brute([rows[0], rows[1]], 200)[:1]})
+    left = without_repeats(documents(spark, rows).repartition(7))
+    assert left.count() == len(rows) and left.where("text = ''").count() == 2004
