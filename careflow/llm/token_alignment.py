@@ -78,20 +78,24 @@ class Sides:
         piece = self.pieces.id_to_piece(token)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(token) else piece.replace("▁", " ").encode()
 
-    def a_ids(self, text: str) -> np.ndarray:
-        if self.fast and COMMON.fullmatch(text):
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
-        return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.int64)
-
     def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both sides' ids of a text, None where a side's bytes are not the text's."""
+        """Both sides' ids of a text, None where a side's bytes are not the text's.
+
+        Ids from ranks always give the bytes back, so their sizes are compared and not the bytes.
+        """
         if not text:
             return None
         data = SPACE + text.encode()
-        a, b = self.a_ids(" " + text), self.pieces.encode([text], num_threads=1)[0]
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+        if self.fast and COMMON.fullmatch(text):
+            a = self.fast.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
+            same = self.a_sizes[a].sum() == len(data)
+        else:
+            ids = self.exact.encode(" " + text, add_special_tokens=False).ids
+            a, same = np.array(ids, np.int64), b"".join(map(self.a_bytes.__getitem__, ids)) == data
+        b = self.pieces.encode(text)
+        if not same or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return None
-        return a, np.array(b, np.int64)
+        return a, np.fromiter(b, np.int64, len(b))
 
 
 @lru_cache(maxsize=2)
@@ -191,7 +195,8 @@ class Alignment:
         self.through_a, self.through_b = at_a + 1, at_b + 1  # tokens up to the end of each group
         n_groups = np.diff(np.searchsorted(common, ends, "right"), prepend=0)
         # Between neighbouring ends of any side lies one link.
-        cuts = np.union1d(end_a, end_b)
+        cuts = np.sort(np.concatenate((end_a, end_b)), kind="stable")  # merges two sorted parts
+        cuts = cuts[np.append(True, cuts[1:] != cuts[:-1])]
         self.pairs = self.b[np.searchsorted(end_b, cuts)] << A_BITS | self.a[np.searchsorted(end_a, cuts)]
         self.owners = np.searchsorted(ends, cuts)
         self.counts = np.column_stack((n_a, n_b, n_groups, n_a + n_b - n_groups))
