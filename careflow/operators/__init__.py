@@ -1,7 +1,7 @@
 from careflow.operators.first import first_flag, first_row
 from careflow.operators.joins import interval_join, ttl_join
 from careflow.operators.lookup import lookup
-from careflow.operators.routing import latest_routes, prune, route, table_lifecycle
+from careflow.operators.routing import latest_routes, prune, route, route_versions, table_lifecycle
 from careflow.operators.upsert import apply_changes, deleted_keys
 from careflow.operators.windows import tumbling, with_bounds
 
@@ -15,6 +15,7 @@ __all__ = [
     "lookup",
     "prune",
     "route",
+    "route_versions",
     "table_lifecycle",
     "ttl_join",
     "tumbling",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.operators.sizes import each_salt, spread
 from careflow.schemas import CONTROL_TYPES, ROUTE_COLUMNS
 
+
 def latest_routes(
     config: DataFrame, seq: str = "seq", preloaded: DataFrame | None = None
 ) -> DataFrame:
@@ -17,6 +18,28 @@ def latest_routes(
     in ``config`` overrules it. A delete removes the route of its ``before`` image. An update that renames the source table removes
     the old route too.
     """
+    last = (
+        _route_steps(config, seq, preloaded)
+        .groupBy("step.source_table")
+        .agg(F.max(F.struct("_seq", "step.live", "step.route")).alias("last"))
+    )
+    return last.where("last.live = 1").select("source_table", "last.route.*")
+
+
+def route_versions(
+    config: DataFrame, seq: str = "seq", preloaded: DataFrame | None = None
+) -> DataFrame:
+    """Every route that ever held: ``from_seq`` (NULL for a preloaded one) up to before ``until_seq``, the order of
+    the change that replaced or removed it, NULL if it still holds. Routes of now are as in :func:`latest_routes`."""
+    steps = _route_steps(config, seq, preloaded).select("_seq", "step.*")
+    by_order = Window.partitionBy("source_table").orderBy("_seq", "live", "route")
+    versions = steps.withColumn("until_seq", F.lead("_seq").over(by_order))
+    held = (F.col("live") == 1) & (F.col("until_seq").isNull() | ~F.col("until_seq").eqNullSafe(F.col("_seq")))
+    return versions.where(held).select("source_table", "route.*", F.col("_seq").alias("from_seq"), "until_seq")
+
+
+def _route_steps(config: DataFrame, seq: str, preloaded: DataFrame | None) -> DataFrame:
+    """Routes that go (``live`` 0) and come, with the order of the change: ``_seq`` and ``step``."""
     config = config.select(F.col(seq).alias("_seq"), "op", "before", "after")
     if preloaded is not None:
         known = preloaded.select(
@@ -34,12 +57,7 @@ def latest_routes(
         F.array(F.when(gone, removal), F.when(F.col("op") != "d", arrival)),
         lambda step: step["source_table"].isNotNull(),
     )
-    last = (
-        config.select("_seq", F.explode(steps).alias("step"))
-        .groupBy("step.source_table")
-        .agg(F.max(F.struct("_seq", "step.live", "step.route")).alias("last"))
-    )
-    return last.where("last.live = 1").select("source_table", "last.route.*")
+    return config.select("_seq", F.explode(steps).alias("step"))
 
 
 def table_lifecycle(config: DataFrame, seq: str = "seq") -> DataFrame:

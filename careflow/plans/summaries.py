@@ -134,43 +134,70 @@ def _count_summary(measure: str) -> Callable:
     return build
 
 
-def _review_summary(fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+@dataclass(frozen=True)
+class ReviewSummary:
     """Reviews, good reviews and first-time reviewers per hospital.
 
-    A user is new to a hospital in the window of their first review there. Those firsts are added to the
-    reviews as rows of their own that count as no review, and one aggregation sums both.
+    A user is new to a hospital in the window of their first review there.
     """
-    rows = fact.withWatermark("event_time", how.delay) if fact.isStreaming else fact
-    rows = rows.select("event_time", "doctor_id", "user_id", "rating")
-    rows = lookup(rows, dims.doctor, "doctor_id", {"hospital_id": "hospital_id"}, salts=how.salts)
-    visitor = ["user_id", "hospital_id"]
-    timed = rows.where(F.col("event_time").isNotNull())
-    if fact.isStreaming:
-        firsts = first_row(timed.select("event_time", *visitor), visitor, (), how.forget_keys)
-    else:
-        firsts = timed.groupBy(*visitor).agg(F.min("event_time").alias("event_time"))
-    good = F.when(F.col("rating") == GOOD_RATING, 1).otherwise(0).cast("long")
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    counted = rows.select(
-        "event_time", "hospital_id", zero.alias("new"), one.alias("all"), good.alias("good")
-    ).unionByName(
-        firsts.select(
-            "event_time", "hospital_id", one.alias("new"), zero.alias("all"), zero.alias("good")
+
+    ids = ("doctor_id", "user_id")
+    visitor = ("user_id", "hospital_id")
+
+    def build(self, fact: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
+        """The first reviews are added to the reviews as rows of their own that count as no review, and one
+        aggregation sums both."""
+        rows = lookup(self._rows(fact, how), dims.doctor, "doctor_id", {"hospital_id": "hospital_id"}, salts=how.salts)
+        timed = rows.where(F.col("event_time").isNotNull())
+        if fact.isStreaming:
+            firsts = first_row(timed.select("event_time", *self.visitor), self.visitor, (), how.forget_keys)
+        else:
+            firsts = timed.groupBy(*self.visitor).agg(F.min("event_time").alias("event_time"))
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        counted = rows.select(
+            "event_time", "hospital_id", zero.alias("new"), one.alias("all"), self._good().alias("good")
+        ).unionByName(
+            firsts.select(
+                "event_time", "hospital_id", one.alias("new"), zero.alias("all"), zero.alias("good")
+            )
         )
-    )
-    grouped = tumbling(
-        counted,
-        [
-            F.sum("new").alias("review_new_user_count"),
-            F.sum("all").alias("review_count"),
-            F.sum("good").alias("good_review_count"),
-        ],
-        keys=["hospital_id"],
-        size=how.size,
-        delay=how.delay,
-        start=how.start,
-    )
-    return with_hospital_name(with_bounds(grouped), dims)
+        grouped = tumbling(counted, self._sums(), keys=["hospital_id"], size=how.size, delay=how.delay, start=how.start)
+        return with_hospital_name(with_bounds(grouped), dims)
+
+    def by_ids(self, fact: DataFrame, how: Windowing) -> DataFrame:
+        """Reviews per doctor and user, which needs no dimension. The state of a stream is that of its open windows."""
+        measures = [F.count(F.lit(1)).alias("all"), F.sum(self._good()).alias("good")]
+        return tumbling(self._rows(fact, how), measures, self.ids, size=how.size, delay=how.delay, start=how.start)
+
+    def from_ids(
+        self, windows: DataFrame, dims: Dimensions, how: Windowing, new: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """The summary from :meth:`by_ids` of windows that close together, with hospitals as they are now.
+
+        ``new`` takes the users and hospitals that met in these windows, each with the ``start`` and ``end`` of the
+        first one, and gives those that had not met before.
+        """
+        rows = lookup(windows, dims.doctor, "doctor_id", {"hospital_id": "hospital_id"})
+        firsts = new(rows.groupBy(*self.visitor).agg(F.min("window.start").alias("start"), F.min("window.end").alias("end")))
+        zero = F.lit(0).cast("long")
+        counted = rows.select("window", "hospital_id", zero.alias("new"), "all", "good").unionByName(
+            firsts.select(
+                F.struct("start", "end").alias("window"), "hospital_id", F.lit(1).cast("long").alias("new"), zero.alias("all"), zero.alias("good")
+            )
+        )
+        grouped = counted.groupBy("window", "hospital_id").agg(*self._sums())
+        return with_hospital_name(with_bounds(grouped), dims)
+
+    def _rows(self, fact: DataFrame, how: Windowing) -> DataFrame:
+        rows = fact.withWatermark("event_time", how.delay) if fact.isStreaming else fact
+        return rows.select("event_time", *self.ids, "rating")
+
+    def _good(self) -> Column:
+        return F.when(F.col("rating") == GOOD_RATING, 1).otherwise(0).cast("long")
+
+    def _sums(self) -> list[Column]:
+        names = {"new": "review_new_user_count", "all": "review_count", "good": "good_review_count"}
+        return [F.sum(column).alias(name) for column, name in names.items()]
 
 
 def enrich(rows: DataFrame, dims: Dimensions, how: Windowing) -> DataFrame:
@@ -204,7 +231,7 @@ class Summary:
     build: Callable
     columns: Sequence[str]
     input_types: dict[str, T.DataType]
-    trade: TradeSummary | None = None
+    by_ids: TradeSummary | ReviewSummary | None = None
 
     def input_schema(self, names: Sequence[str]) -> T.StructType:
         return T.StructType(
@@ -222,6 +249,7 @@ def _trade(fact: str, table: str, trade: TradeSummary, types: dict[str, T.DataTy
 
 
 _FEE = {"consultation_fee": MONEY}
+_REVIEWS = ReviewSummary()
 _TOTAL = {"total_amount": MONEY, "count": T.IntegerType()}
 
 # The table each summary is kept in, and its columns.
@@ -274,7 +302,7 @@ SUMMARIES = {
     "review": Summary(
         "review",
         "dws_interaction_hos_review_win",
-        _review_summary,
+        _REVIEWS.build,
         (
             *_BOUNDS,
             "hospital_id",
@@ -284,6 +312,7 @@ SUMMARIES = {
             "good_review_count",
         ),
         {"rating": T.IntegerType()},
+        _REVIEWS,
     ),
 }
 

@@ -2,77 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careflow.operators.routing import route_versions, table_lifecycle
 from careflow.operators.upsert import apply_changes
+from careflow.sinks.files import Folders
+from careflow.sinks.runs import PLACE, STAGING, Turn, folder_of, write_once
 
-_CHANGES = "row_key string, type string, data map<string,string>, seq long, batch_id long, sink_table string"
-_EVENTS = "event string, place long, run string, batch long, sink_table string, config_seq long"
+_ROUTED = "row_key string, type string, data map<string,string>, seq long, born long"
+_CHANGES = f"{_ROUTED}, sink_table string"
 
 # Changes that carry no column: what is left of a put whose columns have all been written later.
 _PUT = "update"
 
+# Tables that were never dropped.
+_FROM_THE_START = -1
+
 
 class DimensionStore:
     """Dimension tables under one folder.
 
-    A micro-batch only appends its routed changes, so its cost follows the batch and not the table. Each run
-    and micro-batch has a place, a number that counts up; it is listed in ``events`` before its folder is written
-    and again when that is complete, and the same run and micro-batch come to the same place.
+    A micro-batch only appends its routed changes, so its cost follows the batch and not the table. Its folder
+    appears by one rename and is named by run and micro-batch, so nothing else has to be kept about it, and a
+    micro-batch that runs again finds it there.
+
+    The routing table and the drops of tables are kept for every position of the config log at which a micro-batch
+    was routed, folded once. A micro-batch notes its position before it is routed; if it runs again, it takes the
+    routes of that position, whatever has come since. A change is marked with the drop that its table was born
+    after, and counts as long as there is no later drop.
 
-    A snapshot is the log up to a place, shortened: the last value of every column with its order, and the order of
+    A snapshot is the log so far, shortened: the last value of every column with its order, and the order of
     the last put and the last delete of every row. It folds together with changes of any order, old or new, as
-    the whole log would. It counts once it is complete and listed, so a reader never sees half of one.
+    the whole log would. It lists the folders that it covers and appears by one rename as well.
 
-    A read opens the folder of the last snapshot and those of the places after it. A dropped table forgets every change
-    up to the drop.
+    A read opens the last snapshot and the folders that it does not cover.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def place_of(self, batch: int, run: str = "") -> int:
-        """The place of a run's micro-batch, a new one if it has none."""
-        last, own = self._known(batch, run)
-        if own is not None:
-            return own
-        place = 0 if last is None else last + 1
-        self._record("begun", place, run=run, batch=batch)
-        return place
-
-    def append(self, routed: DataFrame, batch: int, run: str = "") -> None:
-        """Keeps what :func:`careflow.operators.route` gives; running a run's batch again overwrites it."""
-        place = self.place_of(batch, run)
-        rows = routed.select("sink_table", "row_key", "type", "data", "seq")
-        rows.write.mode("overwrite").partitionBy("sink_table").parquet(self._folder("changes", place))
-        self._record("written", place, run=run, batch=batch)
-
-    def apply_lifecycle(self, lifecycle: DataFrame, batch: int, run: str = "") -> None:
-        """Records the drops of :func:`careflow.operators.table_lifecycle` that are new, as of just
-        before the run's micro-batch."""
-        place = self.place_of(batch, run)
-        known = (
-            self._events()
-            .where("event = 'drop'")
-            .groupBy(F.col("sink_table").alias("_table"))
-            .agg(F.max("config_seq").alias("_known"))
-        )
-        drops = (
-            lifecycle.join(known, F.col("sink_table") == F.col("_table"), "left")
-            .where("last_drop_seq > coalesce(_known, -1)")
-            .select(
-                F.lit("drop").alias("event"),
-                F.lit(place - 1).cast("long").alias("place"),
-                "sink_table",
-                F.col("last_drop_seq").cast("long").alias("config_seq"),
-            )
-        )
-        if not drops.isEmpty():
-            drops.coalesce(1).write.mode("append").json(f"{self.root}/events")
+        self.folders = Folders(spark)
+
+    def append(self, routed: DataFrame, batch: int, run: str = "", lifecycle: DataFrame | None = None, streamed: bool = False) -> None:
+        """Keeps what :func:`careflow.operators.route` gives. ``lifecycle`` tells the drops known when it was routed."""
+        rows = routed.select("sink_table", "row_key", "type", "data", F.col("seq").cast("long").alias("seq"))
+        if lifecycle is None:
+            rows = rows.withColumn("born", F.lit(_FROM_THE_START).cast("long"))
+        else:
+            drops = lifecycle.select(F.col("sink_table").alias("_table"), F.col("last_drop_seq").cast("long").alias("born"))
+            rows = rows.join(drops, F.col("sink_table") == F.col("_table"), "left").drop("_table").fillna(_FROM_THE_START, "born")
+        turn = Turn(run or "direct", batch, streamed)
+        write = lambda folder: rows.select(*_names(_CHANGES)).write.partitionBy("sink_table").parquet(folder)
+        write_once(self.spark, f"{self.root}/changes", turn, write, self.spark.read.schema(_CHANGES).parquet)
+
+    def config_of(
+        self, turn: Turn, read_config: Callable[[], DataFrame], preloaded: DataFrame | None = None
+    ) -> tuple[DataFrame, DataFrame]:
+        """Routes and lifecycle for a turn: those it was first routed with, or else those of now.
+
+        A position of the config log is the order of its last change and how many there are.
+        """
+        notes = folder_of(f"{self.root}/routed", turn.run, turn.batch)
+        noted = self.folders.children(notes)
+        if noted:
+            position = noted[0].removeprefix("position=")
+        else:
+            config = read_config()
+            last = config.agg(F.max("seq").cast("long"), F.count(F.lit(1))).first()
+            position = f"{-1 if last[0] is None else last[0]:020d}-{last[1]:012d}"
+            self._keep_config(position, config, preloaded)
+            self.folders.make(f"{notes}/position={position}")
+            self._forget_notes(turn)
+        kept = f"{self.root}/config/position={position}"
+        versions = self.spark.read.parquet(f"{kept}/routes")
+        return versions.where("until_seq IS NULL"), self.spark.read.parquet(f"{kept}/lifecycle")
 
     def read(
         self,
@@ -81,7 +88,7 @@ class DimensionStore:
         key: str = "id",
         only: DataFrame | None = None,
     ) -> DataFrame:
-        """The rows of a dimension: its row key as ``key``, and ``columns``. Without any event the store does not
+        """The rows of a dimension: its row key as ``key``, and ``columns``. A store without any batch does not
         exist, which is an error.
 
         ``only`` is a DataFrame with one column of row keys; rows of other keys are left out before the fold.
@@ -100,112 +107,113 @@ class DimensionStore:
         rows = apply_changes(flat, others, keys=["_row_key"], seq="_seq", kind="_kind")
         return rows.select(F.col("_row_key").alias(key), *others)
 
-    def log(self, upto: int | None = None) -> DataFrame:
-        """All changes that count (up to a place): those of the last snapshot and those after it, without dropped tables' past."""
-        start, places = self._parts(upto)
-        parts = [self._open("snapshots", [start])] if start is not None else []
-        parts += [self._open("changes", places)] if places else []
-        if not parts:
-            return self.spark.createDataFrame([], _CHANGES)
-        log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        events = self._events().where("event = 'drop'")
-        if upto is not None:
-            events = events.where(F.col("place") <= upto)
-        drops = events.groupBy(F.col("sink_table").alias("_dropped")).agg(F.max("place").alias("_upto"))
-        return log.join(drops, F.col("sink_table") == F.col("_dropped"), "left").where("_upto IS NULL OR batch_id > _upto").drop("_dropped", "_upto")
-
-    def compact(self, upto: int | None = None) -> int | None:
-        """Writes a snapshot of all tables as of the place ``upto`` (by default the last one before which nothing is
-        begun and not written), and removes what it covers.
-
-        The folders that the snapshot before this one covers go, so readers that started from that one still find
-        theirs. Returns the place, or None if there is nothing to do.
+    def log(self) -> DataFrame:
+        """All changes that count: those of the last snapshot and those after it, without dropped tables' past."""
+        return self._log(self._last_snapshot(), self._parts())
+
+    def compact(self) -> int | None:
+        """Writes a snapshot of all tables and removes what the snapshot before it covers.
+
+        What the new one covers stays until the next, so readers that started from the old one still find theirs. A
+        batch that is not complete is not seen and comes after the snapshot whenever it ends. Returns the snapshot's
+        number, or None if there is nothing to do.
         """
-        if upto is None:
-            begun = self._events(must_exist=True).where("event IN ('begun', 'written')").groupBy("place")
-            upto = begun.agg(F.max(F.col("event") == "written").alias("_done")).where("NOT _done").agg(F.min("place") - 1).first()[0]
-        start, places = self._parts(upto)
-        if not places:
+        last, parts = self._last_snapshot(), self._parts()
+        covered = self._covered(last)
+        if not set(parts) - covered:
             return None
-        place = max(places)
-        log = self.log(place)
-        is_put = F.col("type") != "delete"
-        cells = F.filter(F.map_entries("data"), lambda cell: cell["value"].isNotNull())
-        steps = F.when(
-            is_put,
-            F.concat(F.array(F.struct(F.lit(_PUT).alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))),
-                     F.transform(F.coalesce(cells, F.array().cast("array<struct<key:string,value:string>>")), lambda c: F.struct(F.lit(_PUT).alias("type"), c["key"].alias("name"), c["value"].alias("value")))),
-        ).otherwise(F.array(F.struct(F.lit("delete").alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))))
+        log = self._log(last, parts)
+        text = F.lit(None).cast("string")
+        step = lambda kind, name, value: F.struct(F.lit(kind).alias("type"), name.alias("name"), value.alias("value"))
+        cells = F.coalesce(F.filter(F.map_entries("data"), lambda cell: cell["value"].isNotNull()), F.array().cast("array<struct<key:string,value:string>>"))
+        put = F.concat(F.array(step(_PUT, text, text)), F.transform(cells, lambda cell: step(_PUT, cell["key"], cell["value"])))
+        steps = F.when(F.col("type") != "delete", put).otherwise(F.array(step("delete", text, text)))
         folded = (
-            log.select("sink_table", "row_key", "seq", F.explode(steps).alias("_step"))
-            .groupBy("sink_table", "row_key", F.col("_step.type").alias("type"), F.col("_step.name").alias("name"))
+            log.select("sink_table", "born", "row_key", "seq", F.explode(steps).alias("_step"))
+            .groupBy("sink_table", "born", "row_key", F.col("_step.type").alias("type"), F.col("_step.name").alias("name"))
             .agg(F.max(F.struct("seq", F.col("_step.value").alias("value"))).alias("last"))
         )
         data = F.when(F.col("name").isNotNull(), F.create_map("name", "last.value")).otherwise(F.create_map().cast("map<string,string>"))
-        rows = folded.select("sink_table", "row_key", "type", data.alias("data"), F.col("last.seq").alias("seq"))
-        rows.write.mode("overwrite").partitionBy("sink_table").parquet(self._folder("snapshots", place))
-        covered = [r.place for r in self._events().where("event = 'written'").select("place").distinct().collect()]
-        self._record("snapshot", place)
-        self._shorten_events(-1 if start is None else start)
-        if start is not None:
-            self._remove([self._folder("changes", p) for p in covered if p <= start])
-        return place
-
-    def _shorten_events(self, start: int) -> None:
-        """One file for the events that still count: drops, what lies after ``start``, and each run's last batch.
-
-        The new file comes before the old ones go; events that are listed twice count once.
-        """
-        path, _, files = self._path(f"{self.root}/events")
-        old = [file.getPath() for file in files.listStatus(path)]
-        events = self._events()
-        last = events.groupBy(F.col("run").alias("_run")).agg(F.max("batch").alias("_batch")).where("_run IS NOT NULL")
-        counts = (F.col("event") == "drop") | (F.col("place") > start) | (F.col("batch") == F.col("_batch"))
-        kept = events.join(last, F.col("run") == F.col("_run"), "left").where(counts).drop("_run", "_batch").distinct()
-        kept.coalesce(1).write.mode("append").json(f"{self.root}/events")
-        for file in old:
-            files.delete(file, False)
-
-    def _parts(self, upto: int | None) -> tuple[int | None, list[int]]:
-        """The place of the snapshot to start from, if any, and the written places after it."""
-        events = self._events(must_exist=True)
-        if upto is not None:
-            events = events.where(F.col("place") <= upto)
-        start = events.where("event = 'snapshot'").agg(F.max("place")).first()[0]
-        later = events.where("event = 'written'").where(F.col("place") > (-1 if start is None else start))
-        return start, sorted(r.place for r in later.select("place").distinct().collect())
-
-    def _known(self, batch: int, run: str) -> tuple[int | None, int | None]:
-        mine = (F.col("run") == run) & (F.col("batch") == batch)
-        return tuple(self._events().where("event = 'begun'").agg(F.max("place"), F.max(F.when(mine, F.col("place")))).first())
-
-    def _open(self, kind: str, places: Sequence[int]) -> DataFrame:
-        reader = self.spark.read.schema(_CHANGES).option("basePath", f"{self.root}/{kind}")
-        return reader.parquet(*(self._folder(kind, place) for place in places))
-
-    def _folder(self, kind: str, place: int) -> str:
-        return f"{self.root}/{kind}/batch_id={place}"
-
-    def _events(self, must_exist: bool = False) -> DataFrame:
-        if not self._path(f"{self.root}/events")[1]:
-            if must_exist:
-                raise FileNotFoundError(f"there is no dimension store at {self.root}")
-            return self.spark.createDataFrame([], _EVENTS)
-        return self.spark.read.schema(_EVENTS).json(f"{self.root}/events")
-
-    def _record(self, event: str, place: int, run: str | None = None, batch: int | None = None) -> None:
-        row = self.spark.createDataFrame([(event, place, run, batch, None, None)], _EVENTS)
-        row.coalesce(1).write.mode("append").json(f"{self.root}/events")
-
-    def _path(self, name: str):
-        """A path, whether it exists, and its file system."""
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        files = path.getFileSystem(context._jsc.hadoopConfiguration())
-        return path, files.exists(path), files
-
-    def _remove(self, names: Sequence[str]) -> None:
-        for name in names:
-            path, there, files = self._path(name)
-            if there:
-                files.delete(path, True)
+        rows = folded.select("sink_table", "row_key", "type", data.alias("data"), F.col("last.seq").alias("seq"), "born")
+        number = 1 if last is None else last + 1
+        staged = f"{self.root}/{STAGING}/snapshot-{uuid.uuid4().hex}"
+        rows.write.partitionBy("sink_table").parquet(f"{staged}/changes")
+        self.spark.createDataFrame(parts, "run string, batch_id long").coalesce(1).write.parquet(f"{staged}/covered")
+        if not self.folders.publish(staged, self._snapshot(number)):
+            self.folders.remove(staged)
+            return None
+        for part in covered.intersection(parts):
+            self.folders.remove(folder_of(f"{self.root}/changes", *part))
+        for old in self._snapshots():
+            if old < number - 1:
+                self.folders.remove(self._snapshot(old))
+        return number
+
+    def _log(self, snapshot: int | None, parts: Sequence[tuple[str, int]]) -> DataFrame:
+        covered = self._covered(snapshot)
+        later = [folder_of(f"{self.root}/changes", *part) for part in parts if part not in covered]
+        if snapshot is None and not parts and not self.folders.exists(f"{self.root}/config"):
+            raise FileNotFoundError(f"there is no dimension store at {self.root}")
+        reader = self.spark.read.schema(_CHANGES)
+        opened = [reader.parquet(f"{self._snapshot(snapshot)}/changes")] if snapshot is not None else []
+        if later:
+            opened.append(reader.option("basePath", f"{self.root}/changes").parquet(*later).drop(*PLACE))
+        if not opened:
+            return self.spark.createDataFrame([], _CHANGES)
+        log = opened[0] if len(opened) == 1 else opened[0].unionByName(opened[1])
+        positions = self.folders.children(f"{self.root}/config")
+        if not positions:
+            return log
+        lifecycle = self.spark.read.parquet(f"{self.root}/config/{positions[-1]}/lifecycle")
+        drops = lifecycle.where("last_drop_seq IS NOT NULL").select(F.col("sink_table").alias("_dropped"), F.col("last_drop_seq").alias("_drop"))
+        joined = log.join(drops, F.col("sink_table") == F.col("_dropped"), "left")
+        return joined.where("_drop IS NULL OR born >= _drop").drop("_dropped", "_drop")
+
+    def _keep_config(self, position: str, config: DataFrame, preloaded: DataFrame | None) -> None:
+        """Folds the config log up to a position, unless that has been done."""
+        name = f"{self.root}/config/position={position}"
+        if self.folders.exists(name):
+            return
+        staged = f"{self.root}/{STAGING}/config-{uuid.uuid4().hex}"
+        config = config.persist()
+        try:
+            route_versions(config, preloaded=preloaded).coalesce(1).write.parquet(f"{staged}/routes")
+            table_lifecycle(config).coalesce(1).write.parquet(f"{staged}/lifecycle")
+        finally:
+            config.unpersist()
+        if not self.folders.publish(staged, name):
+            self.folders.remove(staged)
+
+    def _forget_notes(self, turn: Turn) -> None:
+        """Earlier micro-batches of a stream are over when the next one begins; the last one's note stays."""
+        for name in self.folders.children(f"{self.root}/routed/run={turn.run}"):
+            if int(name.removeprefix("batch_id=")) < turn.batch - 1:
+                self.folders.remove(f"{self.root}/routed/run={turn.run}/{name}")
+
+    def _parts(self) -> list[tuple[str, int]]:
+        """Run and number of every complete batch whose folder is there."""
+        root = f"{self.root}/changes"
+        return [
+            (run.removeprefix("run="), int(batch.removeprefix("batch_id=")))
+            for run in self.folders.children(root)
+            for batch in self.folders.children(f"{root}/{run}")
+        ]
+
+    def _covered(self, snapshot: int | None) -> set[tuple[str, int]]:
+        if snapshot is None:
+            return set()
+        listed = self.spark.read.schema("run string, batch_id long").parquet(f"{self._snapshot(snapshot)}/covered")
+        return {tuple(row) for row in listed.collect()}
+
+    def _snapshots(self) -> list[int]:
+        return [int(name.removeprefix("number=")) for name in self.folders.children(f"{self.root}/snapshots")]
+
+    def _last_snapshot(self) -> int | None:
+        return max(self._snapshots(), default=None)
+
+    def _snapshot(self, number: int) -> str:
+        return f"{self.root}/snapshots/number={number}"
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]

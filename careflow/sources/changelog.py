@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from careflow.schemas import ENVELOPE
 from careflow.functions import event_time
-from careflow.sinks.runs import folder_of, in_batches, without_place
+from careflow.sinks.runs import Turn, in_batches, without_place, write_once
 
 
 def read_topic(
@@ -94,13 +94,16 @@ def land_ods(
     A batch is rebalanced first. Adaptive execution then cuts it into files of the advisory size, also
     where most of the log is one table; without that, each task would leave a file in every folder.
 
-    Batches and streams may land in one folder: each run and micro-batch has folders of its own, which only the
-    same one replaces, see :func:`careflow.sinks.runs.in_batches`.
+    Batches and streams may land in one folder: each run and micro-batch has a folder of its own, which appears whole
+    and does not change when it runs again, see :func:`careflow.sinks.runs.write_once`. So streams that read the landed
+    log see every row once.
     """
 
-    def save(rows: DataFrame, run_id: str, batch: int) -> None:
-        rows = rows.hint("rebalance", "table", "type") if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else rows
-        rows.write.mode("overwrite").partitionBy("table", "type").parquet(folder_of(path, run_id, batch))
+    def save(rows: DataFrame, turn: Turn) -> None:
+        spark = rows.sparkSession
+        rows = rows.hint("rebalance", "table", "type") if spark.conf.get("spark.sql.adaptive.enabled") == "true" else rows
+        reader = spark.read.schema(rows.schema)
+        write_once(spark, path, turn, lambda folder: rows.write.partitionBy("table", "type").parquet(folder), reader.parquet)
 
     return in_batches(ods, save, checkpoint, trigger, run)
 
@@ -114,8 +117,9 @@ def land_topic(
 ) -> StreamingQuery | None:
     """Keeps raw records (``value``, ``seq``) as parquet, as the routing changes are kept for the dimension job."""
 
-    def save(rows: DataFrame, run_id: str, batch: int) -> None:
-        rows.select("value", "seq").write.mode("overwrite").parquet(folder_of(path, run_id, batch))
+    def save(rows: DataFrame, turn: Turn) -> None:
+        rows = rows.select("value", "seq")
+        write_once(rows.sparkSession, path, turn, rows.write.parquet, rows.sparkSession.read.schema(rows.schema).parquet)
 
     return in_batches(in_order(topic), save, checkpoint, trigger, run)
 

@@ -190,6 +190,39 @@ def ods_payments(
     return details.unionAll(payments)
 
 
+def ods_treatments(events: DataFrame) -> DataFrame:
+    """For each click a prescription, two details of it two seconds later and its payment a minute later."""
+    clicks = events.where("event_type = 'click'")
+    later = lambda seconds: f"date_format(ts + INTERVAL {seconds} SECONDS, '{MICROS}')"
+    head = {
+        "id": as_text("event_id"),
+        "total_amount": FEE,
+        "consultation_id": as_text("event_id"),
+        "doctor_id": as_text("event_id % 10"),
+        "patient_id": as_text("user_id"),
+    }
+    detail = {
+        "id": "concat(event_id, '-', line)",
+        "create_time": later(2),
+        "count": as_text("line + event_id % 5"),
+        "medicine_id": as_text("event_id % 97"),
+        "prescription_id": as_text("event_id"),
+    }
+    lines = clicks.selectExpr("*", "explode(array(1, 2)) AS line")
+    return (
+        _rows(clicks, "prescription", "insert", {**head, "create_time": WRITTEN, "status": "'201'"})
+        .unionAll(_rows(lines, "prescription_detail", "insert", detail))
+        .unionAll(_rows(clicks, "prescription", "update", {**head, "update_time": later(60), "status": f"'{PAID}'"}, {"status": "'202'"}))
+    )
+
+
+def json_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The change log of visits, registrations and treatments as JSON text, as a producer writes it."""
+    visits = ods(spark, folder).where("table NOT LIKE 'prescription%'")
+    log = visits.unionAll(ods_treatments(table(spark, folder, "events")))
+    return log.select(F.to_json(F.struct("database", "table", "type", "data", "old")).alias("value"))
+
+
 def dimensions(spark: SparkSession, folder: str) -> Dimensions:
     born = as_text("date_add(DATE '1930-01-01', CAST(c_custkey * 7919 % 34000 AS INT))")
     return Dimensions(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from careflow.plans.facts import FACTS
+
 # Common table expressions that read the test tables as the warehouse's inputs.
 EV = """ev AS (
     SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(16,2)) AS fee,
@@ -348,3 +350,64 @@ ORACLE["config_preloaded"] = f"""WITH {CONFIG}, steps AS (
 ORACLE["fact_prescription_within"] = ORACLE["fact_prescription"] + """ JOIN orders ON CAST(o_orderkey AS VARCHAR) = pre.id
     WHERE det.ts BETWEEN o_orderdate - INTERVAL 60 DAY AND o_orderdate + INTERVAL 60 DAY"""
 ORACLE["stream_fact_prescription"] = ORACLE["fact_prescription_within"]
+
+ORACLE["stream_routes_replayed"] = ORACLE["stream_dimensions"]
+ORACLE["config_versions"] = f"""WITH {CONFIG}, steps AS (
+    SELECT seq, old_key AS k, 0 AS live, NULL AS sink_table, NULL AS sink_columns FROM config
+    WHERE op = 4 OR (op IN (2, 3) AND old_key <> new_key)
+    UNION ALL SELECT seq, new_key, 1, sink_table, sink_columns FROM config WHERE op <> 4)
+    SELECT 'source_' || k AS source_table, sink_table, 'info' AS sink_family, sink_columns, 'id' AS sink_row_key,
+           seq AS from_seq, until_seq
+    FROM (SELECT *, LEAD(seq) OVER (PARTITION BY k ORDER BY seq) AS until_seq FROM steps) WHERE live = 1"""
+
+
+def treatments(seconds: int, measure: str) -> str:
+    """Closed windows of what happens some seconds after every click."""
+    rows = f"""SELECT date_trunc('second', ts + INTERVAL {seconds} SECONDS) AS ts, doctor_id, user_text AS patient_id, fee AS amount
+               FROM ev WHERE event_type = 'click'"""
+    return f"""SELECT * FROM (WITH {EV}, {DOCTOR}, {PATIENT}, {HOSPITAL}, {DICTIONARY}, {trade(rows, measure, '10 seconds')})
+        WHERE CAST(edt AS TIMESTAMP) <= (SELECT MAX(date_trunc('second', ts + INTERVAL {seconds} SECONDS)) FROM events
+            WHERE event_type = 'click') - INTERVAL 5 SECONDS"""
+
+
+ORACLE["stream_summary_prescription"] = treatments(2, "prescription")
+ORACLE["stream_summary_prescription_paid"] = treatments(60, "prescription_pay_suc")
+
+LAST_REVIEW = "(SELECT MAX(date_trunc('second', ts)) FROM events WHERE event_type = 'view' {})"
+ORACLE["stream_summary_reviews"] = f"""SELECT * FROM ({reviews('10 seconds')})
+    WHERE CAST(edt AS TIMESTAMP) <= {LAST_REVIEW.format('')} - INTERVAL 5 SECONDS"""
+ORACLE["stream_first_review_flag"] = f"""SELECT * FROM ({ORACLE['first_review_flag']})
+    WHERE is_first = 1 OR date_trunc('second', CAST(review_time AS TIMESTAMP)) <= {LAST_REVIEW.format('')} - INTERVAL 5 SECONDS"""
+
+# A window closes in the first slice whose last review is 5 seconds past its end; doctors move on after each slice.
+ORACLE["stream_summary_reviews_live"] = f"""WITH {EV}, {DOCTOR}, {HOSPITAL}, seen AS (
+    SELECT *, {bucket('10 seconds', "date_trunc('second', ts)")} AS w FROM ev WHERE event_type = 'view'),
+closed AS (
+    SELECT *, CASE WHEN w + INTERVAL 15 SECONDS <= {LAST_REVIEW.format("AND ts < TIMESTAMP '2024-01-11'")} THEN 0
+                   WHEN w + INTERVAL 15 SECONDS <= {LAST_REVIEW.format("AND ts < TIMESTAMP '2024-01-21'")} THEN 1 ELSE 2 END AS moved
+    FROM seen WHERE w + INTERVAL 15 SECONDS <= {LAST_REVIEW.format('')}),
+placed AS (
+    SELECT c.*, CAST((CAST(d.hospital_id AS INT) + moved) % 25 AS VARCHAR) AS hospital_id
+    FROM closed c LEFT JOIN doctor d ON c.doctor_id = d.id),
+flagged AS (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, hospital_id ORDER BY w, ts) = 1 AS is_first FROM placed),
+grouped AS (
+    SELECT w, hospital_id, CAST(SUM(CASE WHEN is_first THEN 1 ELSE 0 END) AS BIGINT) AS fresh, CAST(COUNT(*) AS BIGINT) AS n,
+           CAST(SUM(CASE WHEN 1 + (event_id // 10) % 5 = 5 THEN 1 ELSE 0 END) AS BIGINT) AS good
+    FROM flagged GROUP BY 1, 2)
+SELECT {bounds('10 seconds')}, g.hospital_id, h.name AS hospital_name, g.fresh AS review_new_user_count,
+       g.n AS review_count, g.good AS good_review_count
+FROM grouped g LEFT JOIN hospital h ON g.hospital_id = h.id"""
+
+_TREATED = """SELECT event_id || '-' || line AS id, strftime(ts + INTERVAL {seconds} SECONDS, '%Y-%m-%d %H:%M:%S.%f') AS {time},
+    CAST(line + event_id % 5 AS VARCHAR) AS count, CAST(event_id % 97 AS VARCHAR) AS medicine_id, id AS prescription_id,
+    CAST(fee AS VARCHAR) AS total_amount, id AS consultation_id, doctor_id, user_text AS patient_id
+    FROM ev, (VALUES (1), (2)) AS l(line) WHERE event_type = 'click'"""
+_EACH_FACT = {name: ORACLE[f"fact_{name}"] for name in FACTS if not name.startswith("prescription")} | {
+    "prescription": f"WITH {EV} {_TREATED.format(seconds=2, time='prescription_time')}",
+    "prescription_paid": f"WITH {EV} {_TREATED.format(seconds=60, time='prescription_pay_suc_time')}",
+}
+ORACLE["facts_from_json"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS fact, id, concat_ws('|', {', '.join(f'coalesce({c}, {chr(39) * 2})' for c in FACTS[name].columns)}) AS fields FROM ({sql})"
+    for name, sql in _EACH_FACT.items()
+)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +31,14 @@ from careflow.operators import (
     lookup,
     prune,
     route,
+    route_versions,
     table_lifecycle,
     ttl_join,
     tumbling,
     with_bounds,
 )
-from careflow.plans import FACTS, SUMMARIES, build_fact, build_summary
+from careflow.plans import FACTS, SUMMARIES, Dimensions, build_fact, build_summary
+from careflow.plans.facts import PAYLOAD_KEYS
 from careflow.plans.summaries import Windowing, with_age_group
 from careflow.session import working_folder
 from careflow.sinks import DimensionStore, json_rows, read_summary, write_summary
@@ -50,21 +55,23 @@ from careflow.sources import (
     read_topic,
     rejected,
 )
-from careflow.schemas import ROUTE_COLUMNS
-from careflow.streaming.jobs import dimension_job, fact_job, read_fact
+from careflow.schemas import ROUTE_COLUMNS, texts
+from careflow.streaming.jobs import dimension_job, fact_job, facts_job, read_fact, summary_job
 from careflow.workload.bindings import (
     AS_OF,
     MICROS,
     config_changes,
     dimension_changes,
     dimensions,
+    json_log,
     ods,
     ods_payments,
     ods_prescriptions,
+    ods_treatments,
     routes,
     table,
 )
-from careflow.workload.streams import late_slices, run_in_slices, run_to_table, stream_table
+from careflow.workload.streams import late_slices, run_in_slices, run_to_table, slices_in_order, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,6 +226,41 @@ def stream_dimensions(spark, folder):
     return tables_of(store)
 
 
+def stream_routes_replayed(spark, folder):
+    """The same, but the first micro-batch fails after it was routed, and the routing table changes before it runs again."""
+    base = working_folder(spark, "stream-replay")
+    changes = dimension_changes(spark, folder)
+    wanted = routes(spark, folder).withColumn("seq", F.expr("CAST(substring(source_table, 8) AS LONG)"))
+    records = wanted.select(F.to_json(F.struct(F.lit("c").alias("op"), F.struct(*ROUTE_COLUMNS).alias("after"))).alias("value"), "seq")
+
+    class Failing(DimensionStore):
+        def append(self, *_, **__):
+            raise ConnectionError("lost after routing")
+
+    def run(store: DimensionStore) -> None:
+        log = spark.readStream.schema(changes.schema).parquet(f"{base}/log")
+        dimension_job(log, lambda: read_landed_config(spark, f"{base}/config"), store, f"{base}/checkpoint").awaitTermination()
+
+    store = DimensionStore(spark, f"{base}/store")
+    land_topic(records.where("seq <= 3"), f"{base}/config")
+    changes.where("seq % 2 = 1").write.parquet(f"{base}/log")
+    try:
+        run(Failing(spark, f"{base}/store"))
+    except StreamingQueryException as failure:
+        if "lost after routing" not in str(failure):
+            raise
+    land_topic(records.where("seq > 3"), f"{base}/config")
+    run(store)
+    changes.where("seq % 2 = 0").write.mode("append").parquet(f"{base}/log")
+    run(store)
+    return tables_of(store)
+
+
+def config_versions(spark, folder):
+    """Every route with the order of the changes that it held between."""
+    return route_versions(decode_config(config_changes(spark, folder)))
+
+
 def tables_of(store: DimensionStore) -> DataFrame:
     """The rows of all tables of a store at once."""
     log = store.log().select(
@@ -490,6 +532,76 @@ def stream_fact_prescription_paid(spark, folder):
     )
 
 
+def stream_summary_of_treatments(name: str) -> Query:
+    """From a stream of changes over the fact's topic to the summary's table."""
+
+    def query(spark, folder):
+        base, fact = working_folder(spark, name), SUMMARIES[name].fact
+        log = ods_treatments(stream_table(spark, folder, "events"))
+        fact_job(fact, log, format="text", path=f"{base}/topic", checkpoint=f"{base}/fact").awaitTermination()
+        topic = read_topic(spark, format="text", path=f"{base}/topic", streaming=True)
+        dims = dimensions(spark, folder)
+        summary_job(name, topic, dims, base, Windowing(as_of=AS_OF), checkpoint=f"{base}/summary").awaitTermination()
+        return plain(read_summary(spark, f"{base}/{SUMMARIES[name].table}"))
+
+    return query
+
+
+def stream_summary_reviews(spark, folder):
+    """Reviews as they arrive, first ones told by the keys that the stream remembers."""
+    dims = dimensions(spark, folder)
+
+    def build(events: DataFrame) -> DataFrame:
+        return build_summary("review", build_fact("review", ods(spark, folder, events)), dims)
+
+    return run_in_slices(slices_in_order(table(spark, folder, "events")), build, "reviews")
+
+
+def stream_summary_reviews_live(spark, folder):
+    """The same while every doctor moves to the next hospital after each slice: hospitals are those of the moment a window
+    closes, and users are new where they never were."""
+    base, dims, moved = working_folder(spark, "live"), dimensions(spark, folder), []
+
+    def now(windows: DataFrame) -> Dimensions:
+        hospital = F.expr(f"CAST((CAST(hospital_id AS INT) + {len(moved)}) % 25 AS STRING)")
+        return replace(dims, doctor=dims.doctor.withColumn("hospital_id", hospital))
+
+    for number, events in enumerate(slices_in_order(table(spark, folder, "events"))):
+        fact_job("review", ods(spark, folder, events), format="text", path=f"{base}/topic")
+        topic = read_topic(spark, format="text", path=f"{base}/topic", streaming=True)
+        summary_job("review", topic, now, base, checkpoint=f"{base}/checkpoint").awaitTermination()
+        moved.append(number)
+    return read_summary(spark, f"{base}/{SUMMARIES['review'].table}")
+
+
+def stream_first_review_flag(spark, folder):
+    """Reviews as they arrive with a flag on each user's first one at a hospital; the last others wait for the watermark."""
+    doctors = dimensions(spark, folder).doctor
+
+    def build(events: DataFrame) -> DataFrame:
+        reviews = build_fact("review", ods(spark, folder, events)).select("id", "review_time", "doctor_id", "user_id")
+        reviews = lookup(reviews, doctors, "doctor_id", {"hospital_id": "hospital_id"})
+        timed = reviews.withColumn("event_time", event_time(F.col("review_time"))).withWatermark("event_time", "5 seconds")
+        return first_flag(timed, ["user_id", "hospital_id"], ["event_time", "id"], "is_first").drop("event_time")
+
+    return run_in_slices(slices_in_order(table(spark, folder, "events")), build, "flag")
+
+
+def facts_from_json(spark, folder):
+    """All eight facts from a log of JSON text that a stream parses once, as one table of their rows."""
+    base = working_folder(spark, "facts")
+    json_log(spark, folder).write.text(f"{base}/log")
+    log = decode_envelope(read_topic(spark, format="text", path=f"{base}/log", streaming=True), PAYLOAD_KEYS)
+    for query in facts_job(log, f"{base}/topics", f"{base}/checkpoint"):
+        query.awaitTermination()
+    parts = []
+    for name, fact in FACTS.items():
+        rows = read_topic(spark, format="text", path=f"{base}/topics/{fact.topic}")
+        rows = rows.select(F.from_json("value", texts(*fact.columns)).alias("r")).select("r.*")
+        parts.append(rows.select(F.lit(name).alias("fact"), "id", F.concat_ws("|", *(F.coalesce(c, F.lit("")) for c in fact.columns)).alias("fields")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stream_first_row(spark, folder):
     """Users seen, each once, in a stream."""
     events = stream_table(spark, folder, "events").select("user_id", "event_type")
@@ -543,6 +655,8 @@ QUERIES: dict[str, Query] = {
     "dim_store_late_put": dim_store_late_put,
     "dim_store_some_keys": dim_store_some_keys,
     "config_preloaded": config_preloaded,
+    "config_versions": config_versions,
+    "stream_routes_replayed": stream_routes_replayed,
     "stream_dimensions": stream_dimensions,
     "summary_two_runs": summary_two_runs,
     "fact_consultation": fact("consultation"),
@@ -604,5 +718,11 @@ QUERIES: dict[str, Query] = {
     "stream_first_row": stream_first_row,
     "stream_ttl_join": stream_ttl_join,
     "stream_fact_prescription": stream_fact_prescription,
+    "stream_summary_prescription": stream_summary_of_treatments("prescription"),
+    "stream_summary_prescription_paid": stream_summary_of_treatments("prescription_paid"),
+    "stream_summary_reviews": stream_summary_reviews,
+    "stream_summary_reviews_live": stream_summary_reviews_live,
+    "stream_first_review_flag": stream_first_review_flag,
+    "facts_from_json": facts_from_json,
     "fact_prescription_within": fact_prescription_within,
 }

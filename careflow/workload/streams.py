@@ -11,6 +11,10 @@ from careflow.session import working_folder
 from careflow.workload.bindings import table
 
 
+# Days on which the second and third slice begin.
+SLICE_DAYS = ("2024-01-11", "2024-01-21")
+
+
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table as a stream of its files. The pattern matches one file as well as a folder."""
     schema = table(spark, folder, name).schema
@@ -34,7 +38,7 @@ def run_in_slices(slices: list[DataFrame], build, purpose: str) -> DataFrame:
     spark = slices[0].sparkSession
     base = working_folder(spark, purpose)
     schema = slices[0].schema
-    for number, rows in enumerate(slices):
+    for rows in slices:
         rows.write.mode("append").parquet(f"{base}/input")
         stream = build(spark.readStream.schema(schema).parquet(f"{base}/input"))
         _run(stream, base)
@@ -52,10 +56,18 @@ def _run(stream: DataFrame, base: str) -> None:
     query.awaitTermination()
 
 
+def slices_in_order(events: DataFrame) -> list[DataFrame]:
+    """The events in three slices by time, each as one file in which they are in order."""
+    first, second = (F.lit(day).cast("timestamp_ntz") for day in SLICE_DAYS)
+    at = F.col("ts")
+    parts = (events.where(at < first), events.where((at >= first) & (at < second)), events.where(at >= second))
+    return [part.coalesce(1).sortWithinPartitions("ts", "event_id") for part in parts]
+
+
 def late_slices(events: DataFrame) -> list[DataFrame]:
     """The events in three slices by time, the third with old events coming a second time, far too late."""
     at = F.col("ts")
-    first, second = F.lit("2024-01-11").cast("timestamp_ntz"), F.lit("2024-01-21").cast("timestamp_ntz")
+    first, second = (F.lit(day).cast("timestamp_ntz") for day in SLICE_DAYS)
     late = events.where(at < F.lit("2024-01-06").cast("timestamp_ntz"))
     return [
         events.where(at < first),

@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from careflow.operators import apply_changes, deleted_keys, latest_routes, route, table_lifecycle
+from careflow.operators import apply_changes, deleted_keys, latest_routes, route, route_versions, table_lifecycle
+from careflow.schemas import ROUTE_COLUMNS
 from careflow.sinks import DimensionStore
 from careflow.sources import decode_config
 from careflow.streaming import dimension_job
@@ -239,12 +240,26 @@ def test_a_read_opens_only_what_follows_the_snapshot(spark, folder):
     store.compact()
     put(spark, store, 3, ("insert", "7", {"name": "n7"}, 7))
     opened = store.read("dim_patient", ["id", "name"]).inputFiles()
-    folders = [re.search(r"(changes|snapshots)/batch_id=(\d+)", name) for name in opened if "/events/" not in name]
-    assert {found.groups() for found in folders} == {("snapshots", "2"), ("changes", "3")}
+    folders = [re.search(r"(changes/run=direct/batch_id|snapshots/number)=(\d+)", name) for name in opened]
+    assert {found.groups() for found in folders} == {("snapshots/number", "1"), ("changes/run=direct/batch_id", "3")}
     store.compact()  # what the first snapshot covers goes
     assert spark.read.parquet(f"{folder}/changes").select("batch_id").distinct().count() == 1
     assert names(store) == [("0", "n0"), ("1", "n1"), ("2", "n2"), ("7", "n7")]
-    assert len(list(spark.read.text(f"{folder}/events").inputFiles())) == 1
+
+
+def test_compaction_passes_a_batch_that_failed(spark, folder):
+    """What a failed batch left is not in the way of snapshots; when it runs again, its changes count."""
+    store = store_of(spark, folder, [("insert", "1", {"name": "a"}, 1)])
+    broken = spark.range(1).selectExpr("'dim_patient' AS sink_table", "string(id) AS row_key", "raise_error('lost') AS type", "map('name', 'b') AS data", "id AS seq")
+    with pytest.raises(Exception, match="lost"):
+        store.append(broken, 1)
+    for number in (2, 3, 4):
+        put(spark, store, number, ("insert", str(number), {"name": "c"}, number))
+        assert store.compact() == number - 1
+    put(spark, store, 1, ("insert", "9", {"name": "late"}, 9))
+    assert store.compact() == 4 and store.compact() is None
+    assert names(store) == [("1", "a"), ("2", "c"), ("3", "c"), ("4", "c"), ("9", "late")]
+    assert spark.read.parquet(f"{folder}/changes").select("batch_id").distinct().count() == 1
 
 
 def test_a_snapshot_keeps_all_columns(spark, folder):
@@ -322,3 +337,41 @@ def test_dimension_job_follows_its_config(spark, folder):
     steps.append(("d", image("patient", "dim_patient"), None))
     run(3, ("patient", "insert", {"id": "3", "name": "c"}, None))
     assert read() == []
+
+
+def test_a_repeated_batch_takes_the_routes_of_its_first_try(spark, folder, monkeypatch):
+    store = DimensionStore(spark, f"{folder}/dims")
+    steps = [("c", None, image("patient", "dim_patient"))]
+    changes(spark, ("patient", "insert", {"id": "1", "name": "a"}, None)).write.parquet(f"{folder}/in")
+
+    def run():
+        stream = spark.readStream.schema(CHANGE).parquet(f"{folder}/in")
+        dimension_job(stream, lambda: config(spark, *steps), store, f"{folder}/ckpt").awaitTermination()
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "append", lost)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    steps.append(("d", image("patient", "dim_patient"), None))
+    steps.append(("c", None, image("patient", "dim_other", "id")))
+    run()
+    assert {r.sink_table for r in spark.read.parquet(f"{folder}/dims/changes").collect()} == {"dim_patient"}
+    more = changes(spark, ("patient", "insert", {"id": "2", "name": "b"}, None)).withColumn("seq", F.lit(50).cast("long"))
+    more.write.mode("append").parquet(f"{folder}/in")
+    run()
+    assert rows(store.read("dim_other", ["id"])) == [("2",)]
+    assert rows(store.read("dim_patient", ["id"])) == []  # dropped since
+
+
+def test_route_versions(spark):
+    steps = [("c", None, image("a", "one")), ("u", image("a", "one"), image("a", "two")), ("d", image("a", "two"), None), ("c", None, image("b", "three")), ("u", image("b", "three"), image("c", "three"))]
+    known = spark.createDataFrame([("a", "zero", "f", "id", "id"), ("z", "zero", "f", "id", "id")], list(ROUTE_COLUMNS))
+    log = config(spark, *steps)
+    got = route_versions(log, preloaded=known).select("source_table", "sink_table", "from_seq", "until_seq")
+    at = [r.seq for r in log.orderBy("seq").collect()]
+    assert rows(got) == sorted([("a", "zero", None, at[0]), ("a", "one", at[0], at[1]), ("a", "two", at[1], at[2]), ("b", "three", at[3], at[4]), ("c", "three", at[4], None), ("z", "zero", None, None)], key=repr)
+    now = got.where("until_seq IS NULL").select("source_table", "sink_table")
+    assert rows(now) == rows(latest_routes(log, preloaded=known).select("source_table", "sink_table"))

@@ -1,17 +1,20 @@
 """Streams against batches: from the change log through topics to summaries."""
 
+import json
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from careflow.functions import event_time
-from careflow.operators import first_row, interval_join, ttl_join, tumbling, with_bounds
-from careflow.plans import FACTS, SUMMARIES, build_fact, build_summary
+from careflow.operators import first_flag, first_row, interval_join, ttl_join, tumbling, with_bounds
+from careflow.plans import FACTS, SUMMARIES, Dimensions, build_fact, build_summary
 from careflow.plans.facts import PAYLOAD_KEYS
 from careflow.plans.summaries import Windowing
 from careflow.sinks import read_summary, write_summary
-from careflow.sources import decode_envelope, read_topic
+from careflow.sinks.runs import Turn, write_once
+from careflow.sinks.seen import SeenKeys
+from careflow.sources import decode_envelope, land_ods, read_landed, read_topic
 from careflow.streaming import fact_job, summary_job
 from careflow.streaming.jobs import read_fact
 from careflow.workload.bindings import AS_OF, dimensions, ods, table
@@ -111,6 +114,13 @@ def test_stream_equals_batch(spark, small, log, folder, name):
     assert got.count() > 0
 
 
+def forget_last_commit(checkpoint):
+    """As if the job had failed between its last micro-batch's output and the end of that micro-batch."""
+    commits = sorted(Path(checkpoint, "commits").glob("[0-9]*"), key=lambda file: int(file.name))
+    for part in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        part.unlink(missing_ok=True)
+
+
 @pytest.mark.parametrize("name", ["consultation", "prescription"])
 def test_dimensions_read_when_windows_close(spark, small, log, folder, name):
     fact = build_fact(name, decode_envelope(read_log(spark, log, False), PAYLOAD_KEYS))
@@ -139,9 +149,46 @@ def test_dimensions_read_when_windows_close(spark, small, log, folder, name):
     assert max(seen) > 0
 
 
-def test_only_trade_summaries_read_dimensions_late(spark, folder):
+def test_reviews_of_a_running_summary(spark, folder):
+    """A doctor changes hospital: later reviewers are new there, whoever they reviewed before; a repeated batch changes nothing."""
+    reviews = [
+        [(0, "d", "u"), (1, "d", "u"), (2, "d", "v"), (15, "d", "u"), (30, "e", "w")],
+        [(100, "d", "u"), (101, "d", "x"), (102, "e", "u"), (103, None, "u"), (104, None, None)],
+        [(200, "d", "u"), (205, "e", "v"), (300, "d", "u")],
+    ]
+    hospital_of = {"d": "1", "e": "2"}
+    names_of = spark.createDataFrame([("1", "One"), ("2", "Two")], "id string, name string")
+
+    def read_dims(windows):
+        doctors = spark.createDataFrame(list(hospital_of.items()), "id string, hospital_id string")
+        return Dimensions(doctors, None, names_of, None)
+
+    def run():
+        summary_job("review", read_log(spark, f"{folder}/topic", True), read_dims, folder, HOW, checkpoint=f"{folder}/ckpt").awaitTermination()
+        got = read_summary(spark, f"{folder}/{SUMMARIES['review'].table}").orderBy("stt", "hospital_id").collect()
+        return [(r.stt[-5:], r.hospital_id, r.review_new_user_count, r.review_count) for r in got]
+
+    for number, part in enumerate(reviews):
+        made = [(json.dumps({"id": str(s), "review_time": f"2024-01-01 10:{s // 60:02d}:{s % 60:02d}", "rating": "5", "doctor_id": d, "user_id": u}),) for s, d, u in part]
+        spark.createDataFrame(made, "value string").coalesce(1).write.mode("append").text(f"{folder}/topic")
+        got = run()
+        if number == 1:
+            forget_last_commit(f"{folder}/ckpt")
+            hospital_of["d"] = "2"  # the repeated batch gives out what it gave out before
+            assert run() == got == [("00:00", "1", 2, 3), ("00:10", "1", 0, 1), ("00:30", "2", 1, 1)]
+    assert got == [
+        ("00:00", "1", 2, 3),
+        ("00:10", "1", 0, 1),
+        ("00:30", "2", 1, 1),
+        ("01:40", None, 2, 2),
+        ("01:40", "2", 2, 3),
+        ("03:20", "2", 1, 2),
+    ]
+
+
+def test_only_summaries_with_dimensions_read_them_late(spark, folder):
     with pytest.raises(ValueError):
-        summary_job("review", spark.createDataFrame([], "value string"), lambda rows: None, folder)
+        summary_job("user_register", spark.createDataFrame([], "value string"), lambda rows: None, folder)
 
 
 @pytest.mark.parametrize("join, options", [(interval_join, {}), (interval_join, {"salts": 3}), (ttl_join, {})])
@@ -216,9 +263,7 @@ def test_first_row_of_a_stream_with_bounded_state(spark, folder):
 def test_a_batch_that_runs_again_keeps_its_rows_once(spark, folder):
     count_stream(spark, folder, [(1, 2), (30,)])
     before = rows(read_summary(spark, f"{folder}/out"))
-    commits = sorted(Path(folder, "ckpt", "commits").glob("[0-9]*"), key=lambda file: int(file.name))
-    for part in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
-        part.unlink(missing_ok=True)
+    forget_last_commit(f"{folder}/ckpt")
     assert count_stream(spark, folder, [(31,)]) == [("00:00", 2)]
     assert rows(read_summary(spark, f"{folder}/out")) == before
 
@@ -243,3 +288,79 @@ def test_topic_stream_goes_on_from_its_checkpoint(spark, folder):
     assert run() == ["1"]
     add(2)
     assert run() == ["1", "2"]
+
+
+@pytest.mark.parametrize("form", ["landed", "topic"])
+def test_what_lands_twice_is_read_once(spark, folder, form):
+    """A named batch, and a micro-batch that runs again, between two reads of a stream further down."""
+    made = spark.sql("SELECT 'clinic' AS database, 'user' AS table, 'insert' AS type, map('id', '1') AS data, CAST(NULL AS map<string,string>) AS old, 1L AS seq")
+
+    def land(source, **how):
+        if form == "landed":
+            return land_ods(source, f"{folder}/out", **how)
+        return fact_job("user_register", source, format="text", path=f"{folder}/out", **how)
+
+    def downstream():
+        stream = read_landed(spark, f"{folder}/out", streaming=True) if form == "landed" else read_log(spark, f"{folder}/out", True)
+        names = stream.select(F.col("data")["id"] if form == "landed" else F.col("value"))
+        writer = names.writeStream.format("parquet").option("checkpointLocation", f"{folder}/down").trigger(availableNow=True)
+        writer.start(f"{folder}/read").awaitTermination()
+        return spark.read.parquet(f"{folder}/read").count()
+
+    land(made, run="r")
+    assert downstream() == 1
+    land(made, run="r")
+    assert downstream() == 1
+    made.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(made.schema).parquet(f"{folder}/in")
+    for _ in range(2):
+        land(stream, checkpoint=f"{folder}/ckpt").awaitTermination()
+        assert downstream() == 2
+        forget_last_commit(f"{folder}/ckpt")
+    land(made.withColumn("data", F.create_map(F.lit("id"), F.lit("2"))), run="r")  # other rows under the name replace it
+    back = read_landed(spark, f"{folder}/out") if form == "landed" else read_log(spark, f"{folder}/out", False)
+    assert back.count() == 2 and not list(Path(folder, "out").glob("_staging/*"))
+
+
+def test_a_failed_write_is_never_seen(spark, folder):
+    turn, table = Turn("r", 0, streamed=True), spark.range(3)
+
+    def fail(name):
+        table.write.parquet(name)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        write_once(spark, folder, turn, fail, spark.read.parquet)
+    assert not Path(folder, "run=r").exists()
+    write_once(spark, folder, turn, table.write.parquet, spark.read.parquet)
+    write_once(spark, folder, turn, spark.range(9).write.parquet, spark.read.parquet)
+    assert spark.read.parquet(f"{folder}/run=r/batch_id=0").count() == 3
+
+
+def test_seen_keys(spark, folder, monkeypatch):
+    monkeypatch.setattr("careflow.sinks.seen.MERGE_FROM", 3)
+    seen = SeenKeys(spark, folder, ["user", "place"])
+    table = lambda *keys: spark.createDataFrame([(*key, 7) for key in keys], "user string, place string, n int")
+    read = lambda df: rows(df.select("user", "place", "n"))
+    assert read(seen.new(table(("a", "1"), (None, "1")), Turn("s", 0, True))) == [("a", "1", 7), (None, "1", 7)]
+    assert read(seen.new(table(("a", "1")), Turn("s", 1, True))) == []
+    for number in range(2, 9):
+        added = seen.new(table(("a", "1"), (None, "1"), ("a", None), ("b", str(number))), Turn("s", number, True))
+        assert len(read(added)) == 1 + (number == 2)
+        assert read(seen.new(table(("zz", "9")), Turn("s", number, True))) == read(added)
+    assert len(list(Path(folder).glob("run=*/batch_id=*"))) < 6
+
+
+def test_first_flag_of_a_stream(spark, folder):
+    """Flags by arrival; rows that are not first come out when the watermark has passed them."""
+    steps = [[(1, "a", 1), (2, "a", 2), (3, None, 3)], [(4, "b", 4), (4, "b", 5), (5, "a", 6), (6, None, 7)], [(60, "c", 8)]]
+    for step in steps:
+        made = spark.createDataFrame(step, "s int, k string, id int")
+        clocked = made.selectExpr("timestamp_seconds(1704067200 + s) AS event_time", "k", "id")
+        clocked.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(clocked.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        flagged = first_flag(stream.withWatermark("event_time", "5 seconds"), ["k"], ["event_time", "id"], "is_first")
+        assert flagged.columns == ["event_time", "k", "id", "is_first"]
+        write_summary(flagged.drop("event_time"), f"{folder}/out", f"{folder}/ckpt").awaitTermination()
+    got = {r.id: r.is_first for r in read_summary(spark, f"{folder}/out").collect()}
+    assert got == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 1}
