@@ -106,14 +106,12 @@ def doctor_register(ods: DataFrame) -> DataFrame:
     )
 
 
-def prescription(ods: DataFrame, ttl: dt.timedelta | None = None, salts: int = 1) -> DataFrame:
+def prescription(ods: DataFrame, ttl: dt.timedelta | None = JOIN_TTL, salts: int = 1) -> DataFrame:
     """One row per prescription detail, with the columns of its prescription.
 
-    Both were written no more than ``ttl`` apart. Without it they may lie any time apart in a batch, and ``JOIN_TTL``
-    in a stream, which needs a bound.
+    Both were written no more than ``ttl`` apart, in a batch as in a stream. With None, which only a batch can have, they
+    may lie any time apart.
     """
-    if ttl is None and ods.isStreaming:
-        ttl = JOIN_TTL
     heads = _timed(
         _changes(ods, "prescription", "insert").select(
             _field("id", "_head_id"),

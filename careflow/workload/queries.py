@@ -289,8 +289,8 @@ def dim_store_some_keys(spark, folder):
     return store.read(name, ["a", "b"], key="row_key", only=keys)
 
 
-def fact(name: str) -> Query:
-    return lambda spark, folder: build_fact(name, ods(spark, folder))
+def fact(name: str, **options) -> Query:
+    return lambda spark, folder: build_fact(name, ods(spark, folder), **options)
 
 
 def fact_consultation_paid_transition(spark, folder):
@@ -320,7 +320,7 @@ def fact_through_topic(spark, folder):
 
 
 def fact_typed_decode(spark, folder):
-    topic = json_rows(build_fact("prescription", ods(spark, folder)))
+    topic = json_rows(build_fact("prescription", ods(spark, folder), ttl=None))
     schema = SUMMARIES["prescription"].input_schema(FACTS["prescription"].columns)
     rows = decode_fact(topic, schema, "prescription_time")
     return rows.select(
@@ -662,7 +662,7 @@ QUERIES: dict[str, Query] = {
     "fact_consultation": fact("consultation"),
     "fact_consultation_paid": fact("consultation_paid"),
     "fact_consultation_paid_transition": fact_consultation_paid_transition,
-    "fact_prescription": fact("prescription"),
+    "fact_prescription": fact("prescription", ttl=None),
     "fact_prescription_paid": fact_prescription_paid,
     "fact_prescription_paid_wide": fact_prescription_paid_wide,
     "fact_user_register": fact("user_register"),
@@ -696,8 +696,8 @@ QUERIES: dict[str, Query] = {
     "summary_consultation_daily": summary("consultation", "1 day"),
     "summary_consultation_paid": summary("consultation_paid", "10 seconds"),
     "summary_consultation_paid_daily": summary("consultation_paid", "1 day"),
-    "summary_prescription": summary("prescription", "10 seconds"),
-    "summary_prescription_monthly": summary("prescription", "30 days"),
+    "summary_prescription": summary("prescription", "10 seconds", ttl=None),
+    "summary_prescription_monthly": summary("prescription", "30 days", ttl=None),
     "summary_prescription_paid": summary("prescription_paid", "10 seconds", ods_payments),
     "summary_prescription_paid_daily": summary("prescription_paid", "1 day", ods_payments, **WIDE),
     "summary_user_register": summary("user_register", "10 seconds"),
