@@ -28,6 +28,9 @@ from careflow.streaming import dimension_job, fact_job, store_dimensions, summar
 # Summaries that remember every prescription, or every user of a hospital.
 KEEPS_KEYS = ("prescription", "prescription_paid", "review")
 
+# Column with the time at which a record came in.
+ARRIVED = "arrived"
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="careflow", description="Healthcare change-log warehouse")
@@ -53,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--batch", action="store_true", help="one batch over everything")
         job.add_argument("--every", help="keep running, with this time between micro-batches")
         job.add_argument("--checkpoint", help="progress of a stream")
+    for job in (land, fact):
+        job.add_argument("--by-arrival", action="store_true", help="keep the time that records come in, and join prescriptions by it")
     for job in (dimensions, fact):
         job.add_argument("--landed", help="read the log that the land job keeps")
     for job in (land, land_config, summary):
@@ -70,7 +75,9 @@ def parser() -> argparse.ArgumentParser:
     summary.add_argument("--forget-keys", action="store_true", help="bound the state of first rows by the watermark")
     summary.add_argument("--start", help="offset of the windows, as '16 hours'")
     dimensions.add_argument("--config", required=True, help="folder that land-config keeps")
-    dimensions.add_argument("--routes", help="parquet of the routing table before its first change")
+    dimensions.add_argument("--routes", help="folder of the routing table before its first change")
+    dimensions.add_argument("--routes-format", default="parquet", help="of the routing table: parquet, json, csv, jdbc, ...")
+    dimensions.add_argument("--routes-option", action="append", default=[], metavar="KEY=VALUE", help="as url=jdbc:..., dbtable=...")
     summary.add_argument("--live", action="store_true", help="read dimensions when windows close")
     summary.add_argument("--window", default=Windowing.size)
     summary.add_argument("--delay", default=Windowing.delay)
@@ -105,12 +112,14 @@ def _start(args: argparse.Namespace, spark: SparkSession, stream: dict):
     if args.job == "dimensions":
         store = DimensionStore(spark, args.store)
         config = lambda: read_landed_config(spark, args.config)
-        routes = read_routes(spark, path=args.routes) if args.routes else None
+        source = _pairs(args.routes_option) | ({"path": args.routes} if args.routes else {})
+        routes = read_routes(spark, args.routes_format, **source) if source else None
         return dimension_job(_log(args, spark), config, store, preloaded=routes, **stream)
     if args.job == "fact":
         sink = {"format": args.sink_format, "path": args.out, "files": args.files, **_pairs(args.sink_option)}
         options = {"salts": args.salts} if args.salts > 1 else {}
         options |= {"on_transition": True} if args.on_transition else {}
+        options |= {"arrival": ARRIVED} if args.by_arrival else {}
         return fact_job(args.name, _log(args, spark, PAYLOAD_KEYS), options, **sink, **stream)
     dims = None
     if args.store:
@@ -121,6 +130,7 @@ def _start(args: argparse.Namespace, spark: SparkSession, stream: dict):
 
 
 def _topic(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
+    arrival = {"arrival": ARRIVED} if getattr(args, "by_arrival", False) else {}
     return read_topic(
         spark,
         format=args.format,
@@ -128,6 +138,7 @@ def _topic(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
         streaming=not args.batch,
         order=args.order,
         **_pairs(args.option),
+        **arrival,
     )
 
 

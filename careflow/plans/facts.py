@@ -106,23 +106,28 @@ def doctor_register(ods: DataFrame) -> DataFrame:
     )
 
 
-def prescription(ods: DataFrame, ttl: dt.timedelta | None = JOIN_TTL, salts: int = 1) -> DataFrame:
+def prescription(
+    ods: DataFrame, ttl: dt.timedelta | None = JOIN_TTL, salts: int = 1, arrival: str | None = None
+) -> DataFrame:
     """One row per prescription detail, with the columns of its prescription.
 
     Both were written no more than ``ttl`` apart, in a batch as in a stream. With None, which only a batch can have, they
-    may lie any time apart.
+    may lie any time apart. With ``arrival``, a column of the log with the time at which records came in (see
+    :func:`careflow.sources.read_topic`), they came in no more than ``ttl`` apart, whenever they were written: what a
+    stream remembers then ends with the time that passes and not with what its records say.
     """
     heads = _timed(
         _changes(ods, "prescription", "insert").select(
             _field("id", "_head_id"),
             _field("create_time", "_head_time_text"),
             *_data("total_amount", "consultation_id", "doctor_id", "patient_id"),
+            *_arrival(arrival, "_head_time"),
         ),
         "_head_time_text",
         "_head_time",
         ttl is not None,
     )
-    details = _timed(_details(ods), "create_time", "_detail_time", ttl is not None)
+    details = _timed(_details(ods, arrival), "create_time", "_detail_time", ttl is not None)
     joined = ttl_join(
         heads,
         details,
@@ -280,14 +285,20 @@ def _in_status(
     return rows
 
 
-def _details(ods: DataFrame) -> DataFrame:
+def _details(ods: DataFrame, arrival: str | None = None) -> DataFrame:
     return _changes(ods, "prescription_detail", "insert").select(
-        *_data("id", "create_time", "count", "medicine_id", "prescription_id")
+        *_data("id", "create_time", "count", "medicine_id", "prescription_id"), *_arrival(arrival, "_detail_time")
     )
 
 
+def _arrival(column: str | None, name: str) -> list[Column]:
+    return [] if column is None else [F.col(column).alias(name)]
+
+
 def _timed(rows: DataFrame, text: str, name: str, needed: bool) -> DataFrame:
-    """Only a stream needs the times: they bound how long it keeps rows."""
+    """Only a bounded join needs the times; those of arrival are there already."""
+    if name in rows.columns:
+        return rows
     return rows.withColumn(name, event_time(F.col(text)) if needed else F.lit(None).cast("timestamp"))
 
 

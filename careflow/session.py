@@ -59,8 +59,13 @@ def build_session(
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name for checkpoints and intermediate tables.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, or else in the warehouse, which
-    driver and executors share as well.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, or else in the warehouse. A warehouse on
+    a machine's own disk serves a local master only.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = f"{warehouse}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careflow.operators.routing import route_versions, table_lifecycle
@@ -22,6 +22,9 @@ _PUT = "update"
 # Tables that were never dropped.
 _FROM_THE_START = -1
 
+# Folders of a table's snapshot, by a hash of the row key. A read of a few keys opens the folders of these only.
+BUCKETS = 16
+
 
 class DimensionStore:
     """Dimension tables under one folder.
@@ -37,14 +40,17 @@ class DimensionStore:
 
     A snapshot is the log so far, shortened: the last value of every column with its order, and the order of
     the last put and the last delete of every row. It folds together with changes of any order, old or new, as
-    the whole log would. It lists the folders that it covers and appears by one rename as well.
+    the whole log would. It lists the folders that it covers and appears by one rename as well. Its tables are parted by a
+    hash of the row key, into ``buckets`` folders, and sorted by it there.
 
-    A read opens the last snapshot and the folders that it does not cover.
+    A read opens the last snapshot, or the parts of it that the keys asked for are in, and the folders that it does not
+    cover.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.folders = Folders(spark)
 
     def append(self, routed: DataFrame, batch: int, run: str = "", lifecycle: DataFrame | None = None, streamed: bool = False) -> None:
@@ -91,10 +97,11 @@ class DimensionStore:
         """The rows of a dimension: its row key as ``key``, and ``columns``. A store without any batch does not
         exist, which is an error.
 
-        ``only`` is a DataFrame with one column of row keys; rows of other keys are left out before the fold.
+        ``only`` is a DataFrame with one column of row keys; rows of other keys are left out before the fold, and so are
+        the parts of the snapshot that none of the keys is in.
         """
         others = [name for name in columns if name != key]
-        log = self.log().where(F.col("sink_table") == table)
+        log = self._log(self._last_snapshot(), self._parts(), only).where(F.col("sink_table") == table)
         flat = log.select(
             F.col("row_key").alias("_row_key"),
             F.col("seq").alias("_seq"),
@@ -137,7 +144,9 @@ class DimensionStore:
         rows = folded.select("sink_table", "row_key", "type", data.alias("data"), F.col("last.seq").alias("seq"), "born")
         number = 1 if last is None else last + 1
         staged = f"{self.root}/{STAGING}/snapshot-{uuid.uuid4().hex}"
-        rows.write.partitionBy("sink_table").parquet(f"{staged}/changes")
+        parted = rows.withColumn("bucket", self._bucket("row_key")).repartition("sink_table", "bucket")
+        parted.sortWithinPartitions("sink_table", "bucket", "row_key").write.partitionBy("sink_table", "bucket").parquet(f"{staged}/changes")
+        self.folders.make(f"{staged}/layout/buckets={self.buckets}")
         self.spark.createDataFrame(parts, "run string, batch_id long").coalesce(1).write.parquet(f"{staged}/covered")
         if not self.folders.publish(staged, self._snapshot(number)):
             self.folders.remove(staged)
@@ -149,13 +158,25 @@ class DimensionStore:
                 self.folders.remove(self._snapshot(old))
         return number
 
-    def _log(self, snapshot: int | None, parts: Sequence[tuple[str, int]]) -> DataFrame:
+    def _bucket(self, key: str, buckets: int | None = None) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets or self.buckets)).cast("int")
+
+    def _open_snapshot(self, number: int, only: DataFrame | None) -> DataFrame:
+        rows = self.spark.read.schema(f"{_CHANGES}, bucket int").parquet(f"{self._snapshot(number)}/changes")
+        if only is not None:
+            (layout,) = self.folders.children(f"{self._snapshot(number)}/layout")
+            buckets = int(layout.removeprefix("buckets="))
+            wanted = only.select(self._bucket(only.columns[0], buckets).alias("bucket")).distinct().collect()  # at most all buckets
+            rows = rows.where(F.col("bucket").isin([row.bucket for row in wanted]))
+        return rows.drop("bucket")
+
+    def _log(self, snapshot: int | None, parts: Sequence[tuple[str, int]], only: DataFrame | None = None) -> DataFrame:
         covered = self._covered(snapshot)
         later = [folder_of(f"{self.root}/changes", *part) for part in parts if part not in covered]
         if snapshot is None and not parts and not self.folders.exists(f"{self.root}/config"):
             raise FileNotFoundError(f"there is no dimension store at {self.root}")
         reader = self.spark.read.schema(_CHANGES)
-        opened = [reader.parquet(f"{self._snapshot(snapshot)}/changes")] if snapshot is not None else []
+        opened = [self._open_snapshot(snapshot, only)] if snapshot is not None else []
         if later:
             opened.append(reader.option("basePath", f"{self.root}/changes").parquet(*later).drop(*PLACE))
         if not opened:

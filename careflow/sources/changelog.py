@@ -20,6 +20,7 @@ def read_topic(
     path: str | None = None,
     streaming: bool = False,
     order: str | None = None,
+    arrival: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Raw text records in a column ``value``, from the earliest one, without tombstones.
@@ -29,6 +30,9 @@ def read_topic(
     that keys records by primary key keeps all changes of one row in one partition, in order. With other
     producers, and with text, name the field of the records that holds their ``order``, a whole number that
     counts up over the whole log; it becomes ``seq``.
+
+    ``arrival`` names a further column with the time at which a record came in: Kafka's own, and else that of the
+    micro-batch that reads it, which stays the same if it runs again.
     """
     reader = spark.readStream if streaming else spark.read
     if format == "kafka":
@@ -39,6 +43,8 @@ def read_topic(
         columns.append(F.get_json_object("value", f"$.{order}").try_cast("long").alias("seq"))
     elif format == "kafka":
         columns.append(F.col("offset").alias("seq"))
+    if arrival is not None:
+        columns.append((F.col("timestamp") if format == "kafka" else F.current_timestamp()).alias(arrival))
     return drop_tombstones(raw.select(*columns))
 
 

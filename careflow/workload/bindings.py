@@ -190,10 +190,13 @@ def ods_payments(
     return details.unionAll(payments)
 
 
-def ods_treatments(events: DataFrame) -> DataFrame:
-    """For each click a prescription, two details of it two seconds later and its payment a minute later."""
+def ods_treatments(events: DataFrame, details_after: str = "2 SECONDS", arrived: bool = False) -> DataFrame:
+    """For each click a prescription, two details of it some time later and its payment a minute later.
+
+    With ``arrived`` records have the time at which they came in: details 2 or 20 seconds after their prescription.
+    """
     clicks = events.where("event_type = 'click'")
-    later = lambda seconds: f"date_format(ts + INTERVAL {seconds} SECONDS, '{MICROS}')"
+    later = lambda span: f"date_format(ts + INTERVAL {span}, '{MICROS}')"
     head = {
         "id": as_text("event_id"),
         "total_amount": FEE,
@@ -203,16 +206,18 @@ def ods_treatments(events: DataFrame) -> DataFrame:
     }
     detail = {
         "id": "concat(event_id, '-', line)",
-        "create_time": later(2),
+        "create_time": later(details_after),
         "count": as_text("line + event_id % 5"),
         "medicine_id": as_text("event_id % 97"),
         "prescription_id": as_text("event_id"),
     }
     lines = clicks.selectExpr("*", "explode(array(1, 2)) AS line")
+    came = lambda time: {"arrived": f"CAST({time} AS TIMESTAMP)"} if arrived else {}
+    with_details = "ts + make_interval(0, 0, 0, 0, 0, 0, CASE event_id % 2 WHEN 0 THEN 2 ELSE 20 END)"
     return (
-        _rows(clicks, "prescription", "insert", {**head, "create_time": WRITTEN, "status": "'201'"})
-        .unionAll(_rows(lines, "prescription_detail", "insert", detail))
-        .unionAll(_rows(clicks, "prescription", "update", {**head, "update_time": later(60), "status": f"'{PAID}'"}, {"status": "'202'"}))
+        _rows(clicks, "prescription", "insert", {**head, "create_time": WRITTEN, "status": "'201'"}, more=came("ts"))
+        .unionAll(_rows(lines, "prescription_detail", "insert", detail, more=came(with_details)))
+        .unionAll(_rows(clicks, "prescription", "update", {**head, "update_time": later("60 SECONDS"), "status": f"'{PAID}'"}, {"status": "'202'"}, came("ts")))
     )
 
 
@@ -301,15 +306,21 @@ DIMENSION_ROW = (
 
 
 def _rows(
-    source: DataFrame, name: str, kind: str, data: dict[str, str], old: dict[str, str] | None = None
+    source: DataFrame,
+    name: str,
+    kind: str,
+    data: dict[str, str],
+    old: dict[str, str] | None = None,
+    more: dict[str, str] | None = None,
 ) -> DataFrame:
-    """An envelope in the form of ``decode_envelope(keys=PAYLOAD_KEYS)``, with the one old field used."""
+    """An envelope in the form of ``decode_envelope(keys=PAYLOAD_KEYS)``, with the one old field used, and more columns."""
     return source.selectExpr(
         "'clinic' AS database",
         f"'{name}' AS table",
         f"'{kind}' AS type",
         f"{_payload(data)} AS data",
         f"{_payload(old or {}, OLD_KEYS)} AS old",
+        *(f"{expression} AS {column}" for column, expression in (more or {}).items()),
     )
 
 

@@ -332,7 +332,8 @@ ORACLE["fact_through_topic"] = ORACLE["fact_doctor_register"]
 ORACLE["lookup_salted"] = ORACLE["lookup_doctor_hospital"]
 ORACLE["summary_consultation_ids_first"] = ORACLE["summary_consultation_daily"]
 ORACLE["summary_table"] = ORACLE["summary_reviews_daily"]
-ORACLE["stream_first_row"] = "SELECT DISTINCT user_id, event_type FROM events"
+ORACLE["stream_first_row"] = """SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS seen, value FROM events
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1"""
 ORACLE["stream_ttl_join"] = """SELECT c.event_id AS click_id, v.event_id AS view_id
     FROM events c JOIN events v ON c.user_id = v.user_id AND c.event_type = 'click' AND v.event_type = 'view'
     AND c.ts BETWEEN v.ts - INTERVAL 1 DAY AND v.ts + INTERVAL 1 DAY"""
@@ -399,14 +400,16 @@ SELECT {bounds('10 seconds')}, g.hospital_id, h.name AS hospital_name, g.fresh A
        g.n AS review_count, g.good AS good_review_count
 FROM grouped g LEFT JOIN hospital h ON g.hospital_id = h.id"""
 
-_TREATED = """SELECT event_id || '-' || line AS id, strftime(ts + INTERVAL {seconds} SECONDS, '%Y-%m-%d %H:%M:%S.%f') AS {time},
+_TREATED = """SELECT event_id || '-' || line AS id, strftime(ts + INTERVAL {after}, '%Y-%m-%d %H:%M:%S.%f') AS {time},
     CAST(line + event_id % 5 AS VARCHAR) AS count, CAST(event_id % 97 AS VARCHAR) AS medicine_id, id AS prescription_id,
     CAST(fee AS VARCHAR) AS total_amount, id AS consultation_id, doctor_id, user_text AS patient_id
     FROM ev, (VALUES (1), (2)) AS l(line) WHERE event_type = 'click'"""
 _EACH_FACT = {name: ORACLE[f"fact_{name}"] for name in FACTS if not name.startswith("prescription")} | {
-    "prescription": f"WITH {EV} {_TREATED.format(seconds=2, time='prescription_time')}",
-    "prescription_paid": f"WITH {EV} {_TREATED.format(seconds=60, time='prescription_pay_suc_time')}",
+    "prescription": f"WITH {EV} {_TREATED.format(after='2 SECONDS', time='prescription_time')}",
+    "prescription_paid": f"WITH {EV} {_TREATED.format(after='60 SECONDS', time='prescription_pay_suc_time')}",
 }
+# Details of even prescriptions arrive 2 seconds after them, those of odd ones 20.
+ORACLE["stream_arrival_ttl"] = f"WITH {EV} {_TREATED.format(after='90 DAYS', time='prescription_time')} AND event_id % 2 = 0"
 ORACLE["facts_from_json"] = " UNION ALL ".join(
     f"SELECT '{name}' AS fact, id, concat_ws('|', {', '.join(f'coalesce({c}, {chr(39) * 2})' for c in FACTS[name].columns)}) AS fields FROM ({sql})"
     for name, sql in _EACH_FACT.items()

@@ -603,9 +603,13 @@ def facts_from_json(spark, folder):
 
 
 def stream_first_row(spark, folder):
-    """Users seen, each once, in a stream."""
-    events = stream_table(spark, folder, "events").select("user_id", "event_type")
-    return run_to_table(first_row(events, ["user_id", "event_type"]), "first")
+    """The first event of each user and kind as they arrive in a stream, whole rows."""
+
+    def build(events: DataFrame) -> DataFrame:
+        named = events.select("user_id", "event_type", "event_id", F.date_format("ts", MICROS).alias("seen"), "value")
+        return first_row(named, ["user_id", "event_type"])
+
+    return run_in_slices(slices_in_order(table(spark, folder, "events")), build, "first")
 
 
 def stream_fact_prescription(spark, folder):
@@ -619,6 +623,12 @@ def fact_prescription_within(spark, folder):
     return build_fact("prescription", ods(spark, folder), ttl=60 * DAY)
 
 
+def stream_arrival_ttl(spark, folder):
+    """Prescriptions and details that arrive within 5 seconds of each other, whatever their own times, which lie three months apart."""
+    log = ods_treatments(stream_table(spark, folder, "events"), details_after="90 DAYS", arrived=True)
+    return run_to_table(build_fact("prescription", log, arrival="arrived"), "arrival")
+
+
 def stream_ttl_join(spark, folder):
     """Join of two streams that keep each row for a day."""
     events = stream_table(spark, folder, "events")
@@ -718,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "stream_first_row": stream_first_row,
     "stream_ttl_join": stream_ttl_join,
     "stream_fact_prescription": stream_fact_prescription,
+    "stream_arrival_ttl": stream_arrival_ttl,
     "stream_summary_prescription": stream_summary_of_treatments("prescription"),
     "stream_summary_prescription_paid": stream_summary_of_treatments("prescription_paid"),
     "stream_summary_reviews": stream_summary_reviews,

@@ -304,7 +304,24 @@ def test_store_reads_only_some_keys(spark, folder):
     put(spark, store, 1, *(("update", str(n), {"name": f"m{n}"}, n + 50) for n in range(4)))
     keys = spark.createDataFrame([("2",), ("7",), ("2",), (None,)], "patient string")
     assert names(store, only=keys) == [("2", "m2"), ("7", "n7")]
-    assert "LeftSemi" in plan_of(store.read("dim_patient", ["name"], only=keys))
+    plan = plan_of(store.read("dim_patient", ["name"], only=keys))
+    assert "LeftSemi" in plan and "bucket" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_a_read_of_a_few_keys_opens_their_part_of_the_snapshot(spark, folder):
+    store = store_of(spark, folder, [("insert", str(n), {"name": f"n{n}"}, n) for n in range(500)])
+    store.compact()
+    keys = spark.createDataFrame([("2",), ("7",)], "patient string")
+    opened = lambda only: store._log(1, [], only).select(F.input_file_name().alias("f")).distinct().count()
+    assert opened(keys) == len({r.b for r in keys.select(F.pmod(F.xxhash64("patient"), F.lit(16)).alias("b")).collect()}) <= 2
+    assert opened(None) == 16
+    assert names(store, only=keys) == [("2", "n2"), ("7", "n7")]
+    other = DimensionStore(spark, folder, buckets=3)  # from the next snapshot on
+    assert names(other, only=keys) == [("2", "n2"), ("7", "n7")]
+    put(spark, other, 1, ("update", "7", {"name": "m7"}, 900))
+    other.compact()
+    assert names(store, only=keys) == [("2", "n2"), ("7", "m7")]
+    assert names(store, only=keys.limit(0)) == []
 
 
 def test_a_missing_store_is_an_error(spark, folder):

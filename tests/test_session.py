@@ -1,3 +1,7 @@
+from types import SimpleNamespace
+
+import pytest
+
 from careflow.session import working_folder
 
 
@@ -22,6 +26,15 @@ def test_otherwise_it_lies_in_the_warehouse():
     assert working_folder(session, "x").startswith("hdfs:///warehouse/_work/x-")
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    session = Session(spark__sql__warehouse__dir="file:/home/spark-warehouse", spark__master="yarn")
+    session.sparkContext = SimpleNamespace(master="yarn")
+    with pytest.raises(ValueError, match="checkpoint"):
+        working_folder(session, "x")
+    session.sparkContext.master = "local[2]"
+    assert working_folder(session, "x").startswith("file:/home/spark-warehouse/_work/x-")
+
+
 def test_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Shanghai"
