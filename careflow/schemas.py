@@ -35,6 +35,9 @@ GOOD_RATING = 5
 
 MONEY = T.DecimalType(16, 2)
 
+# Order of changes: wide enough for time, partition and offset of a record.
+ORDER = T.DecimalType(38, 0)
+
 
 def texts(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])

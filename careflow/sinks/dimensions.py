@@ -7,13 +7,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from careflow.operators.routing import route_versions, table_lifecycle
 from careflow.operators.upsert import apply_changes
+from careflow.schemas import ORDER
 from careflow.sinks.files import Folders
 from careflow.sinks.runs import PLACE, STAGING, Turn, folder_of, write_once
 
-_ROUTED = "row_key string, type string, data map<string,string>, seq long, born long"
+_ROUTED = f"row_key string, type string, data map<string,string>, seq {ORDER.simpleString()}, born {ORDER.simpleString()}"
 _CHANGES = f"{_ROUTED}, sink_table string"
 
 # Changes that carry no column: what is left of a put whose columns have all been written later.
@@ -55,12 +57,13 @@ class DimensionStore:
 
     def append(self, routed: DataFrame, batch: int, run: str = "", lifecycle: DataFrame | None = None, streamed: bool = False) -> None:
         """Keeps what :func:`careflow.operators.route` gives. ``lifecycle`` tells the drops known when it was routed."""
-        rows = routed.select("sink_table", "row_key", "type", "data", F.col("seq").cast("long").alias("seq"))
+        rows = routed.select("sink_table", "row_key", "type", "data", F.col("seq").cast(ORDER).alias("seq"))
+        never = F.lit(_FROM_THE_START).cast(ORDER)
         if lifecycle is None:
-            rows = rows.withColumn("born", F.lit(_FROM_THE_START).cast("long"))
+            rows = rows.withColumn("born", never)
         else:
-            drops = lifecycle.select(F.col("sink_table").alias("_table"), F.col("last_drop_seq").cast("long").alias("born"))
-            rows = rows.join(drops, F.col("sink_table") == F.col("_table"), "left").drop("_table").fillna(_FROM_THE_START, "born")
+            drops = lifecycle.select(F.col("sink_table").alias("_table"), F.col("last_drop_seq").cast(ORDER).alias("_drop"))
+            rows = rows.join(drops, F.col("sink_table") == F.col("_table"), "left").withColumn("born", F.coalesce("_drop", never))
         turn = Turn(run or "direct", batch, streamed)
         write = lambda folder: rows.select(*_names(_CHANGES)).write.partitionBy("sink_table").parquet(folder)
         write_once(self.spark, f"{self.root}/changes", turn, write, self.spark.read.schema(_CHANGES).parquet)
@@ -78,8 +81,8 @@ class DimensionStore:
             position = noted[0].removeprefix("position=")
         else:
             config = read_config()
-            last = config.agg(F.max("seq").cast("long"), F.count(F.lit(1))).first()
-            position = f"{-1 if last[0] is None else last[0]:020d}-{last[1]:012d}"
+            last = config.agg(F.max("seq"), F.count(F.lit(1))).first()
+            position = f"{-1 if last[0] is None else int(last[0]):039d}-{last[1]:012d}"
             self._keep_config(position, config, preloaded)
             self.folders.make(f"{notes}/position={position}")
             self._forget_notes(turn)
@@ -237,4 +240,4 @@ class DimensionStore:
 
 
 def _names(schema: str) -> list[str]:
-    return [field.split()[0] for field in schema.split(", ")]
+    return [field.name for field in T.StructType.fromDDL(schema).fields]

@@ -8,6 +8,7 @@ from careflow.sources.changelog import (
     read_landed,
     read_ods,
     read_topic,
+    record_order,
     rejected,
 )
 from careflow.sources.config import decode_config, read_landed_config, read_routes
@@ -25,5 +26,6 @@ __all__ = [
     "read_ods",
     "read_routes",
     "read_topic",
+    "record_order",
     "rejected",
 ]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from careflow.schemas import ENVELOPE
+from careflow.schemas import ENVELOPE, ORDER
 from careflow.functions import event_time
 from careflow.sinks.runs import Turn, in_batches, without_place, write_once
 
@@ -26,9 +26,8 @@ def read_topic(
     """Raw text records in a column ``value``, from the earliest one, without tombstones.
 
     ``format`` is ``kafka`` (options as Spark's Kafka source takes them) or ``text`` with a folder of
-    line-delimited files. Kafka adds ``seq``, the place of the record within its partition: a producer
-    that keys records by primary key keeps all changes of one row in one partition, in order. With other
-    producers, and with text, name the field of the records that holds their ``order``, a whole number that
+    line-delimited files. Kafka adds ``seq``, the order of the record among those of all partitions, see
+    :func:`record_order`. With text, name the field of the records that holds their ``order``, a whole number that
     counts up over the whole log; it becomes ``seq``.
 
     ``arrival`` names a further column with the time at which a record came in: Kafka's own, and else that of the
@@ -42,12 +41,22 @@ def read_topic(
     if order is not None:
         columns.append(F.get_json_object("value", f"$.{order}").try_cast("long").alias("seq"))
     elif format == "kafka":
-        columns.append(F.col("offset").alias("seq"))
+        columns.append(record_order().alias("seq"))
     if arrival is not None:
         columns.append((F.col("timestamp") if format == "kafka" else F.current_timestamp()).alias(arrival))
     return drop_tombstones(raw.select(*columns))
 
 
+def record_order() -> Column:
+    """One number that orders the records of all partitions of a topic: by their time, then partition and offset.
+
+    Records of one partition with times that do not go back, as brokers give them, keep their order; a row or a route
+    whose changes lie in several partitions has them in the order of their times.
+    """
+    parts = ((F.unix_millis("timestamp"), 13), (F.col("partition"), 6), (F.col("offset"), 19))
+    return F.concat(*(F.lpad(part.cast("string"), digits, "0") for part, digits in parts)).cast(ORDER)
+
+
 def drop_tombstones(topic: DataFrame) -> DataFrame:
     return topic.where(F.length("value") > 0)
 

@@ -352,6 +352,8 @@ ORACLE["fact_prescription_within"] = ORACLE["fact_prescription"] + """ JOIN orde
     WHERE det.ts BETWEEN o_orderdate - INTERVAL 60 DAY AND o_orderdate + INTERVAL 60 DAY"""
 ORACLE["stream_fact_prescription"] = ORACLE["fact_prescription_within"]
 
+ORACLE["config_two_partitions"] = ORACLE["config_latest"]
+ORACLE["dim_two_partitions"] = f"SELECT row_key, a, b FROM ({ORACLE['dim_upsert_latest']})"
 ORACLE["stream_routes_replayed"] = ORACLE["stream_dimensions"]
 ORACLE["config_versions"] = f"""WITH {CONFIG}, steps AS (
     SELECT seq, old_key AS k, 0 AS live, NULL AS sink_table, NULL AS sink_columns FROM config

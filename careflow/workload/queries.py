@@ -8,7 +8,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careflow.functions import (
@@ -53,6 +53,7 @@ from careflow.sources import (
     read_landed_config,
     read_routes,
     read_topic,
+    record_order,
     rejected,
 )
 from careflow.schemas import ROUTE_COLUMNS, texts
@@ -186,6 +187,25 @@ def dim_upsert_latest(spark, folder):
     return apply_changes(order_changes(spark, folder), ["a", "b"])
 
 
+def partitioned(order: str, partition: str) -> Column:
+    """Order of records in two partitions whose times count up together and whose offsets do not."""
+    offset = F.expr(f"{order} + CASE {partition} WHEN 0 THEN 1000000000 ELSE 0 END")
+    time = F.timestamp_millis(F.expr(order))
+    return F.struct(time.alias("timestamp"), F.expr(partition).alias("partition"), offset.alias("offset"))
+
+
+def config_two_partitions(spark, folder):
+    """Routes whose changes lie in two partitions of their topic."""
+    records = config_changes(spark, folder).select("value", partitioned("seq", "seq % 2").alias("r")).select("value", "r.*")
+    return latest_routes(decode_config(records.select("value", record_order().alias("seq"))))
+
+
+def dim_two_partitions(spark, folder):
+    """Rows whose changes lie in two partitions of the log."""
+    records = order_changes(spark, folder).select("*", partitioned("seq", "seq % 2").alias("r")).select("row_key", "type", "a", "b", "r.*")
+    return apply_changes(records.withColumn("seq", record_order()), ["a", "b"]).drop("seq")
+
+
 def dim_delete(spark, folder):
     return deleted_keys(order_changes(spark, folder))
 
@@ -666,6 +686,8 @@ QUERIES: dict[str, Query] = {
     "dim_store_some_keys": dim_store_some_keys,
     "config_preloaded": config_preloaded,
     "config_versions": config_versions,
+    "config_two_partitions": config_two_partitions,
+    "dim_two_partitions": dim_two_partitions,
     "stream_routes_replayed": stream_routes_replayed,
     "stream_dimensions": stream_dimensions,
     "summary_two_runs": summary_two_runs,

@@ -14,6 +14,7 @@ from careflow.sources import (
     read_ods,
     read_routes,
     read_topic,
+    record_order,
     rejected,
 )
 from tests.conftest import plan_of, rows
@@ -67,6 +68,14 @@ def test_other_columns_stay(spark):
     assert decode_envelope(source).columns == ["seq", "database", "table", "type", "data", "old"]
 
 
+def test_order_of_records_in_several_partitions(spark):
+    """By time, then partition, then offset, in one number."""
+    records = [(1704067200123, 0, 9), (1704067200123, 0, 10), (1704067200123, 1, 2), (1704067200124, 0, 3), (1704067200124, 999999, 9223372036854775807)]
+    made = spark.createDataFrame(records, "ms long, partition int, offset long").withColumn("timestamp", F.timestamp_millis("ms"))
+    got = made.repartition(3).withColumn("seq", record_order()).orderBy("seq").select("ms", "partition", "offset").collect()
+    assert [tuple(r) for r in got] == records and made.where(record_order().isNull()).count() == 0
+
+
 def test_text_files_as_topic(spark, folder):
     spark.createDataFrame([(json.dumps(CHANGE),), ("",)], "value string").write.text(f"{folder}/in")
     assert read_topic(spark, format="text", path=f"{folder}/in").count() == 1
