@@ -17,12 +17,12 @@ from careflow.llm.shared import text_of
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noframes ol optgroup option p pre search "
-    "section select summary table tbody td tfoot th thead title tr ul".split()
+    "section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
     "head script style template noscript noframes iframe object svg math canvas audio video map datalist select textarea button "
-    "form fieldset nav aside footer menu dialog search title".split()
+    "form fieldset label nav aside footer menu dialog search title".split()
 )
 #: Words in a class, id or role that mark a part of the page as no article text.
 SIDE_WORDS = frozenset(
@@ -30,14 +30,18 @@ SIDE_WORDS = frozenset(
     "navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars aside rail widget widgets footer foot masthead "
     "topbar toolbar header cookie cookies consent gdpr notice notices notification alert disclaimer copyright popup modal overlay "
     "newsletter subscribe subscription signup login share sharing social follow related recommended recommendations trending popular "
-    "comment comments commentlist reply replies respond disqus discussion form search skip toc complementary contentinfo dialog "
-    "hidden".split()
+    "comment comments commentlist reply replies respond responses disqus discussion feedback form search skip toc complementary "
+    "contentinfo dialog secondary hidden".split()
 )
 #: Side words that hold for comments, advertisements and teasers also beside main words.
 CERTAIN_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements sponsor sponsored sponsors promo promos related recommended recommendations "
-    "comment comments commentlist reply replies respond disqus cookie cookies consent gdpr".split()
+    "comment comments commentlist reply replies respond responses disqus feedback cookie cookies consent gdpr".split()
 )
+#: Side words that leave out the text of an inline element as well, besides the certain ones.
+INLINE_WORDS = frozenset("share sharing social subscribe newsletter login signup banner hidden".split())
+#: Names written as one word that begin so are advertisements.
+JOINED = re.compile(r"(?:promo|advert|sponsor|ad(?=box|slot|unit|banner|block|space|wrap|wrapper|container|zone|area|text)).+")
 #: Side words that inside an article may as well be its matter; the ratios of the lines decide.
 DOUBTFUL_WORDS = frozenset("discussion popular trending notice notices notification alert disclaimer copyright form search rail follow foot dialog skip".split())
 #: Before a side word these say what a page has or lacks, not what the element is.
@@ -63,12 +67,19 @@ ALONE, ABOVE = 25, 3
 ENDS_P = BLOCKS - {"body", "head", "html", "title", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"} | {"li", "dd", "dt"}
 
 
+#: What an open element is: part of the content, in a block of side matter, or in side matter within a line, whose text goes.
+CONTENT, SIDE_BLOCK, SIDE_RUN = range(3)
+
+
 class Lines(HTMLParser):
-    """Turns parser events into lines: text between block boundaries, with its tags, links and open elements."""
+    """Turns parser events into lines: text between block boundaries, with its tags, links and open elements.
+
+    Text of side matter within a line, such as a button, doesn't enter the line.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # name, number, whether it or one around it is side matter
+        self.open: list[tuple[str, int, int]] = [("", 0, CONTENT)]  # name, number, what it or one around it is
         self.count = 0
         self.parents = {0: 0}
         self.names = {0: ""}
@@ -82,7 +93,7 @@ class Lines(HTMLParser):
     def end_line(self) -> None:
         text = _BLANK.sub(" ", "".join(self.text)).strip()
         if text:
-            self.rows.append((text, self.tags, self.linked, self.open[-1][1], self.open[-1][2]))
+            self.rows.append((text, self.tags, self.linked, self.open[-1][1], self.open[-1][2] != CONTENT))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -97,7 +108,7 @@ class Lines(HTMLParser):
         said = dict(attrs)
         if "hidden" in said or (said.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", (said.get("style") or "").lower()):
             return True
-        names = [set(_WORD.findall(name)) for k in ("class", "id", "role") for name in (said.get(k) or "").lower().split()]
+        names = [{JOINED.sub("ad", word) for word in _WORD.findall(name)} for k in ("class", "id", "role") for name in (said.get(k) or "").lower().split()]
         side = set().union(*(n & SIDE_WORDS for n in names if not n & MODIFIERS))
         if inside:
             side -= {"header", "body", "text"}
@@ -105,13 +116,16 @@ class Lines(HTMLParser):
             return False
         if not side & CERTAIN_WORDS and any(n and n <= MAIN_WORDS for n in names):
             return False
+        if tag not in BLOCKS:
+            return bool(side & (CERTAIN_WORDS | INLINE_WORDS))
         self.doubtful[self.count] = (bool(side & CERTAIN_WORDS), inside and side <= DOUBTFUL_WORDS)
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCKS:
-            self.end_line()
+            if self.open[-1][2] != SIDE_RUN:
+                self.end_line()
             if tag in ENDS_P:
                 self.close_implied({"p"}, BLOCKS - {"p"})
             if tag in CLOSES:
@@ -123,7 +137,10 @@ class Lines(HTMLParser):
         self.links += tag == "a"
         self.count += 1
         self.parents[self.count], self.names[self.count] = self.open[-1][1], tag
-        self.open.append((tag, self.count, self.open[-1][2] or self.is_side(tag, attrs)))
+        around = self.open[-1][2]
+        if around == CONTENT and self.is_side(tag, attrs):
+            around = SIDE_BLOCK if tag in BLOCKS else SIDE_RUN
+        self.open.append((tag, self.count, around))
 
     def close_implied(self, names: set[str], fence: frozenset[str] | set[str]) -> None:
         """Ends the innermost open element of these names, unless an element of the fence lies further in."""
@@ -134,6 +151,10 @@ class Lines(HTMLParser):
             if self.open[i][0] in fence:
                 return
 
+    def inside_run(self, tag: str) -> bool:
+        """Whether the innermost open element of a name lies in side matter within the line."""
+        return next((around == SIDE_RUN for name, _, around in reversed(self.open) if name == tag), True)
+
     def cut(self, i: int) -> None:
         self.links -= sum(name == "a" for name, _, _ in self.open[i:])
         del self.open[i:]
@@ -145,17 +166,17 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        if tag in BLOCKS:
+        if tag in BLOCKS and not (self.open[-1][2] == SIDE_RUN and self.inside_run(tag)):
             self.end_line()
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
                 self.cut(i)
                 return
-            if tag not in BLOCKS and self.open[i][0] in BLOCKS:
+            if tag not in BLOCKS and self.open[i][0] in BLOCKS and self.open[i][2] != SIDE_RUN:
                 return  # the end of an inline element doesn't end the blocks around it
 
     def handle_data(self, data: str) -> None:
-        if self.open[-1][0] in ("script", "style"):
+        if self.open[-1][0] in ("script", "style") or self.open[-1][2] == SIDE_RUN:
             return
         self.text.append(data)
         if self.links:
@@ -232,7 +253,7 @@ def main_text(html: str | None) -> str:
 
     Lines in the upper cluster of text-to-tag ratios choose the containers: each one that holds such a line directly is
     taken with its other direct lines, and with what lies deeper if half of its text is in such lines. Lines that are
-    mostly links go unless they are paragraphs. Headings above a taken line, and the few lines between, are taken too.
+    mostly links go, unless they are paragraphs or stand in an article among lines that mostly aren't. Headings above a taken line, and the few lines between, are taken too.
     Article and main are hints: a line outside them needs ALONE characters, and one of them is taken if no container is.
     """
     if not html:
@@ -253,6 +274,15 @@ def main_text(html: str | None) -> str:
     rows = without_side(parser, paths)
     upper = content_lines(rows)
     linkish = [2 * linked > len(text) and "p" not in (parser.names[n] for n in chain[:3]) for (text, _, linked, _, _), chain in zip(rows, chains, strict=True)]
+    beside: dict[int, list[int]] = {}  # for each element its lines, text and linked text
+    for text, _, linked, _, _, chain in ((*row, chain) for row, chain in zip(rows, chains, strict=True)):
+        for n in chain:
+            lines_in, size, links_in = beside.get(n, (0, 0, 0))
+            beside[n] = [lines_in + 1, size + len(text), links_in + linked]
+    for i, chain in enumerate(chains):
+        if linkish[i] and any(parser.names[n] in ("article", "main") for n in chain):
+            _, size, links_in = next((beside[n] for n in chain if beside[n][0] > 1), beside[chain[0]])
+            linkish[i] = 2 * links_in > size
     home = [next((n for n in chain if parser.names[n] in CONTAINERS), 0) for chain in chains]
     weight: dict[int, int] = {}
     plain: dict[int, int] = {}

@@ -40,6 +40,50 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+PARAGRAPH = "A paragraph of the article that is long enough to count as its text, with some words more."
+
+
+@pytest.mark.parametrize(
+    "inline",
+    [
+        "<button>Share</button>", "<noscript>Turn it on</noscript>", "<svg><text>Icon</text></svg>", "<textarea>Type here</textarea>",
+        "<iframe>Frame</iframe>", "<span hidden>Never</span>", '<span style="display: none">Never</span>', '<span class="advertisement">Buy</span>',
+        '<a class="ad" href=x>Buy</a>', "<select><option>One</select>", "<label>Your mail</label>", '<span class="share-links">Share <b>this</b></span>',
+        '<a class="adbox" href=x>Buy</a>', "<button>a <i>b</i></button>",
+    ],
+)
+def test_side_matter_within_a_line(inline):
+    assert main_text(f"<article><p>{PARAGRAPH} {inline} and on.</p><p>{PARAGRAPH}</p></article>") == f"{PARAGRAPH} and on.\n{PARAGRAPH}"
+
+
+def test_buttons_and_labels_outside_forms():
+    assert main_text(f"<article><p>{PARAGRAPH}</p></article><button>B</button><label>Your mail</label>") == PARAGRAPH
+
+
+@pytest.mark.parametrize("kept", ['<span class="notice">n</span>', "<b>n</b>", '<span class="text-header">n</span>', '<em class="has-ads">n</em>'])
+def test_inline_elements_that_stay(kept):
+    assert main_text(f"<article><p>{PARAGRAPH} {kept} end</p></article>") == f"{PARAGRAPH} n end"
+
+
+def test_linked_lines_of_an_article():
+    items = "<ul><li>first kept item</li><li><a href=x>linked item text</a></li><li>third kept item</li></ul>"
+    page = f"<article><p>{PARAGRAPH}</p>{items}<div><a href=y>A block that is a link</a></div><p>{PARAGRAPH}</p></article>"
+    assert main_text(page) == f"{PARAGRAPH}\nfirst kept item\nlinked item text\nthird kept item\nA block that is a link\n{PARAGRAPH}"
+    menu = "<ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul>"
+    assert main_text(f"<div>{menu}</div><article><p>{PARAGRAPH}</p></article>{menu}") == PARAGRAPH
+
+
+@pytest.mark.parametrize("name", ['class="user-responses"', 'class="reader-feedback"', 'class="promobox"', 'id="adbox"', 'id="secondary"', 'class="adslot-1"'])
+def test_names_of_comments_and_advertisements(name):
+    side = f"<div {name}><p>{PARAGRAPH}</p></div>"
+    assert main_text(f"<div class='wrap'><div class='story'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>{side}</div>") == f"{PARAGRAPH}\n{PARAGRAPH}"
+
+
+@pytest.mark.parametrize("name", ["adventure", "address", "admin", "promote-less advice", "adaptation"])
+def test_names_that_begin_alike(name):
+    assert main_text(f"<article><div class='{name.split()[-1]}'><p>{PARAGRAPH}</p></div></article>") == PARAGRAPH
+
+
 def test_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, extract(pages).collect()), key=repr)
