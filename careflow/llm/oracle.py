@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from careflow.llm.chat_formatting import CLOSING, OTHER_HEADER, OWN_HEADER
-from careflow.llm.decontamination import AGREE, WINDOW
+from careflow.llm.decontamination import AGREE, SHORT, WINDOW
 from careflow.llm.license_scan import COVER, GRAM, NOTICES, PHRASES, SHIFT
 from careflow.llm.quality_rules import MIN_WORDS, OWN_ROWS, POOL_ROWS, REPEATED
 
@@ -131,14 +131,12 @@ FROM placed
 
 def decontamination() -> str:
     return f"""
-WITH items AS (
-  SELECT min(item_id) AS item_id, w FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM benchmark)
-  GROUP BY w),
+WITH items AS (SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM benchmark),
 docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM documents),
 item_words AS (SELECT item_id, len(w) AS size, unnest(range(len(w))) AS t, unnest(w) AS word FROM items),
 doc_words AS (SELECT doc_id, len(w) AS n, unnest(range(len(w))) AS p, unnest(w) AS word FROM docs),
 same AS (SELECT doc_id, item_id, size, n, p - t AS diagonal, t FROM doc_words JOIN item_words USING (word)),
-dense AS (SELECT doc_id, item_id, diagonal FROM same GROUP BY doc_id, item_id, diagonal HAVING count(*) >= least({AGREE}, min(size))),
+dense AS (SELECT doc_id, item_id, diagonal FROM same GROUP BY doc_id, item_id, diagonal HAVING count(*) >= least({AGREE}, min(size) - CASE WHEN min(size) > {SHORT} THEN min(size) * {WINDOW - AGREE} // {WINDOW} ELSE 0 END)),
 windows AS (
   SELECT s.*, count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY t RANGE BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS agree,
          least(size, n - diagonal) - greatest(0, -diagonal) AS compared
@@ -147,7 +145,8 @@ places AS (
   SELECT doc_id, item_id, diagonal, count(*) AS n_agree, min(compared) AS n_compared, greatest(diagonal, 0) AS first_word
   FROM windows GROUP BY doc_id, item_id, diagonal
   HAVING (min(compared) >= {WINDOW} AND max(agree) >= {AGREE})
-      OR (min(size) < {WINDOW} AND min(size) > 4 AND min(compared) = min(size) AND count(*) = min(size))),
+      OR (min(size) < {WINDOW} AND min(compared) = min(size)
+          AND count(*) >= min(size) - CASE WHEN min(size) > {SHORT} THEN min(size) * {WINDOW - AGREE} // {WINDOW} ELSE 0 END)),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_agree DESC, diagonal) AS place FROM places)
 SELECT doc_id, item_id, n_agree::BIGINT AS n_agree, n_compared::BIGINT AS n_compared, first_word::BIGINT AS first_word FROM best WHERE place = 1
 """
