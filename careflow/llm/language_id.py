@@ -19,8 +19,11 @@ UNDETERMINED = "und"
 #: Bytes of a window, widths of the filters in bytes, filters of each width and numbers that stand for a byte.
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4, 5), 12, 8
 
-#: Bounds of the labelled sample: rows of each language, rows in all, windows of a row.
-LANGUAGE_ROWS, SAMPLE_ROWS, ROW_WINDOWS = 600, 20_000, 8
+#: Bounds of the labelled sample: languages (those with most rows), rows of each, rows in all, windows of a row.
+LANGUAGES, LANGUAGE_ROWS, SAMPLE_ROWS, ROW_WINDOWS = 1000, 600, 20_000, 8
+
+#: Rows of a language, in LANGUAGE_ROWS, among which its sample is chosen.
+SPARE = 4
 
 #: Training steps, windows of a step, step size.
 STEPS, BATCH, RATE = 500, 64, 0.005
@@ -40,13 +43,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], list[bytes], np.ndarray]:
     """Languages, windows and the language of each window, from a bounded number of labelled rows.
 
-    Of each language the rows with the smallest hashes are taken; each task keeps as many before the shuffle. A
-    row gives windows spread evenly over its whole text.
+    Of each language the rows with the smallest hashes are taken. How many rows it has gives a bound that only some more
+    hashes than needed are under, so few texts are moved however many there are. A row gives windows spread evenly over
+    its whole text.
     """
-    rows = docs.where(F.col(lang).isNotNull() & ~held_out()).select(F.col(lang).cast("string").alias("lang"), F.lower(text_of(text)).alias("text"), F.xxhash64("doc_id", text).alias("hash"))
+    learnable = docs.where(F.col(lang).isNotNull() & ~held_out())
+    sizes = learnable.groupBy(F.col(lang).cast("string").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = learnable.select(F.col(lang).cast("string").alias("lang"), F.lower(text_of(text)).alias("text"), F.xxhash64("doc_id", text).alias("hash"))
+    share = F.shiftrightunsigned("hash", 1) / F.lit(2.0**63)
+    sizes = sizes.orderBy(F.desc("_n"), "_lang").limit(LANGUAGES)
+    rows = rows.join(F.broadcast(sizes), rows["lang"] == sizes["_lang"]).withColumn("share", share).where(F.col("share") * F.col("_n") < SPARE * LANGUAGE_ROWS)
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text"))
-    few = rows.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).orderBy("rank", "lang", "hash", "text").limit(SAMPLE_ROWS)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("share", "text"))
+    few = rows.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).orderBy("rank", "lang", "share", "text").limit(SAMPLE_ROWS)
     data = F.encode("text", "UTF-8")
     last = F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
     starts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(ROW_WINDOWS - 1)), lambda i: (last * i / (ROW_WINDOWS - 1)).cast("int") + 1))
@@ -191,8 +200,8 @@ def recognised(texts: list[str | None], network: Network | None, languages: list
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """For each document the language its text is most probably in: doc_id, held_out, lang_pred, score.
 
-    The network learns from a bounded sample of rows with a language that are not held out (LANGUAGE_ROWS of each language,
-    SAMPLE_ROWS in all); predictions see the text alone. All windows of a text are judged, whatever its length, and ``score`` is
+    The network learns from a bounded sample of rows with a language that are not held out (LANGUAGE_ROWS of each of the LANGUAGES most
+    frequent languages, SAMPLE_ROWS in all); predictions see the text alone. All windows of a text are judged, whatever its length, and ``score`` is
     the mean probability of the language given. A text that is null, empty or has no letter is ``und`` with score 0, and so
     is every text where no row has a language to learn. Ids may be null or repeat; repeated rows are each judged; of tied
     languages the first by name is given. Other columns of the input are left out whatever their names. An empty
