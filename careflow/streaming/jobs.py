@@ -7,12 +7,13 @@ started again goes on where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from careflow.operators.lookup import lookup_hot
 from careflow.operators.routing import route
 from careflow.plans.facts import FACTS, build_fact
 from careflow.plans.summaries import (
@@ -108,6 +109,35 @@ def facts_job(
     return [query for query in queries if query is not None]
 
 
+def lookup_job(
+    rows: DataFrame,
+    read_dim: Callable[[], DataFrame],
+    on: str,
+    columns: Mapping[str, str],
+    path: str,
+    key: str = "id",
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    run: str | None = None,
+    **how,
+) -> StreamingQuery | None:
+    """Adds dimension columns to a stream and keeps the rows as parquet for streams further down.
+
+    Dimensions are read anew for every micro-batch, by ``read_dim``, and the hot keys of each micro-batch are spread, see
+    :func:`careflow.operators.lookup_hot`, which ``how`` goes to.
+    """
+
+    def save(batch: DataFrame, turn: Turn) -> None:
+        batch.persist()
+        try:
+            found = lookup_hot(batch, read_dim(), on, columns, key, **how)
+            write_once(batch.sparkSession, path, turn, found.write.parquet, batch.sparkSession.read.schema(found.schema).parquet)
+        finally:
+            batch.unpersist()
+
+    return in_batches(rows, save, checkpoint, trigger, run)
+
+
 def summary_job(
     name: str,
     topic: DataFrame,

@@ -352,6 +352,7 @@ ORACLE["fact_prescription_within"] = ORACLE["fact_prescription"] + """ JOIN orde
     WHERE det.ts BETWEEN o_orderdate - INTERVAL 60 DAY AND o_orderdate + INTERVAL 60 DAY"""
 ORACLE["stream_fact_prescription"] = ORACLE["fact_prescription_within"]
 
+ORACLE["stream_lookup_hot_keys"] = ORACLE["lookup_doctor_hospital"]
 ORACLE["config_two_partitions"] = ORACLE["config_latest"]
 ORACLE["dim_two_partitions"] = f"SELECT row_key, a, b FROM ({ORACLE['dim_upsert_latest']})"
 ORACLE["stream_routes_replayed"] = ORACLE["stream_dimensions"]

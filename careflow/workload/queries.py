@@ -42,6 +42,7 @@ from careflow.plans.facts import PAYLOAD_KEYS
 from careflow.plans.summaries import Windowing, with_age_group
 from careflow.session import working_folder
 from careflow.sinks import DimensionStore, json_rows, read_summary, write_summary
+from careflow.sinks.runs import without_place
 from careflow.sources import (
     decode_config,
     decode_envelope,
@@ -57,7 +58,7 @@ from careflow.sources import (
     rejected,
 )
 from careflow.schemas import ROUTE_COLUMNS, texts
-from careflow.streaming.jobs import dimension_job, fact_job, facts_job, read_fact, summary_job
+from careflow.streaming.jobs import dimension_job, fact_job, facts_job, lookup_job, read_fact, summary_job
 from careflow.workload.bindings import (
     AS_OF,
     MICROS,
@@ -643,6 +644,15 @@ def fact_prescription_within(spark, folder):
     return build_fact("prescription", ods(spark, folder), ttl=60 * DAY)
 
 
+def stream_lookup_hot_keys(spark, folder):
+    """Visits of a stream with their doctor's hospital; ten doctors hold all of them and are spread."""
+    base, doctors = working_folder(spark, "hot"), dimensions(spark, folder).doctor
+    visits = build_fact("consultation", ods(spark, folder, stream_table(spark, folder, "events"))).select("id", "doctor_id")
+    columns = {"hospital_id": "hospital_id"}
+    lookup_job(visits, lambda: doctors, "doctor_id", columns, f"{base}/rows", checkpoint=f"{base}/checkpoint", salts=8).awaitTermination()
+    return without_place(spark.read.parquet(f"{base}/rows"))
+
+
 def stream_arrival_ttl(spark, folder):
     """Prescriptions and details that arrive within 5 seconds of each other, whatever their own times, which lie three months apart."""
     log = ods_treatments(stream_table(spark, folder, "events"), details_after="90 DAYS", arrived=True)
@@ -751,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "stream_ttl_join": stream_ttl_join,
     "stream_fact_prescription": stream_fact_prescription,
     "stream_arrival_ttl": stream_arrival_ttl,
+    "stream_lookup_hot_keys": stream_lookup_hot_keys,
     "stream_summary_prescription": stream_summary_of_treatments("prescription"),
     "stream_summary_prescription_paid": stream_summary_of_treatments("prescription_paid"),
     "stream_summary_reviews": stream_summary_reviews,

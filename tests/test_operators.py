@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from careflow.operators import first_flag, first_row, interval_join, lookup, ttl_join, tumbling, with_bounds
+from careflow.operators import first_flag, first_row, hot_keys, interval_join, lookup, lookup_hot, ttl_join, tumbling, with_bounds
 from tests.conftest import plan_of, rows
 
 START = dt.datetime(2024, 1, 1, 12)
@@ -215,3 +215,16 @@ def test_window_aggregation_is_partial_before_the_shuffle(spark):
     timed = spark.range(10).select(F.timestamp_seconds("id").alias("event_time"))
     plan = plan_of(tumbling(timed, [F.count(F.lit(1)).alias("n")]))
     assert "partial_count" in plan.split("Exchange")[1]
+
+
+def test_only_hot_keys_are_spread(spark):
+    """Two keys with a third of the rows each, nulls, keys without a match; the rest of the dimension is not repeated."""
+    made = [(n, "a" if n % 3 == 0 else "b" if n % 3 == 1 else None if n % 50 == 2 else f"k{n}") for n in range(3000)]
+    rows_of = spark.createDataFrame(made, "n int, k string").repartition(5)
+    dim = spark.createDataFrame([("a", 1), ("b", 2), *((f"k{n}", n) for n in range(0, 3000, 2))], "id string, v int")
+    assert sorted(hot_keys(rows_of, "k", 0.1)) == ["a", "b"]
+    got = lookup_hot(rows_of, dim, "k", {"v": "v"}, share=0.1, salts=16)
+    assert rows(got) == rows(lookup(rows_of, dim, "k", {"v": "v"})) and got.columns == ["n", "k", "v"]
+    assert hot_keys(rows_of.where("n < 0"), "k") == [] and lookup_hot(rows_of.limit(0), dim, "k", {"v": "v"}).count() == 0
+    repeated = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+    assert "explode" in repeated and "CASE WHEN" in repeated
