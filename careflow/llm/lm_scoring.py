@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,23 +27,6 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """How often each word stands in the corpus. Tasks count their own part first."""
-
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        counts: Counter[str] = Counter()
-        table = lambda: pd.DataFrame({"word": pd.Series(list(counts), dtype=object), "n": list(counts.values())})
-        for batch in batches:
-            for value in batch["text"]:
-                counts.update(words(value))
-                if len(counts) > AT_ONCE:
-                    yield table()
-                    counts.clear()
-        yield table()
-
-    return docs.select(text_of(text).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 class Words:
     """Numbers of all words, their hashes of 64 bits; 0 stands for a text's start."""
 
@@ -65,30 +46,8 @@ class Words:
         return np.array(out, np.int64)
 
 
-class Vocabulary:
-    """Numbers of words: 0 for a text's start, then frequent words, then classes of the others."""
-
-    def __init__(self, frequent: list[str], classes: int) -> None:
-        self.frequent = {w: i + 1 for i, w in enumerate(frequent)}
-        self.first_class, self.classes = len(frequent) + 1, classes
-        self.size = self.first_class + classes
-        self.known: dict[str, int] = {}
-
-    def numbers(self, text: str) -> np.ndarray:
-        if len(self.known) > AT_ONCE or not self.known:
-            self.known = dict(self.frequent)
-        known, out = self.known, [0]
-        for w in words(text):
-            n = known.get(w)
-            if n is None:
-                n = known[w] = self.first_class + xxhash.xxh3_64_intdigest(w) % self.classes
-            out.append(n)
-        return np.array(out, np.int64)
-
-
-def bigrams(rows: DataFrame, vocabulary: Words | Vocabulary) -> DataFrame:
+def bigrams(rows: DataFrame) -> DataFrame:
     """For each row and pair of neighbours in it, how often the pair, its first word (as a first one), its second one and any word stand there."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
     names = ["_row", "is_target", "first", "second", "times", "begun", "ended", "n"]
 
     def pairs_of(n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -104,7 +63,7 @@ def bigrams(rows: DataFrame, vocabulary: Words | Vocabulary) -> DataFrame:
         return first[new], second[new], times, np.bincount(group)[group[new]], ended, np.full(len(new), len(first))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = Words()
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
 
@@ -130,34 +89,9 @@ def bigrams(rows: DataFrame, vocabulary: Words | Vocabulary) -> DataFrame:
     return rows.mapInArrow(count, "_row long, is_target boolean, first long, second long, times long, begun long, ended long, n long")
 
 
-class Model:
-    """The definition of a bigram model, as a square for small vocabularies; ``score`` works it out on tables.
-
-    It holds how often words follow words, brought to ``scale`` times the counts.
-    """
-
-    def __init__(self, counts: np.ndarray, scale: float, prior: float, floor: float) -> None:
-        single = counts.sum(axis=0, dtype=np.float64) * scale + floor
-        self.scale, self.prior = scale, prior
-        self.after = counts.sum(axis=1, dtype=np.float64) * scale
-        self.lean = (prior * single / single.sum()).astype(np.float32)
-        self.counts = counts.ravel()
-
-    def loss(self, pairs: np.ndarray, times: np.ndarray, size: int, is_own: bool) -> float:
-        """Bits a word of a text with these pairs; if the model has seen the text, as if it had not."""
-        first, second = np.divmod(pairs, size)
-        seen = times * (self.scale * is_own)
-        begun = np.bincount(first, weights=seen, minlength=size)[first]
-        over = np.maximum(self.counts[pairs] * self.scale - seen, 0) + self.lean[second]
-        under = np.maximum(self.after[first] - begun, 0) + self.prior
-        return float((-np.log2(over / under) * times).sum() / times.sum())
-
-
 def score(
     docs: DataFrame,
     labels: DataFrame,
-    frequent: int | None = None,
-    classes: int = 0,
     prior: float = PRIOR,
     floor: float = FLOOR,
     text: str = "text",
@@ -176,31 +110,25 @@ def score(
     The models are one table with a row for each pair of neighbours that the corpus has, which grows with it. It meets the
     pairs of each document by a shuffle; the driver gets three totals. A pair has one row in the models and one in each
     document that has it, so a hot pair brings no more rows than there are documents. Words are told apart by hashes of 64
-    bits. ``frequent`` limits the vocabulary to so many words and puts all others in ``classes`` classes; own counts are
-    then taken off both models' pairs, and off no single words.
+    bits.
 
     A null or empty text has no words, losses and score 0. Without good labels both models are uniform mixtures and
-    finite. Words that tie at the border of the frequent ones are taken in their order. Repeated rows count and are
-    scored each. Null ids match no label. Other columns are left out. An empty table gives an empty result.
+    finite. Repeated rows count and are scored each. Null ids match no label. Other columns are left out. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     folder = working_folder(spark)
-    vocabulary: Words | Vocabulary = Words()
-    if frequent is not None:
-        top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(frequent).select("word").collect()
-        vocabulary = Vocabulary([r.word for r in top], classes)
     rows = docs.select(row_id().alias("_id"), text_of(text).alias("text"))
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_good")).distinct()
     labelled = rows.join(good, rows["_id"] == good["_good"], "left").select("_id", "text", F.col("_good").isNotNull().alias("is_target"))
     labelled = kept(labelled.withColumn("_row", F.monotonically_increasing_id()), folder, "labelled")
-    grams = bigrams(labelled, vocabulary)
+    grams = bigrams(labelled)
 
     models = {"target": F.when(F.col("is_target"), F.col("times")).otherwise(0), "everything": F.col("times")}
     pairs = kept(grams.groupBy("first", "second").agg(*(F.sum(n).alias(m) for m, n in models.items())), folder, "pairs")
     by_first = pairs.groupBy("first").agg(*(F.sum(m).alias(f"{m}_after") for m in models))
     by_second = kept(pairs.groupBy("second").agg(*(F.sum(m).alias(f"{m}_single") for m in models)), folder, "words")
     seen = by_second.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(f"{m}_single"), F.lit(0)).alias(m) for m in models)).first()
-    size = seen["words"] + 1 if frequent is None else vocabulary.size
+    size = seen["words"] + 1
     scales = {m: max(1, min(seen[n] for n in models)) / max(1, seen[m]) for m in models}
     model = pairs.join(by_second, "second").join(by_first, "first")
     model = kept(model.select("first", "second", *models, *(f"{m}_after" for m in models), *(f"{m}_single" for m in models)), folder, "model")
@@ -208,10 +136,9 @@ def score(
 
     def loss(m: str) -> Column:
         """Bits of a pair in a text, with the text's own counts off as ``score`` says."""
-        own = F.col("is_target").cast("long") if m == "target" else F.lit(0 if frequent is None else 1)
-        alone = own * (1 if frequent is None else 0)
-        single = (F.col(f"{m}_single") - alone * F.col("ended")) * scales[m] + floor
-        lean = prior * single / ((seen[m] - alone * F.col("n")) * scales[m] + floor * size)
+        own = F.col("is_target").cast("long") if m == "target" else F.lit(0)
+        single = (F.col(f"{m}_single") - own * F.col("ended")) * scales[m] + floor
+        lean = prior * single / ((seen[m] - own * F.col("n")) * scales[m] + floor * size)
         over = (F.col(m) - own * F.col("times")) * scales[m] + lean
         under = (F.col(f"{m}_after") - own * F.col("begun")) * scales[m] + prior
         return -F.log2(over / under) * F.col("times")

@@ -2,57 +2,15 @@ import random
 
 import numpy as np
 
-from careflow.llm.lm_scoring import Model, Vocabulary, score, words
+from careflow.llm.lm_scoring import score, words
 from tests.llm.tables import documents, odd_texts, sentence
 
 
-def plain(rows, good, frequent, classes, prior=5.0, floor=0.5):
-    """The definition, document by document, with dictionaries only."""
-    from collections import Counter
-
-    counts = Counter(w for _, t in rows for w in words(t or ""))
-    top = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:frequent]]
-    vocabulary = Vocabulary(top, classes)
-    numbers = [vocabulary.numbers(t or "").tolist() for _, t in rows]
-    pairs = [Counter(zip(n, n[1:], strict=False)) for n in numbers]
-    target = sum((p for p, (i, _) in zip(pairs, rows, strict=True) if i in good), Counter())
-    everything = sum(pairs, Counter())
-    least = max(1, min(target.total(), everything.total()))
-    out = []
-    for (doc_id, _), own in zip(rows, pairs, strict=True):
-        both = []
-        for model, taken in ((target, own if doc_id in good else Counter()), (everything, own)):
-            scale = least / max(1, model.total())
-            single = np.full(vocabulary.size, floor)
-            for (_, b), n in model.items():
-                single[b] += n * scale
-            single /= single.sum()
-            after, less = Counter(), Counter()
-            for (a, _), n in model.items():
-                after[a] += n
-            for (a, _), n in taken.items():
-                less[a] += n
-            bits = sum(-np.log2((scale * (model[p] - taken[p]) + prior * single[p[1]]) / (scale * (after[p[0]] - less[p[0]]) + prior)) * n for p, n in own.items())
-            both.append(bits / own.total() if own else 0.0)
-        out.append((doc_id, own.total(), *both))
-    return sorted(out, key=repr)
-
-
-def test_against_the_definition(spark):
-    rng = random.Random(15)
-    rows = [(i, sentence(rng, 30)) for i in range(20)] + odd_texts(rng)
-    labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 0), (904, 1), (None, 1)], "doc_id long, quality int")
-    got = sorted((tuple(r)[:4] for r in score(documents(spark, rows), labels, 30, 8).collect()), key=repr)
-    want = plain(rows, {1, 2, 904}, 30, 8)
-    assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=2e-3)
-
-
 def test_no_labels_and_no_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
-    got = score(documents(spark, [(1, "a b"), (2, None)]), labels, 10, 4).collect()
+    got = score(documents(spark, [(1, "a b"), (2, None)]), labels).collect()
     assert all(np.isfinite(r.score) for r in got) and len(got) == 2
-    assert score(documents(spark, []), labels, 10, 4).count() == 0
+    assert score(documents(spark, []), labels).count() == 0
 
 
 def test_held_out_accuracy(spark, small):
@@ -65,13 +23,6 @@ def test_held_out_accuracy(spark, small):
     assert np.mean([g < b for g in good for b in bad]) > 0.9
 
 
-def test_model_takes_own_counts_off():
-    counts = np.array([[0.0, 2.0], [1.0, 0.0]])
-    model = Model(counts, 1.0, 1.0, 0.5)
-    alone = model.loss(np.array([1]), np.array([2]), 2, True)
-    assert alone > model.loss(np.array([1]), np.array([2]), 2, False)
-
-
 def plain_whole(rows, good, prior=5.0, floor=0.5):
     """The definition on all words, with a labelled document's own counts off the target model."""
     from collections import Counter
@@ -100,6 +51,16 @@ def plain_whole(rows, good, prior=5.0, floor=0.5):
     return sorted(out, key=repr)
 
 
+def test_against_the_definition(spark):
+    rng = random.Random(15)
+    rows = [(i, sentence(rng, 30)) for i in range(20)] + odd_texts(rng)
+    labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 0), (904, 1), (None, 1)], "doc_id long, quality int")
+    got = sorted((tuple(r)[:4] for r in score(documents(spark, rows), labels).collect()), key=repr)
+    want = plain_whole(rows, {1, 2, 904})
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-6)
+
+
 def test_rare_words_keep_their_own_counts(spark):
     """More words than any class could tell apart, each in two documents; scored by the definition on all of them."""
     rng = random.Random(16)
