@@ -24,6 +24,9 @@ BANDS, ROWS = 32, 4
 #: Shingles of a block of texts that are compared at once.
 BLOCK = 300_000
 
+#: Bits of the filter in front of the join that finds the texts of candidates: 8 MB.
+FILTER_BITS = 1 << 26
+
 #: Hashes of words kept per Python worker; beyond that the memory starts anew.
 REMEMBERED_WORDS = 500_000
 
@@ -135,6 +138,22 @@ def signed_texts(rows: DataFrame, shingle: int, bands: int, per_band: int) -> Da
     return rows.mapInArrow(sign, "id long, fp long, key string, size long, bands array<long>")
 
 
+def perhaps_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id and fingerprint may be those of a ``wanted`` row: all that are, and a few others.
+
+    Bitmaps of hashes tell, FILTER_BITS in all and so of a fixed size. They keep most texts from being moved to the
+    join that decides; where so many are wanted that the bitmaps are full, all texts go there.
+    """
+    place = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(FILTER_BITS))
+    per_map = 1 << 15  # of bitmap_construct_agg
+    hashed = wanted.select(place("_id", "_fp").alias("_at"))
+    maps = hashed.groupBy(F.floor(F.col("_at") / per_map).alias("_map")).agg(F.bitmap_construct_agg(F.col("_at") % per_map).alias("_bits"))
+    both = rows.withColumn("_at", place("id", "fp")).join(F.broadcast(maps), F.floor(F.col("_at") / per_map) == F.col("_map"))
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, CAST(_at % {per_map} DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    bit = F.pow(F.lit(2), F.col("_at") % 8).cast("int")
+    return both.where(byte.bitwiseAND(bit) != 0).select("id", "fp", "text")
+
+
 def multisets(rows: DataFrame, shingle: int) -> DataFrame:
     """The shingles of each node's text as a set: a shingle's second and later places count as elements of their own."""
 
@@ -189,7 +208,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose multisets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("_left"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("_right"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     common = F.size(F.array_intersect("_left", "_right"))
     return both.where(common >= F.lit(similarity) * (F.size("_left") + F.size("_right") - common)).select("a", "b")
 
@@ -225,7 +244,7 @@ def across(mixed_members: DataFrame, sets: DataFrame, similarity: float, folder:
     counts = nodes.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
     stats = counts.groupBy("group").agg(F.max(F.struct("n", "comp", "shingles")).alias("top"), F.sum("shingles").alias("all"))
     stats = stats.select("group", F.col("top.comp").alias("largest"), F.ceil(F.col("all") / BLOCK).alias("all_blocks"), F.ceil((F.col("all") - F.col("top.shingles")) / BLOCK).alias("out_blocks"))
-    placed = nodes.join(stats, "group").join(sets, "node")
+    placed = nodes.join(stats, "group").join(sets.hint("merge"), "node")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     columns = ("group", "node", "comp", "elements")
@@ -290,7 +309,8 @@ def classes(
     members = kept(banded.join(shared, "bucket", "left_semi"), folder, "members")
     one = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("id").alias("_id"), F.col("fp").alias("_fp"))
     one = kept(one, folder, "one")
-    texts = rows.join(one, (rows["id"] == one["_id"]) & (rows["fp"] == one["_fp"])).select("node", "text")
+    some = perhaps_among(rows, one)
+    texts = some.join(one.hint("merge"), (some["id"] == one["_id"]) & (some["fp"] == one["_fp"])).select("node", "text")
     sets = kept(multisets(texts, shingle).dropDuplicates(["node"]), folder, "sets")
     comps = components(members, sets, similarity, folder)
     dropped(docs.sparkSession, folder, "members", "members_named", "mixed", "chained", "grouped", "sets", "one")
@@ -301,7 +321,11 @@ def classes(
 
 
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The row of each class, with all columns, that comes first by doc_id, null ids last."""
+    """The row of each class, with all columns, that comes first by doc_id, null ids last.
+
+    Null and empty texts are alike. Of rows that agree in id and text one stays. An empty table gives an empty result; columns
+    may have any names and texts any length.
+    """
     first = classes(docs, text=text).select("_first.id", "_first.fp").distinct().select(F.col("id").alias("_first_id"), F.col("fp").alias("_first_fp"))
     rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_fp"), whole_row(docs).alias("_row"))
     best = rows.join(first, (rows["_id"] == first["_first_id"]) & (rows["_fp"] == first["_first_fp"]), "left_semi")

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from careflow.llm.near_dedup import WORD, classes, deduplicated, joined_up, mixed, signatures
+from careflow.llm.near_dedup import WORD, classes, deduplicated, joined_up, mixed, signatures, perhaps_among
 from careflow.llm.shared import working_folder
 from tests.llm.tables import documents, odd_texts, sentence
 
@@ -94,3 +94,12 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert classes(documents(spark, [])).count() == 0 and deduplicated(documents(spark, [])).count() == 0
+
+
+def test_filter_in_front_of_the_join(spark):
+    """All wanted rows pass, and few others."""
+    rows = spark.range(20_000).selectExpr("id", "xxhash64(id, 'f') AS fp", "'t' AS text")
+    wanted = rows.where("id % 7 = 0").selectExpr("id AS _id", "fp AS _fp")
+    got = {r.id for r in perhaps_among(rows, wanted).collect()}
+    assert got >= set(range(0, 20_000, 7)) and len(got) < 3000
+    assert perhaps_among(rows, wanted.limit(0)).count() == 0
