@@ -153,7 +153,11 @@ def leaks(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, in which no benchmark item stands."""
+    """The rows of ``docs``, with all columns, in which no benchmark item stands.
+
+    Null and empty texts hold none, and neither does any text if the benchmark is empty. Rows that agree in id and text stay or
+    go together; ids may be null, columns may have any names and texts any length.
+    """
     found = leaks(docs, benchmark, text=text).select(row_id().alias("_found"), "_fp").distinct()
     rows = docs.select(row_id().alias("_id"), fingerprint(text).alias("_row_fp"), whole_row(docs).alias("_row"))
     return rows.join(found, (rows["_id"] == found["_found"]) & (rows["_row_fp"] == found["_fp"]), "left_anti").select("_row.*")

@@ -316,7 +316,8 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """page_id, url, the page's main text and its length in code points, for each page.
 
-    Null and empty pages, and pages with side matter only, give an empty text. Broken markup is read as far as the parser goes.
+    Null and empty pages, and pages with side matter only, give an empty text. Broken markup is read as far as the parser goes;
+    pages may have any length and are read whole.
     Repeated rows are extracted each; columns other than page_id, url and the page itself are left out, whatever
     their names. An empty table gives an empty result.
     """

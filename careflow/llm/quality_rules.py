@@ -147,7 +147,11 @@ def rate(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``rate`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``rate`` keeps, with all their columns, whatever their names.
+
+    Null and empty texts go. Null ids are ids; rows that agree in id and text are kept or go together. An empty table gives
+    an empty result; texts may have any length.
+    """
     good = judged(docs, text).where("kept").select(F.col("doc_id").alias("_id"), "_fp")
     rows = docs.select("doc_id", fingerprint(text).alias("_row_fp"), whole_row(docs).alias("_row"))
     found = rows.join(good, rows["doc_id"].eqNullSafe(good["_id"]) & (rows["_row_fp"] == good["_fp"]), "left_semi")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careflow.session import working_folder as shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def working_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share, removed when the session's JVM ends.
 
-    It lies in ``spark.checkpoint.dir``; where that is unset, as in tests, in the warehouse.
+    It lies in ``spark.checkpoint.dir``; where that is unset, as in tests, in the warehouse, which on a machine's own
+    disk serves a local master only.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    folder = f"{base}/llm-{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "llm")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
