@@ -64,7 +64,8 @@ def test_from_log_to_summary(spark, folder, batch):
     ]
     spark.createDataFrame([(r,) for r in config], "value string").coalesce(1).write.text(f"{folder}/config-log")
     route = ("dict", "dim_dict", "info", ROUTES["dict"], "id")
-    spark.createDataFrame([route], "a string, b string, c string, d string, e string").write.parquet(f"{folder}/routes")
+    form = "parquet" if batch else "json"
+    spark.createDataFrame([route], "a string, b string, c string, d string, e string").write.format(form).save(f"{folder}/routes")
 
     def run(*arguments):
         mode = ["--batch"] if batch else ["--checkpoint", f"{folder}/ckpt-{'-'.join(arguments[:2])}"]
@@ -75,7 +76,7 @@ def test_from_log_to_summary(spark, folder, batch):
     run("land", "--format", "text", "--order", "xid", "--path", f"{folder}/log", "--out", f"{folder}/ods")
     run("land-config", "--format", "text", "--order", "ts", "--path", f"{folder}/config-log", "--out", f"{folder}/config")
     assert spark.read.parquet(f"{folder}/ods").count() == len(records)
-    run("dimensions", "--landed", f"{folder}/ods", "--config", f"{folder}/config", "--routes", f"{folder}/routes", "--store", f"{folder}/dims")
+    run("dimensions", "--landed", f"{folder}/ods", "--config", f"{folder}/config", "--routes", f"{folder}/routes", "--routes-format", form, "--store", f"{folder}/dims")
     main(["compact", "--store", f"{folder}/dims"], spark)
     assert rows(DimensionStore(spark, f"{folder}/dims").read("dim_hospital", ["name"])) == [("h", "Renamed")]
     run("fact", "consultation", "--landed", f"{folder}/ods", "--sink-format", "text", "--out", f"{folder}/topic")
