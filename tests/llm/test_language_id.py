@@ -2,12 +2,19 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from careflow.llm import language_id
 from careflow.llm.language_id import WIDTHS, WINDOW, Network, cut, identify, matrix
 from careflow.llm.queries import QUERIES
 from tests.llm.tables import odd_texts
 
+@pytest.fixture
+def short_training(monkeypatch):
+    """Enough for languages that differ much."""
+    monkeypatch.setattr(language_id, "STEPS", 150)
+
+
 SOUNDS = {"aa": "ka ta na ra", "bb": "ül öd äm ßo", "cc": "x1 y2 z3 q4"}
 
 
@@ -61,7 +68,7 @@ def test_windows_cover_every_place():
         assert seen >= set(range(n - max(WIDTHS) + 1)) and max(map(len, windows)) <= WINDOW
 
 
-def test_learns_from_rows_that_are_not_held_out(spark):
+def test_learns_from_rows_that_are_not_held_out(spark, short_training):
     rows = labelled(random.Random(3), 300)
     # Held-out labels are wrong on purpose; a learned rule gives the right ones all the same.
     shown = table(spark, [(i, t, "zz" if is_held_out(i) else lang) for i, t, lang in rows])
@@ -71,7 +78,7 @@ def test_learns_from_rows_that_are_not_held_out(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and not any(r.lang_pred == "zz" for r in got.values())
 
 
-def test_labels_ids_and_sources_are_no_inputs(spark):
+def test_labels_ids_and_sources_are_no_inputs(spark, short_training):
     rng = random.Random(4)
     rows = labelled(rng, 120)
     more = [(i, t, None) for i, t, _ in labelled(rng, 30)]
@@ -81,7 +88,7 @@ def test_labels_ids_and_sources_are_no_inputs(spark):
     assert text_of(got) == text_of(again)
 
 
-def test_odd_rows(spark):
+def test_odd_rows(spark, short_training):
     rng = random.Random(5)
     rows = labelled(rng, 90) + [(i, t, None) for i, t in odd_texts(rng)] + [(2000, "12 34 !!", "aa"), (2001, "ñ", None), (2002, "ka" * 100_000, None)]
     docs = table(spark, rows)
@@ -94,7 +101,7 @@ def test_odd_rows(spark):
     assert len({(r.lang_pred, r.score) for r in out if r.doc_id == 904}) <= 2
 
 
-def test_nothing_to_learn(spark):
+def test_nothing_to_learn(spark, short_training):
     assert {r.lang_pred for r in identify(table(spark, [(1, "some text", None), (2, None, "aa")])).collect()} == {"und"}
     assert identify(table(spark, [])).count() == 0
     one = identify(table(spark, [(i, "some text", "aa") for i in range(9)])).collect()
