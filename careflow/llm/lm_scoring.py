@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from careflow.llm.shared import NO_ID, dropped, kept, row_id, text_of, working_folder
@@ -16,9 +17,12 @@ from careflow.llm.shared import NO_ID, dropped, kept, row_id, text_of, working_f
 #: Weights of the smoothing.
 PRIOR, FLOOR = 5.0, 0.5
 
-#: Entries of a worker's tables that are given out before it goes on.
+#: Words that a worker remembers the numbers of.
 AT_ONCE = 200_000
 
+#: Pairs that a worker holds at once, and buckets of pairs at least.
+PAIRS, BUCKETS = 1_500_000, 96
+
 WORD = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -46,47 +50,214 @@ class Words:
         return np.array(out, np.int64)
 
 
-def bigrams(rows: DataFrame) -> DataFrame:
-    """For each row and pair of neighbours in it, how often the pair, its first word (as a first one), its second one and any word stand there."""
-    names = ["_row", "is_target", "first", "second", "times", "begun", "ended", "n"]
-
-    def pairs_of(n: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Distinct pairs with their counts, those of their first and of their second words, and that of all."""
-        order = np.lexsort((n[1:], n[:-1]))
-        first, second = n[:-1][order], n[1:][order]
-        starts = np.r_[True, first[1:] != first[:-1]]
-        new = np.flatnonzero(starts | np.r_[True, second[1:] != second[:-1]])
-        group = np.cumsum(starts) - 1
-        times = np.diff(np.r_[new, len(first)])
-        word = np.unique(second[new], return_inverse=True)[1]
-        ended = np.bincount(word, weights=times).astype(np.int64)[word]
-        return first[new], second[new], times, np.bincount(group)[group[new]], ended, np.full(len(new), len(first))
+def counted(rows: DataFrame, at_once: int) -> DataFrame:
+    """For each word how often it stands in target texts and in all, and how often as a last word. The start (0) stands
+    nowhere and is short of being last, so that words less last ones gives for all how often they are first ones."""
+    names = ["word", "target", "everything", "target_last", "everything_last"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
-        parts: list[tuple[np.ndarray, ...]] = []
-        held = 0
-
-        def table() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-
-        for batch in batches:
-            for row, value, is_target in zip(*(batch.column(c).to_pylist() for c in ("_row", "text", "is_target")), strict=True):
-                n = own.numbers(value)
-                if len(n) < 2:
-                    continue
-                found = pairs_of(n)
-                parts.append((np.full(len(found[0]), row), np.full(len(found[0]), is_target), *found))
-                held += len(found[0])
-                if held > AT_ONCE:
-                    yield table()
-                    held = 0
-        if parts:
-            yield table()
-
-    return rows.mapInArrow(count, "_row long, is_target boolean, first long, second long, times long, begun long, ended long, n long")
+        for texts in _texts(batches, own, at_once):
+            n, ends, is_target = np.concatenate(texts.numbers), np.cumsum([len(t) for t in texts.numbers]), np.array(texts.is_target)
+            word, code = np.unique(n, return_inverse=True)
+            all_ones, stands = np.repeat(is_target, np.diff(ends, prepend=0)), (n != 0).astype(np.int64)
+            last = np.zeros(len(n), np.int64)
+            last[ends - 1] = 1
+            last[np.r_[0, ends[:-1]]] = -1
+            parts = (np.bincount(code, weights=w, minlength=len(word)) for w in (stands * all_ones, stands, last * all_ones, last))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (word, *(p.astype(np.int64) for p in parts))], names=names)
+
+    found = rows.mapInArrow(count, ", ".join(f"{n} long" for n in names))
+    return found.groupBy("word").agg(*(F.sum(n).alias(n) for n in names[1:]))
+
+
+class Texts:
+    """Texts as numbers of their words after a 0, with their rows."""
+
+    def __init__(self) -> None:
+        self.rows: list[int] = []
+        self.is_target: list[bool] = []
+        self.numbers: list[np.ndarray] = []
+
+
+def _texts(batches: Iterator[pa.RecordBatch], own: Words, at_once: int) -> Iterator[Texts]:
+    """Texts with words, so many that they have ``at_once`` words."""
+    texts, held = Texts(), 0
+    for batch in batches:
+        for row, value, is_target in zip(*(batch.column(c).to_pylist() for c in ("_row", "text", "is_target")), strict=True):
+            n = own.numbers(value)
+            if len(n) < 2:
+                continue
+            texts.rows.append(row)
+            texts.is_target.append(is_target)
+            texts.numbers.append(n)
+            held += len(n)
+            if held > at_once:
+                yield texts
+                texts, held = Texts(), 0
+    if texts.rows:
+        yield texts
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers of 64 bits, their first bytes, their second bytes and so on, compressed."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _restored(squeezed: bytes, n: int, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(squeezed, decompressed_size=8 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(kind).reshape(n)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Counts of the frequent words, sorted, the start among them, and what both models share. Arrays of two have target and everything."""
+
+    frequent: np.ndarray
+    single: tuple[np.ndarray, np.ndarray]
+    after: tuple[np.ndarray, np.ndarray]
+    seen: tuple[int, int]
+    scales: tuple[float, float]
+    size: int
+    buckets: int
+    prior: float
+    floor: float
+
+    def places(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are frequent, and the places of those."""
+        at = np.minimum(np.searchsorted(self.frequent, word), len(self.frequent) - 1)
+        return self.frequent[at] == word, at
+
+    def over(self, m: int, pair: np.ndarray, single: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Numerators, of counts without the text's own; ``n`` is how many of all words are the text's own."""
+        lean = self.prior * (single * self.scales[m] + self.floor)
+        return pair * self.scales[m] + lean / ((self.seen[m] - n) * self.scales[m] + self.floor * self.size)
+
+    def under(self, m: int, after: np.ndarray) -> np.ndarray:
+        return after * self.scales[m] + self.prior
+
+
+#: A part of a text's pairs, or (without words) texts with their words and what their frequent words say of them.
+BLOCK = "bucket long, n long, m long, words binary, firsts binary, seconds binary, rows binary, marks binary, ended binary, lengths binary"
+
+
+def blocks(rows: DataFrame, model: Model, at_once: int) -> DataFrame:
+    """The distinct pairs of each text with their counts, in buckets by second word, those with a frequent one by both words.
+
+    Of a frequent word all counts are known here, so what it says as a first word is summed up at once, and its pairs may
+    lie in several buckets. Of another word one bucket has all pairs and so all counts.
+    """
+    names = [c.split()[0] for c in BLOCK.split(", ")]
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Words()
+        for texts in _texts(batches, own, at_once):
+            out = list(_blocks(texts, model))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+
+    return rows.mapInArrow(give, BLOCK)
+
+
+def _blocks(texts: Texts, model: Model) -> Iterator[tuple]:
+    rows, is_target = np.array(texts.rows), np.array(texts.is_target)
+    lengths = np.array([len(n) - 1 for n in texts.numbers])
+    word, code = np.unique(np.concatenate(texts.numbers), return_inverse=True)
+    texts.numbers.clear()
+    code = code.astype(np.int32)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
+    ends = np.cumsum(lengths + 1)
+    first, second = np.delete(code, ends - 1), np.delete(code, np.r_[0, ends[:-1]])
+    last = np.zeros(len(doc), np.int8)
+    last[np.cumsum(lengths) - 1] = 1
+    frequent, place = model.places(word)
+
+    # What frequent first words and the start say
+    group, begun = np.unique((doc * np.int64(len(word)) + first)[frequent[first]], return_counts=True)
+    of, at = group // len(word), place[group % len(word)]
+    sums = []
+    for m in (0, 1):
+        own = begun * is_target[of] if m == 0 else 0
+        sums.append(np.bincount(of, weights=begun * np.log2(model.under(m, model.after[m][at] - own)), minlength=len(rows)))
+    yield int(rows[0] % model.buckets), len(rows), 0, b"", _squeezed(sums[0]), _squeezed(sums[1]), _squeezed(rows), _squeezed(lengths), b"", b""
+
+    # Distinct pairs of texts, by second word, first word and text
+    pair = second * np.int64(len(word)) + first
+    del code, first, second, group, begun, of, at
+    order = np.argsort(pair, kind="stable")
+    pair, doc = pair[order], doc[order]
+    new = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])
+    times, last = np.diff(np.r_[new, len(pair)]), np.add.reduceat(last[order], new)
+    pair, doc = pair[new], doc[new]
+    second, first = (pair // len(word)).astype(np.int32), (pair % len(word)).astype(np.int32)
+    del order, new, pair
+    target = is_target[doc]
+    ended = np.zeros(len(times), np.int64)
+    own = np.flatnonzero(frequent[second] & target)
+    of = np.unique(doc[own] * np.int64(len(word)) + second[own], return_inverse=True)[1]
+    ended[own] = np.bincount(of, weights=times[own])[of] if len(own) else 0
+
+    spread = word.view(np.uint64)
+    by_both = (spread[second] + spread[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(7)
+    bucket = (np.where(frequent[second], by_both, spread[second]) % np.uint64(model.buckets)).astype(np.int64)
+    del by_both
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for some in np.split(order, starts[1:]):
+        known, codes = np.unique(np.concatenate([first[some], second[some]]), return_inverse=True)
+        n, marks = len(some), times[some] * 4 + last[some].astype(np.int64) * 2 + target[some]
+        columns = (codes[:n].astype(np.int64), np.diff(codes[n:], prepend=0), rows[doc[some]], marks, ended[some], np.where(target[some], lengths[doc[some]], 0))
+        yield int(bucket[some[0]]), n, len(known), _squeezed(np.diff(word[known], prepend=0)), *(_squeezed(c) for c in columns)
+
+
+def losses(parts: DataFrame, model: Model) -> DataFrame:
+    """Sums of texts from the blocks of each bucket."""
+    names = ["_row", "n_words", "target", "everything"]
+
+    def work(table: pa.Table) -> pa.Table:
+        out, pairs = [], []
+        for b in table.to_pylist():
+            n = b["n"]
+            if not b["m"]:
+                out.append((_restored(b["rows"], n), _restored(b["marks"], n), *(_restored(b[c], n, np.float64) for c in ("firsts", "seconds"))))
+                continue
+            known = np.cumsum(_restored(b["words"], b["m"]))
+            first, second = known[_restored(b["firsts"], n)], known[np.cumsum(_restored(b["seconds"], n))]
+            pairs.append((first, second, *(_restored(b[c], n) for c in ("rows", "marks", "ended", "lengths"))))
+        if pairs:
+            row, sums = _losses(*(np.concatenate(c) for c in zip(*pairs, strict=True)), model)
+            out.append((row, np.zeros(len(row), np.int64), *sums))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
+
+    return parts.groupBy("bucket").applyInArrow(work, "_row long, n_words long, target double, everything double")
+
+
+def _losses(first, second, row, marks, ended, lengths, model: Model) -> tuple[np.ndarray, list[np.ndarray]]:
+    times, last, target = marks >> 2, marks >> 1 & 1, marks & 1
+    begun = times - last
+    word, of = np.unique(second, return_inverse=True)
+    before, first = np.unique(first, return_inverse=True)
+    text, row = np.unique(row, return_inverse=True)
+    pair = np.unique(of * len(before) + first, return_inverse=True)[1]
+    frequent, place = model.places(word)
+    rare = ~frequent[of]
+
+    # Of rare words a text's own counts are all here
+    own = np.flatnonzero(target & rare)
+    group = np.unique(row[own] * len(word) + of[own], return_inverse=True)[1]
+    own_begun = np.zeros(len(row), np.int64)
+    if len(own):
+        ended[own] = np.bincount(group, weights=times[own])[group]
+        own_begun[own] = np.bincount(group, weights=begun[own])[group]
+    sums = []
+    for m, counts in enumerate((target, 1)):
+        own = target if m == 0 else 0
+        single = np.where(frequent, model.single[m][place], np.bincount(of, weights=times * counts))
+        after = np.bincount(of, weights=begun * counts)
+        over = model.over(m, np.bincount(pair, weights=times * counts)[pair] - own * times, single[of] - own * ended, own * lengths)
+        under = np.where(rare, begun * np.log2(model.under(m, np.where(rare, after[of] - own * own_begun, 0))), 0)
+        sums.append(np.bincount(row, weights=under - times * np.log2(over)))
+    return text, sums
 
 
 def score(
@@ -95,6 +266,7 @@ def score(
     prior: float = PRIOR,
     floor: float = FLOOR,
     text: str = "text",
+    at_once: int = PAIRS,
 ) -> DataFrame:
     """For each document doc_id, n_words, target_loss and background_loss (bits a word) and score, their difference.
 
@@ -107,10 +279,12 @@ def score(
     brought to the same total, so that they
     differ in what they have seen and not in how much. The lower the score, the more a document is like the target.
 
-    The models are one table with a row for each pair of neighbours that the corpus has, which grows with it. It meets the
-    pairs of each document by a shuffle; the driver gets three totals. A pair has one row in the models and one in each
-    document that has it, so a hot pair brings no more rows than there are documents. Words are told apart by hashes of 64
-    bits.
+    Each text's distinct pairs move once, in compressed blocks, to the bucket of their second word, which has all pairs with
+    that word and so all counts that the pair and the word need. Words that more than one in eight times ``buckets`` words is,
+    so at most that many, are known to all tasks with their counts, and their pairs are dealt by both words: a hot word
+    is spread, and a hot pair brings no more rows than there are documents. Buckets grow in number, about one for
+    ``at_once`` pairs. The driver gets totals and the counts of those frequent words. Words are told apart by hashes of 64 bits.
+    Texts meet their labels by a merge join at every size, so that what is moved grows with the input.
 
     A null or empty text has no words, losses and score 0. Without good labels both models are uniform mixtures and
     finite. Repeated rows count and are scored each. Null ids match no label. Other columns are left out. An empty table gives an empty result.
@@ -119,32 +293,27 @@ def score(
     folder = working_folder(spark)
     rows = docs.select(row_id().alias("_id"), text_of(text).alias("text"))
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_good")).distinct()
-    labelled = rows.join(good, rows["_id"] == good["_good"], "left").select("_id", "text", F.col("_good").isNotNull().alias("is_target"))
-    labelled = kept(labelled.withColumn("_row", F.monotonically_increasing_id()), folder, "labelled")
-    grams = bigrams(labelled)
-
-    models = {"target": F.when(F.col("is_target"), F.col("times")).otherwise(0), "everything": F.col("times")}
-    pairs = kept(grams.groupBy("first", "second").agg(*(F.sum(n).alias(m) for m, n in models.items())), folder, "pairs")
-    by_first = pairs.groupBy("first").agg(*(F.sum(m).alias(f"{m}_after") for m in models))
-    by_second = kept(pairs.groupBy("second").agg(*(F.sum(m).alias(f"{m}_single") for m in models)), folder, "words")
-    seen = by_second.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(f"{m}_single"), F.lit(0)).alias(m) for m in models)).first()
-    size = seen["words"] + 1
-    scales = {m: max(1, min(seen[n] for n in models)) / max(1, seen[m]) for m in models}
-    model = pairs.join(by_second, "second").join(by_first, "first")
-    model = kept(model.select("first", "second", *models, *(f"{m}_after" for m in models), *(f"{m}_single" for m in models)), folder, "model")
-    dropped(spark, folder, "pairs", "words")
-
-    def loss(m: str) -> Column:
-        """Bits of a pair in a text, with the text's own counts off as ``score`` says."""
-        own = F.col("is_target").cast("long") if m == "target" else F.lit(0)
-        single = (F.col(f"{m}_single") - own * F.col("ended")) * scales[m] + floor
-        lean = prior * single / ((seen[m] - own * F.col("n")) * scales[m] + floor * size)
-        over = (F.col(m) - own * F.col("times")) * scales[m] + lean
-        under = (F.col(f"{m}_after") - own * F.col("begun")) * scales[m] + prior
-        return -F.log2(over / under) * F.col("times")
-
-    found = grams.join(model, ["first", "second"])
-    sums = found.groupBy("_row").agg(F.sum("times").alias("n_words"), *(F.sum(loss(m)).alias(m) for m in models))
+    labelled = rows.join(good.hint("merge"), rows["_id"] == good["_good"], "left").select("_id", "text", F.col("_good").isNotNull().alias("is_target"))
+    labelled = kept(labelled.withColumn("_row", F.monotonically_increasing_id()), folder, "labelled", compression="zstd")
+    counts = kept(counted(labelled, at_once), folder, "words")
+    names = ("target", "everything")
+    seen = counts.agg(F.count_if(F.col("word") != 0).alias("words"), *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in names)).first()
+    buckets = max(BUCKETS, seen["everything"] // at_once + 1)
+    known = counts.where((F.col("word") == 0) | (F.col("everything") * (8 * buckets) > seen["everything"])).collect()
+    known = sorted(known, key=lambda r: r["word"])
+    model = Model(
+        frequent=np.array([r["word"] for r in known] or [0], np.int64),
+        single=tuple(np.array([r[m] for r in known] or [0]) for m in names),
+        after=tuple(np.array([r[m] - r[f"{m}_last"] for r in known] or [0]) for m in names),
+        seen=tuple(seen[m] for m in names),
+        scales=tuple(max(1, min(seen[n] for n in names)) / max(1, seen[m]) for m in names),
+        size=seen["words"] + 1,
+        buckets=buckets,
+        prior=prior,
+        floor=floor,
+    )
+    dropped(spark, folder, "words")
+    sums = losses(blocks(labelled, model, at_once), model).groupBy("_row").agg(*(F.sum(n).alias(n) for n in ("n_words", *names)))
     rated = labelled.select("_row", "_id").join(sums, "_row", "left")
     nil = F.lit(0.0)
     rated = rated.select(

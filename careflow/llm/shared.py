@@ -31,16 +31,16 @@ def working_folder(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
+def kept(df: DataFrame, folder: str, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a table of the working folder and read it back, which cuts its lineage.
 
-    Its shuffle files go with the writing job, so that a chain of such steps needs the disk of one.
+    Its shuffle files go with the writing job, so that a chain of such steps needs the disk of one. ``options`` are the writer's.
     """
     spark = df.sparkSession
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").options(**options).parquet(f"{folder}/{name}")
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}")

@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from careflow.llm.lm_scoring import score, words
+from careflow.llm.lm_scoring import Model, Texts, Words, _blocks, score, words
+from tests.conftest import plan_of
 from tests.llm.tables import documents, odd_texts, sentence
 
 
@@ -76,3 +77,30 @@ def test_repeated_rows_are_scored_each(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     got = score(documents(spark, [(1, "a b c"), (1, "a b c"), (None, "a b")]), labels).collect()
     assert sorted(r.n_words for r in got) == [2, 3, 3]
+
+
+def test_pairs_move_once_in_blocks(spark):
+    """The texts are cut into pairs once, and scores are the same whatever the size of the blocks."""
+    rng = random.Random(17)
+    rows = [(i, sentence(rng, 200)) for i in range(60)] + odd_texts(rng)
+    docs, labels = documents(spark, rows), spark.createDataFrame([(i, 1) for i in range(0, 60, 3)], "doc_id long, quality int")
+    want = plain_whole(rows, set(range(0, 60, 3)))
+    for at_once in (100, 5000):
+        scored = score(docs, labels, at_once=at_once)
+        assert plan_of(scored).count("MapInArrow") == 1
+        got = sorted((tuple(r)[:4] for r in scored.collect()), key=repr)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-6)
+
+
+def test_a_block_takes_few_bytes_a_pair():
+    rng = random.Random(18)
+    texts = Texts()
+    for row in range(400):
+        texts.rows.append(row)
+        texts.is_target.append(row % 3 == 0)
+        texts.numbers.append(Words().numbers(sentence(rng, 300)))
+    zero = np.zeros(1, np.int64)
+    model = Model(zero, (zero, zero), (zero + 400, zero + 400), (1, 1), (1.0, 1.0), 200, 8, 5.0, 0.5)
+    parts = [b for b in _blocks(texts, model) if b[2]]
+    assert sum(len(c) for b in parts for c in b[3:]) < 8 * sum(b[1] for b in parts)
