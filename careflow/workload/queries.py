@@ -73,7 +73,7 @@ from careflow.workload.bindings import (
     routes,
     table,
 )
-from careflow.workload.streams import late_slices, run_in_slices, run_to_table, slices_in_order, stream_table
+from careflow.workload.streams import late_slices, run_in_slices, run_in_time_order, run_to_table, slices_in_order, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -547,10 +547,11 @@ def stream_summary_consultation(spark, folder):
 
 def stream_fact_prescription_paid(spark, folder):
     """Interval join of two streams, bounded by watermarks."""
-    events = stream_table(spark, folder, "events")
-    return run_to_table(
-        build_fact("prescription_paid", ods_payments(spark, folder, events), **WIDE), "paid"
-    )
+
+    def build(events: DataFrame) -> DataFrame:
+        return build_fact("prescription_paid", ods_payments(spark, folder, events), **WIDE)
+
+    return run_in_time_order([(table(spark, folder, "events"), "ts")], build, "paid")
 
 
 def stream_summary_of_treatments(name: str) -> Query:
@@ -635,8 +636,12 @@ def stream_first_row(spark, folder):
 
 def stream_fact_prescription(spark, folder):
     """Prescriptions and details of two streams, written at most 60 days apart."""
-    log = ods_prescriptions(stream_table(spark, folder, "orders"), stream_table(spark, folder, "lineitem"))
-    return run_to_table(build_fact("prescription", log, ttl=60 * DAY), "prescription")
+
+    def build(orders: DataFrame, details: DataFrame) -> DataFrame:
+        return build_fact("prescription", ods_prescriptions(orders, details), ttl=60 * DAY)
+
+    tables = [(table(spark, folder, "orders"), "o_orderdate"), (table(spark, folder, "lineitem"), "l_shipdate")]
+    return run_in_time_order(tables, build, "prescription")
 
 
 def fact_prescription_within(spark, folder):
@@ -655,27 +660,33 @@ def stream_lookup_hot_keys(spark, folder):
 
 def stream_arrival_ttl(spark, folder):
     """Prescriptions and details that arrive within 5 seconds of each other, whatever their own times, which lie three months apart."""
-    log = ods_treatments(stream_table(spark, folder, "events"), details_after="90 DAYS", arrived=True)
-    return run_to_table(build_fact("prescription", log, arrival="arrived"), "arrival")
+
+    def build(events: DataFrame) -> DataFrame:
+        return build_fact("prescription", ods_treatments(events, details_after="90 DAYS", arrived=True), arrival="arrived")
+
+    return run_in_time_order([(table(spark, folder, "events"), "ts")], build, "arrival")
 
 
 def stream_ttl_join(spark, folder):
     """Join of two streams that keep each row for a day."""
-    events = stream_table(spark, folder, "events")
-    clicks = events.where("event_type = 'click'").select(
-        F.col("event_id").alias("click_id"),
-        F.col("user_id").alias("click_user"),
-        F.col("ts").cast("timestamp").alias("click_time"),
-    )
-    views = events.where("event_type = 'view'").select(
-        F.col("event_id").alias("view_id"),
-        F.col("user_id").alias("view_user"),
-        F.col("ts").cast("timestamp").alias("view_time"),
-    )
-    joined = ttl_join(
-        clicks, views, "click_user", "view_user", "click_time", "view_time", ttl=DAY, salts=2
-    )
-    return run_to_table(joined.select("click_id", "view_id"), "ttl")
+
+    def build(events: DataFrame) -> DataFrame:
+        clicks = events.where("event_type = 'click'").select(
+            F.col("event_id").alias("click_id"),
+            F.col("user_id").alias("click_user"),
+            F.col("ts").cast("timestamp").alias("click_time"),
+        )
+        views = events.where("event_type = 'view'").select(
+            F.col("event_id").alias("view_id"),
+            F.col("user_id").alias("view_user"),
+            F.col("ts").cast("timestamp").alias("view_time"),
+        )
+        joined = ttl_join(
+            clicks, views, "click_user", "view_user", "click_time", "view_time", ttl=DAY, salts=2
+        )
+        return joined.select("click_id", "view_id")
+
+    return run_in_time_order([(table(spark, folder, "events"), "ts")], build, "ttl")
 
 
 QUERIES: dict[str, Query] = {

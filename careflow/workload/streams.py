@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careflow.session import working_folder
+from careflow.sinks.files import Folders
 from careflow.workload.bindings import table
 
 
+#: Rows that a stream in time order takes at a time.
+ROWS_AT_ONCE = 4_000_000
+
 # Days on which the second and third slice begin.
 SLICE_DAYS = ("2024-01-11", "2024-01-21")
 
@@ -29,6 +33,42 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
+def run_in_time_order(tables: list[tuple[DataFrame, str]], build, purpose: str, at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """Feeds tables, each with the column of its times, in slices by time to the stream that ``build`` makes of their streams.
+
+    A slice has about ``at_once`` rows, those of equal times together. The stream runs on from slice to slice, so its
+    watermark follows and a join remembers the rows within its bound and not all of history. Rows come no later than the
+    watermark, and rows without a time come first. Each table is moved once, to lie by slices.
+    """
+    spark, base = tables[0][0].sparkSession, working_folder(tables[0][0].sparkSession, purpose)
+    folders = Folders(spark)
+    moment = lambda time: F.unix_micros(F.col(time).cast("timestamp"))
+    moments = reduce(DataFrame.unionAll, (rows.select(moment(time).alias("at")) for rows, time in tables))
+    slices = sum(rows.count() for rows, _ in tables) // at_once + 1
+    shares = F.array(*(F.lit(k / slices) for k in range(1, slices + 1)))
+    cuts = sorted(set((moments.agg(F.percentile_approx("at", shares).alias("cuts")).first()["cuts"] or [])[:-1]))
+    streams = []
+    for number, (rows, time) in enumerate(tables):
+        placed = rows.withColumn("_at", moment(time))
+        after = F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda cut: cut <= F.col("_at"))
+        placed = placed.withColumn("_slice", F.when(F.col("_at").isNull(), 0).otherwise(F.size(after))).drop("_at")
+        placed = placed.repartitionByRange("_slice", F.xxhash64(*(c for c in rows.columns)))
+        placed.write.partitionBy("_slice").parquet(f"{base}/slices/{number}")
+        folders.make(f"{base}/input/{number}/start")
+        streams.append(spark.readStream.schema(rows.schema).parquet(f"{base}/input/{number}/*"))
+    stream = build(*streams)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start(f"{base}/rows")
+    try:
+        for k in range(len(cuts) + 1):
+            for number in range(len(tables)):
+                if folders.exists(f"{base}/slices/{number}/_slice={k}"):
+                    folders.publish(f"{base}/slices/{number}/_slice={k}", f"{base}/input/{number}/{k}")
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows")
+
+
 def run_in_slices(slices: list[DataFrame], build, purpose: str) -> DataFrame:
     """Feeds one slice after the other to the stream that ``build`` makes of its input.
 

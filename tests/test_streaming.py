@@ -1,6 +1,7 @@
 """Streams against batches: from the change log through topics to summaries."""
 
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ from careflow.sinks.seen import SeenKeys
 from careflow.sources import decode_envelope, land_ods, read_landed, read_topic
 from careflow.streaming import fact_job, summary_job
 from careflow.streaming.jobs import read_fact
+from careflow.workload import streams
 from careflow.workload.bindings import AS_OF, dimensions, ods, table
 from tests.conftest import rows
 
@@ -364,3 +366,20 @@ def test_first_flag_of_a_stream(spark, folder):
         write_summary(flagged.drop("event_time"), f"{folder}/out", f"{folder}/ckpt").awaitTermination()
     got = {r.id: r.is_first for r in read_summary(spark, f"{folder}/out").collect()}
     assert got == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 1}
+
+
+def test_a_join_in_time_order_forgets_old_rows(spark, folder, monkeypatch):
+    """Slices by time of two tables out of order, with ties and null times: all pairs, and state of the last rows only."""
+    monkeypatch.setattr(streams, "working_folder", lambda spark, purpose: f"{folder}/work")
+    time = "CASE WHEN id % 97 != 0 THEN timestamp_seconds(1704067200 + floor(pmod(id * 7919, 2000) / 4) * 60) END"
+    left = spark.range(2000).selectExpr("concat('k', id % 5) AS lk", f"{time} AS lt", "id AS li")
+    right = spark.range(2000).selectExpr("concat('k', id % 5) AS rk", f"{time} + INTERVAL 3 SECONDS AS rt", "id AS ri")
+
+    def build(a, b):
+        return ttl_join(a, b, "lk", "rk", "lt", "rt").select("li", "ri")
+
+    got = streams.run_in_time_order([(left, "lt"), (right, "rt")], build, "order", at_once=500)
+    assert rows(got) == rows(build(left, right)) != []
+    assert len(os.listdir(f"{folder}/work/input/0")) > 5
+    for side in ("left", "right"):
+        assert spark.read.format("statestore").option("joinSide", side).load(f"{folder}/work/checkpoint").count() < 200
