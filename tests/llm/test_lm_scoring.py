@@ -1,8 +1,9 @@
 import random
+import sys
 
 import numpy as np
 
-from careflow.llm.lm_scoring import Model, Texts, Words, _blocks, score, words
+from careflow.llm.lm_scoring import Model, Texts, Words, _blocks, _restored, _squeezed, score, words
 from tests.conftest import plan_of
 from tests.llm.tables import documents, odd_texts, sentence
 
@@ -104,3 +105,29 @@ def test_a_block_takes_few_bytes_a_pair():
     model = Model(zero, (zero, zero), (zero + 400, zero + 400), (1, 1), (1.0, 1.0), 200, 8, 5.0, 0.5)
     parts = [b for b in _blocks(texts, model) if b[2]]
     assert sum(len(c) for b in parts for c in b[3:]) < 8 * sum(b[1] for b in parts)
+
+
+def test_texts_are_cut_into_words_once(spark):
+    """What is worked out after the labels have met the texts reads numbers of words, not texts."""
+    docs, labels = documents(spark, [(1, "a b c"), (2, "")]), spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    plan = plan_of(score(docs, labels))
+    assert "ReadSchema" in plan and "text:string" not in plan
+
+
+def test_many_texts_are_cut_as_each_is():
+    """All characters, long words and texts without words, cut at once: the same words as by the expression, each with a hash of its own."""
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    texts = ["", "".join(points), "".join(f"a{c}b{c} " for c in points[:0x3100]), "ΑΣ. ΑΣ΄ İx", " \x1c\x85\xa0", "a\0 a\0\0 a", *("é" * n + " " + "x" * n + "-" * n for n in range(70))]
+    got = Words().numbers(*texts).tolist()
+    want = [w for t in texts for w in (None, *words(t))]
+    assert len(got) == len(want) and [n == 0 for n in got] == [w is None for w in want]
+    assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
+def test_numbers_come_back_as_they_were():
+    """Also none, negative ones, and those of the largest block; none of their bytes is written that no number has."""
+    for numbers in ([], [0, 0], [1, 255], [256, 3, 1 << 40], [-1, 5, -(1 << 63)]):
+        numbers = np.array(numbers, np.int64)
+        assert _restored(_squeezed(numbers)).tolist() == numbers.tolist()
+    assert _restored(_squeezed(np.array([-0.5, 2.25])), np.float64).tolist() == [-0.5, 2.25]
+    assert len(_squeezed(np.zeros(1000, np.int64))) < 40
