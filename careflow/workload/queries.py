@@ -640,8 +640,12 @@ def stream_fact_prescription(spark, folder):
     def build(orders: DataFrame, details: DataFrame) -> DataFrame:
         return build_fact("prescription", ods_prescriptions(orders, details), ttl=60 * DAY)
 
-    tables = [(table(spark, folder, "orders"), "o_orderdate"), (table(spark, folder, "lineitem"), "l_shipdate")]
-    return run_in_time_order(tables, build, "prescription")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    details = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
+    )
+    tables = [(orders, "o_orderdate"), (details, "l_shipdate")]
+    return run_in_time_order(tables, build, "prescription", keys=["o_orderkey", "l_orderkey"])
 
 
 def fact_prescription_within(spark, folder):

@@ -383,3 +383,44 @@ def test_a_join_in_time_order_forgets_old_rows(spark, folder, monkeypatch):
     assert len(os.listdir(f"{folder}/work/input/0")) > 5
     for side in ("left", "right"):
         assert spark.read.format("statestore").option("joinSide", side).load(f"{folder}/work/checkpoint").count() < 200
+
+
+def test_a_join_in_time_order_has_few_partitions_of_state(spark, folder, monkeypatch):
+    """Each writes files at every micro-batch, so a session's many shuffle partitions are not taken over."""
+    monkeypatch.setattr(streams, "working_folder", lambda spark, purpose: f"{folder}/work")
+    left = spark.range(40).selectExpr("concat('k', id % 5) AS lk", "timestamp_seconds(1704067200 + id) AS lt", "id AS li")
+    right = left.toDF("rk", "rt", "ri")
+    former = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        build = lambda a, b: ttl_join(a, b, "lk", "rk", "lt", "rt").select("li", "ri")
+        got = rows(streams.run_in_time_order([(left, "lt"), (right, "rt")], build, "few"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", former)
+    assert got == rows(build(left, right)) != []
+    assert len([name for name in os.listdir(f"{folder}/work/checkpoint/state/0") if name.isdigit()]) < 24
+
+
+def test_a_long_replay_is_dealt_by_key(spark, folder, monkeypatch):
+    """A stream for each group of keys: all pairs with a hot key and with null keys and times, of keys in two types."""
+    monkeypatch.setattr(streams, "working_folder", lambda spark, purpose: f"{folder}/work")
+    monkeypatch.setattr(streams, "SLICES_AT_MOST", 2)
+    key = "CASE WHEN id % 89 != 0 THEN CASE WHEN id % 2 = 0 THEN 7 ELSE id % 50 END END"
+    time = "CASE WHEN id % 97 != 0 THEN timestamp_seconds(1704067200 + floor(pmod(id * 7919, 2000) / 4) * 60) END"
+    left = spark.range(2000).selectExpr(f"CAST({key} AS INT) AS lk", f"{time} AS lt", "id AS li")
+    right = spark.range(2000).selectExpr(f"{key} AS rk", f"{time} + INTERVAL 3 SECONDS AS rt", "id AS ri")
+
+    def build(a, b):
+        return ttl_join(a, b, "lk", "rk", "lt", "rt").select("li", "ri")
+
+    got = streams.run_in_time_order([(left, "lt"), (right, "rt")], build, "dealt", at_once=800, keys=["lk", "rk"])
+    assert rows(got) == rows(build(left, right)) != []
+    assert len([name for name in os.listdir(f"{folder}/work") if name.isdigit()]) == 3
+
+
+def test_slices_are_found_by_halving(spark):
+    """The number of cuts up to a moment, which itself belongs to the slice after it."""
+    cuts = [3, 5, 6, 11, 20, 21, 40]
+    got = spark.range(45).select("id", streams._slice_of(F.col("id"), cuts, 100).alias("slice")).collect()
+    assert [r.slice for r in got] == [100 + sum(cut <= r.id for cut in cuts) for r in got]
